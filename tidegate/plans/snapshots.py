@@ -1,0 +1,190 @@
+"""Target tables: immutable parquet folders and a small pointer file that names the current ones.
+
+A load writes new folders beside the old ones and then adds one pointer; readers see the table
+before or after it, never between, and a job that dies half-way leaves the table as it was. A
+table may be cut into pieces by an expression over its rows (month of creation, hash of the key);
+a load that touches few pieces rewrites only those.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from dataclasses import asdict, dataclass, field, replace
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+PIECE = "__piece"
+WHOLE = "all"
+
+
+@dataclass(frozen=True)
+class Folder:
+    """One written folder: the piece its rows belong to, and how many there are."""
+
+    piece: str
+    path: str
+    rows: int
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    version: int
+    schema: str
+    piece_by: str | None
+    folders: tuple[Folder, ...] = ()
+    applied: dict[str, int] = field(default_factory=dict)
+
+    @property
+    def rows(self) -> int:
+        return sum(f.rows for f in self.folders)
+
+    @property
+    def struct(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.schema))
+
+    def without(self, pieces: set[str]) -> tuple[Folder, ...]:
+        return tuple(f for f in self.folders if f.piece not in pieces)
+
+
+def piece_column(piece_by: str | None) -> Column:
+    """The piece of a row, as text that is safe in a folder name."""
+    if piece_by is None:
+        return F.lit(WHOLE)
+    raw = F.coalesce(F.expr(piece_by).cast("string"), F.lit("none"))
+    safe = F.regexp_replace(raw, "[^A-Za-z0-9_.-]", "_")
+    return F.when(raw == safe, safe).otherwise(F.concat_ws("_", safe, F.crc32(raw)))
+
+
+class TargetTable:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    # pointer files -----------------------------------------------------------------------
+
+    def _fs(self, path: str):
+        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
+
+    def _versions(self) -> list[int]:
+        fs, folder = self._fs(f"{self.path}/_snapshots")
+        if not fs.exists(folder):
+            return []
+        names = [status.getPath().getName() for status in fs.listStatus(folder)]
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def _pointer(self, version: int) -> str:
+        return f"{self.path}/_snapshots/{version:012d}.json"
+
+    def load(self, version: int) -> Snapshot:
+        fs, pointer = self._fs(self._pointer(version))
+        stream = fs.open(pointer)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        raw = json.loads(text)
+        raw["folders"] = tuple(Folder(**f) for f in raw["folders"])
+        return Snapshot(**raw)
+
+    def current(self) -> Snapshot | None:
+        versions = self._versions()
+        return self.load(versions[-1]) if versions else None
+
+    def _publish(self, snapshot: Snapshot) -> Snapshot:
+        final = self._pointer(snapshot.version)
+        fs, draft = self._fs(f"{self.path}/_snapshots/.{uuid.uuid4().hex}.tmp")
+        out = fs.create(draft, True)
+        try:
+            out.write(bytearray(json.dumps(asdict(snapshot)).encode("utf-8")))
+        finally:
+            out.close()
+        _, target = self._fs(final)
+        if fs.exists(target) or not fs.rename(draft, target):
+            fs.delete(draft, False)
+            raise RuntimeError(f"{self.path}: version {snapshot.version} was written by another job")
+        return snapshot
+
+    # reading -----------------------------------------------------------------------------
+
+    def exists(self) -> bool:
+        return bool(self._versions())
+
+    def read(self, version: int | None = None, pieces: set[str] | None = None) -> DataFrame:
+        """The table (or only some pieces of it), as of its current or an earlier version."""
+        snapshot = self.current() if version is None else self.load(version)
+        if snapshot is None:
+            raise FileNotFoundError(f"no table at {self.path}")
+        return self.read_folders(
+            snapshot, [f for f in snapshot.folders if pieces is None or f.piece in pieces]
+        )
+
+    def read_folders(self, snapshot: Snapshot, folders: list[Folder]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], snapshot.struct)
+        reader = self.spark.read.schema(snapshot.struct)
+        return reader.parquet(*[f"{self.path}/{f.path}" for f in folders])
+
+    # writing -----------------------------------------------------------------------------
+
+    def create(self, schema: T.StructType, piece_by: str | None = None) -> Snapshot:
+        return self._publish(Snapshot(1, schema.json(), piece_by))
+
+    def write_folders(self, df: DataFrame, snapshot: Snapshot) -> tuple[Folder, ...]:
+        """Writes rows to a new folder per piece. Nothing refers to them until they are committed.
+
+        Row counts come from the written files' footers, so retried tasks cannot distort them.
+        """
+        name = f"data/v{snapshot.version + 1:012d}-{uuid.uuid4().hex[:8]}"
+        full = f"{self.path}/{name}"
+        if snapshot.piece_by is None:
+            df.write.parquet(full)
+            rows = self.spark.read.schema(snapshot.struct).parquet(full).count()
+            return (Folder(WHOLE, name, rows),) if rows else ()
+        (
+            df.withColumn(PIECE, piece_column(snapshot.piece_by))
+            .hint("rebalance", PIECE)
+            .write.partitionBy(PIECE)
+            .parquet(full)
+        )
+        only_piece = T.StructType([T.StructField(PIECE, T.StringType())])
+        counted = self.spark.read.schema(only_piece).parquet(full).groupBy(PIECE).count().collect()
+        return tuple(
+            Folder(r[PIECE], f"{name}/{PIECE}={r[PIECE]}", r["count"])
+            for r in sorted(counted, key=lambda r: r[PIECE])
+        )
+
+    def commit(
+        self,
+        base: Snapshot,
+        folders: tuple[Folder, ...],
+        applied: dict[str, int] | None = None,
+    ) -> Snapshot:
+        """Makes ``folders`` the table, as the version after ``base``."""
+        return self._publish(
+            replace(
+                base,
+                version=base.version + 1,
+                folders=folders,
+                applied={**base.applied, **(applied or {})},
+            )
+        )
+
+    def expire(self, keep: int = 2) -> list[str]:
+        """Deletes data folders that none of the last ``keep`` versions uses, and older pointers.
+
+        Only folders named by an older pointer are touched; a load in progress is safe.
+        """
+        versions = self._versions()
+        old, kept = versions[:-keep], versions[-keep:]
+        used = {f.path for v in kept for f in self.load(v).folders}
+        stale = sorted({f.path for v in old for f in self.load(v).folders} - used)
+        fs, _ = self._fs(self.path)
+        for folder in stale:
+            fs.delete(self._fs(f"{self.path}/{folder}")[1], True)
+        for version in old:
+            fs.delete(self._fs(self._pointer(version))[1], False)
+        return stale
