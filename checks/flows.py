@@ -13,8 +13,10 @@ from checks.sources import _COLUMNS, _FREEFORM, _NAMED, CAUGHT_UP, PRIMARY_KEYS_
 from checks.windows import _MONTHS
 from tidegate.plans import flows as runs
 from tidegate.plans.loads import read_target, replace_load
-from tidegate.session import work_path
+from tidegate.schemas import CONTROL
+from tidegate.session import small_frame, work_path
 from tidegate.sources.control import parse_control
+from tidegate.sources.landing import text_schema
 
 AT = datetime(1998, 6, 15, 4, 5, 6)
 
@@ -37,11 +39,7 @@ def make_run(spark, sf, items, read=None, **settings):
     root = work_path(spark, "run")
     rows = [{**_READY, "sort_order": str(i), "priority": "1", **item}
             for i, item in enumerate(items)]
-    columns = sorted({c for row in rows for c in row})
-    text = spark.createDataFrame(
-        [tuple(row.get(c) for c in columns) for row in rows],
-        ", ".join(f"{c} string" for c in columns),
-    )
+    text = small_frame(spark, rows, text_schema(CONTROL.fieldNames()))
     tables = {
         "orders_src": lambda: fx.src_orders(spark, sf),
         "events_src": lambda: fx.src_events(spark, sf),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,26 +36,29 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def _replace(df: DataFrame, columns: Sequence[str] | None, expr) -> DataFrame:
-    chosen = string_columns(df) if columns is None else list(columns)
-    return df.withColumns({name: expr(F.col(f"`{name}`")) for name in chosen}) if chosen else df
+def _replace(df: DataFrame, columns: Sequence[str] | None, sql: str) -> DataFrame:
+    """Rewrites columns by one SQL template; ``{c}`` stands for the column."""
+    chosen = set(string_columns(df) if columns is None else columns)
+    return df.selectExpr(
+        *[f"{sql.format(c=f'`{n}`')} AS `{n}`" if n in chosen else f"`{n}`" for n in df.columns]
+    )
 
 
-def is_na(col: Column, tokens: Iterable[str] = NA_TOKENS) -> Column:
-    return col.isin(list(tokens))
+def sql_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def na_tokens_to_null(
     df: DataFrame, columns: Sequence[str] | None = None, tokens: Iterable[str] = NA_TOKENS
 ) -> DataFrame:
     """Fields that are exactly one of ``tokens`` become NULL (string columns by default)."""
-    tokens = list(tokens)
-    return _replace(df, columns, lambda c: F.when(~is_na(c, tokens), c))
+    listed = ", ".join(sql_literal(t) for t in tokens).replace("{", "{{").replace("}", "}}")
+    return _replace(df, columns, f"CASE WHEN {{c}} NOT IN ({listed}) THEN {{c}} END")
 
 
 def null_to_empty(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """NULL text becomes the empty string, the one spelling of missing in a staged file."""
-    return _replace(df, columns, lambda c: F.coalesce(c, F.lit("")))
+    return _replace(df, columns, "coalesce({c}, '')")
 
 
 def strip_null_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -63,7 +66,7 @@ def strip_null_text(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
     It damages values such as ``nullable``; loads use ``na_tokens_to_null`` unless asked.
     """
-    return _replace(df, columns, lambda c: F.replace(c, F.lit("null"), F.lit("")))
+    return _replace(df, columns, "replace({c}, 'null', '')")
 
 
 def clean_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -73,7 +76,7 @@ def clean_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 def all_text(df: DataFrame) -> DataFrame:
     """Every column as a string, the only transport type of an extract."""
-    return df.select([F.col(f"`{name}`").cast("string").alias(name) for name in df.columns])
+    return df.selectExpr(*[f"CAST(`{n}` AS STRING) AS `{n}`" for n in df.columns])
 
 
 def extract_is_empty(df: DataFrame) -> bool:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -99,20 +99,19 @@ def merge_by_key(
     base: DataFrame, updates: DataFrame, key: str, columns: Sequence[str]
 ) -> DataFrame:
     """``base`` with ``columns`` replaced, NULLs included, where ``updates`` has the key."""
-    side = updates.select(
-        F.col(key).alias("_key"),
-        *[F.col(c).alias(f"_new_{c}") for c in columns],
-        F.lit(True).alias("_hit"),
+    side = updates.selectExpr(
+        f"{key} AS _key", "true AS _hit", *[f"{c} AS _new_{c}" for c in columns]
     )
-
-    def value(name: str) -> Column:
-        if name not in columns:
-            return F.col(name)
-        kept = F.when(F.col("_hit"), F.col(f"_new_{name}")).otherwise(F.col(name))
-        return kept.cast(base.schema[name].dataType).alias(name)
-
+    kinds = {f.name: f.dataType.simpleString() for f in base.schema.fields}
     joined = base.join(side, F.col(key) == F.col("_key"), "left")
-    return joined.select([value(c) for c in base.columns])
+    return joined.selectExpr(
+        *[
+            f"CAST(CASE WHEN _hit THEN _new_{c} ELSE {c} END AS {kinds[c]}) AS {c}"
+            if c in columns
+            else c
+            for c in base.columns
+        ]
+    )
 
 
 def settle(results: DataFrame, ignore_flag: bool = False) -> DataFrame:
@@ -246,42 +245,40 @@ def stats_transition(stats: DataFrame, outcomes: DataFrame) -> DataFrame:
     ``inserted_rows``, ``updated_rows``, ``load_error``, ``load_error_message``, ``extract_error``,
     ``extract_end`` and ``load_end``.
     """
-    happened = outcomes.select(
-        F.col("file_name").alias("_key"),
-        F.col("outcome").alias("_o"),
-        F.col("target_rows").cast("string").alias("_target"),
-        F.col("inserted_rows").cast("string").alias("_inserted"),
-        F.col("updated_rows").cast("string").alias("_updated"),
-        (F.col("inserted_rows") + F.col("updated_rows")).cast("string").alias("_processed"),
-        F.coalesce("load_error", F.lit(False)).alias("_load_error"),
-        F.col("load_error_message").alias("_load_message"),
-        F.col("extract_error").alias("_extract_message"),
-        F.col("extract_end").alias("_extract_end"),
-        F.col("load_end").alias("_load_end"),
+    happened = outcomes.selectExpr(
+        "file_name AS _key",
+        "outcome AS _o",
+        "CAST(target_rows AS STRING) AS _target",
+        "CAST(inserted_rows AS STRING) AS _inserted",
+        "CAST(updated_rows AS STRING) AS _updated",
+        "CAST(inserted_rows + updated_rows AS STRING) AS _processed",
+        "coalesce(load_error, false) AS _load_error",
+        "load_error_message AS _load_message",
+        "extract_error AS _extract_message",
+        "extract_end AS _extract_end",
+        "load_end AS _load_end",
     )
-    outcome = F.col("_o")
-    loaded, empty, failed = (outcome == o for o in ("loaded", "empty", "extract_failed"))
+    loaded, empty, failed = (f"_o = '{o}'" for o in ("loaded", "empty", "extract_failed"))
     moves = {
-        "extract_status": F.when(loaded | empty, SUCCESS).when(failed, FAILED),
-        "extract_end": F.when(outcome.isNotNull(), F.col("_extract_end")),
-        "extract_failure": F.when(failed, F.col("_extract_message")),
-        "load_start": F.when(loaded, F.col("_extract_end")).when(empty, ""),
-        "load_status": F.when(loaded & F.col("_load_error"), FAILED)
-        .when(loaded, SUCCESS)
-        .when(empty, NO_ROWS),
-        "load_end": F.when(loaded, F.col("_load_end")),
-        "load_failure": F.when(loaded, F.col("_load_message")),
-        "target_rows": F.when(loaded, F.col("_target")),
-        "inserted_rows": F.when(loaded, F.col("_inserted")),
-        "updated_rows": F.when(loaded, F.col("_updated")),
-        "processed_rows": F.when(loaded, F.col("_processed")),
+        "extract_status": f"CASE WHEN {failed} THEN '{FAILED}' WHEN _o IS NOT NULL THEN '{SUCCESS}' END",
+        "extract_end": "_extract_end",
+        "extract_failure": f"CASE WHEN {failed} THEN _extract_message END",
+        "load_start": f"CASE WHEN {loaded} THEN _extract_end WHEN {empty} THEN '' END",
+        "load_status": f"CASE WHEN {empty} THEN '{NO_ROWS}' WHEN {loaded} AND _load_error"
+        f" THEN '{FAILED}' WHEN {loaded} THEN '{SUCCESS}' END",
     }
+    for name, value in {
+        "load_end": "_load_end",
+        "load_failure": "_load_message",
+        "target_rows": "_target",
+        "inserted_rows": "_inserted",
+        "updated_rows": "_updated",
+        "processed_rows": "_processed",
+    }.items():
+        moves[name] = f"CASE WHEN {loaded} THEN {value} END"
     joined = stats.join(happened, F.col("file_name") == F.col("_key"), "left")
-    return joined.select(
-        [
-            F.coalesce(moves[c], F.col(c)).alias(c) if c in moves else F.col(c)
-            for c in stats.columns
-        ]
+    return joined.selectExpr(
+        *[f"coalesce({moves[c]}, {c}) AS {c}" if c in moves else c for c in stats.columns]
     )
 
 

@@ -13,6 +13,7 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.operators import counts as C
 from tidegate.operators import reconcile as R
@@ -29,10 +30,20 @@ from tidegate.operators.slices import (
 from tidegate.plans import loads
 from tidegate.plans.snapshots import TargetTable
 from tidegate.schemas import CONTROL, LOAD_STATS, RUN_RESULT
-from tidegate.session import work_path
+from tidegate.session import small_frame, work_path
 from tidegate.sources.tables import scan_freeform, scan_projected
 
 STAMP = "%Y-%m-%d %H:%M:%S"
+_SCHEDULED = T.StructType(
+    [
+        CONTROL["table_uid"],
+        CONTROL["schedule"],
+        CONTROL["schedule_begin"],
+        CONTROL["schedule_end"],
+        T.StructField("min_update_date", T.TimestampNTZType()),
+        T.StructField("max_update_date", T.TimestampNTZType()),
+    ]
+)
 PRIMARY_KEYS_TABLE = "primarykeys"  # fixed value: the control row that loads key columns
 
 
@@ -183,7 +194,7 @@ def _finish(run: IngestRun, item: Row, result: dict, file_name: str, started: st
     if result["load_error"]:
         result.update(source_count=0, rows_before=0, rows_after=0, processed=0)
     spark = run.spark
-    results = spark.createDataFrame([Row(**result)], RUN_RESULT)
+    results = small_frame(spark, [result], RUN_RESULT)
     control = run.control()
     if result["outcome"] == "empty":
         control = R.apply_zero_rows(control, results)
@@ -209,9 +220,7 @@ def _finish(run: IngestRun, item: Row, result: dict, file_name: str, started: st
         "table_uid": item.table_uid,
         "target_table": item.target_table,
     }
-    new = spark.createDataFrame(
-        [tuple(item_stats.get(name) for name in LOAD_STATS.fieldNames())], LOAD_STATS
-    )
+    new = small_frame(spark, [item_stats], LOAD_STATS)
     outcome = R.load_tally(results).select(
         F.lit(file_name).alias("file_name"),
         "outcome",
@@ -298,7 +307,8 @@ def plan_windows(run: IngestRun, source: DataFrame, min_update_date) -> DataFram
     """
     with_bytes = run.window_cost == "byte_count"
     profile = C.day_profile(source, UPDATED, with_bytes)
-    first = run.spark.createDataFrame([(min_update_date,)], "min_update_date timestamp_ntz")
+    span = T.StructType([T.StructField("min_update_date", T.TimestampNTZType())])
+    first = small_frame(run.spark, [{"min_update_date": min_update_date}], span)
     months = win.month_windows(first, run.as_of)
     chosen = win.adaptive_windows(profile, months, run.window_limit, run.window_cost)
     path = work_path(run.spark, "windows")
@@ -348,11 +358,10 @@ def run_scheduled(run: IngestRun) -> list[dict]:
     for item in work_list(run, sel.select_scheduled(run.control())):
 
         def extract(counted, item=item):
-            frame = run.spark.createDataFrame(
-                [(item.table_uid, item.schedule, item.schedule_begin, item.schedule_end,
-                  *counted[1:])],
-                "table_uid string, schedule string, schedule_begin date, schedule_end date, "
-                "min_update_date timestamp_ntz, max_update_date timestamp_ntz",
+            frame = small_frame(
+                run.spark,
+                [{**item.asDict(), "min_update_date": counted[1], "max_update_date": counted[2]}],
+                _SCHEDULED,
             )
             windows = win.schedule_windows(frame, run.as_of).drop("table_uid")
             return _windowed(run, item, run.read(item.source_table), windows)

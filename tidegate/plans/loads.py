@@ -94,7 +94,7 @@ def read_staged(
     """
     columns = [n for n in schema.fieldNames() if n != window]
     text = na_tokens_to_null(read_landing_csv(spark, path, columns), columns, tokens)
-    return conform(text.select(*[f"`{c}`" for c in columns]), schema)
+    return conform(text.drop(window) if window else text, schema)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -104,12 +104,12 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     if extra:
         raise ValueError(f"columns not in the target: {', '.join(sorted(extra))}")
 
-    def column(f: T.StructField) -> Column:
+    def column(f: T.StructField) -> str:
         source = have.get(f.name.lower())
-        value = F.lit(None) if source is None else F.col(f"`{source}`")
-        return value.cast(f.dataType).alias(f.name)
+        value = "NULL" if source is None else f"`{source}`"
+        return f"CAST({value} AS {f.dataType.simpleString()}) AS `{f.name}`"
 
-    return df.select([column(f) for f in schema.fields])
+    return df.selectExpr(*[column(f) for f in schema.fields])
 
 
 # creating ----------------------------------------------------------------------------------

@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Settings the jobs are planned for. Adaptive execution does the sizing: shuffles start with many
 # partitions and are merged to the advisory size, hot ones are split.
@@ -16,6 +19,8 @@ DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # plans over wide tables are built column by column; recording the call site of each is slow
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _local_dirs: dict[str, str] = {}
@@ -55,3 +60,8 @@ def work_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the shared folder."""
     return f"{work_root(spark)}/tidegate/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def small_frame(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
+    """A few rows of the driver's own making, as a local relation whose size the optimizer knows."""
+    return spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(schema)))

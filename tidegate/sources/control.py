@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.schemas import CONTROL
@@ -24,22 +23,19 @@ def parse_control(raw: DataFrame, field_names: Mapping[str, str] | None = None)
     names = dict(field_names or {})
     present = set(raw.columns)
 
-    def column(field: T.StructField):
+    def column(field: T.StructField) -> str:
         source = names.get(field.name, field.name)
-        if source not in present:
-            value = F.lit(None).cast("string")
-        else:
-            value = F.col(f"`{source}`").cast("string")
-        if isinstance(field.dataType, T.BooleanType):
-            if field.name in _ON_UNLESS_FALSE:
-                value = F.coalesce(value != "false", F.lit(True))
-            else:
-                value = F.coalesce(value == "true", F.lit(False))
-        elif not isinstance(field.dataType, T.StringType):
-            value = F.when(value != "", value).cast(field.dataType)
-        return value.alias(field.name)
-
-    return raw.select([column(f) for f in CONTROL.fields])
+        value = f"CAST(`{source}` AS STRING)" if source in present else "CAST(NULL AS STRING)"
+        kind = field.dataType.simpleString()
+        if field.name in _ON_UNLESS_FALSE:
+            value = f"coalesce({value} <> 'false', true)"
+        elif kind == "boolean":
+            value = f"coalesce({value} = 'true', false)"
+        elif kind != "string":
+            value = f"CAST(nullif({value}, '') AS {kind})"
+        return f"{value} AS {field.name}"
+
+    return raw.selectExpr(*[column(f) for f in CONTROL.fields])
 
 
 def read_control(
