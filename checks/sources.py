@@ -236,6 +236,12 @@ def counts_or_default(spark, sf):
 DAY_PROFILE_SQL = "SELECT CAST(ts AS DATE) AS day, count(*) AS row_count FROM events GROUP BY 1"
 
 
+@query(f"{SRC} SELECT {_COUNTS} FROM src")
+def profile_counts(spark, sf):
+    """The source counts out of the day sizes, in the same pass."""
+    return C.profile_counts(C.measure_days(fx.src_orders(spark, sf)))
+
+
 @query(DAY_PROFILE_SQL)
 def day_profile(spark, sf):
     return C.day_profile(fx.src_events(spark, sf))

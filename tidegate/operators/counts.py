@@ -74,6 +74,30 @@ def day_profile(df: DataFrame, updated: str = UPDATED, with_bytes: bool = False)
     )
 
 
+def measure_days(df: DataFrame, updated: str = UPDATED, with_bytes: bool = False) -> DataFrame:
+    """The day profile with each day's first and last update, rows without a date included.
+
+    It holds the source counts as well (``profile_counts``), so that one pass over the table
+    serves both.
+    """
+    costs = [F.sum(csv_bytes(df)).alias("byte_count")] if with_bytes else []
+    return df.groupBy(trunc_day(updated).alias("day")).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.min(updated).alias("first_update"),
+        F.max(updated).alias("last_update"),
+        *costs,
+    )
+
+
+def profile_counts(measured: DataFrame) -> DataFrame:
+    """What ``record_counts`` gives, from ``measure_days``."""
+    return measured.agg(
+        F.coalesce(F.sum("row_count"), F.lit(0).cast("bigint")).alias("row_count"),
+        F.min("first_update").alias("min_update_date"),
+        F.max("last_update").alias("max_update_date"),
+    )
+
+
 def order_profile(profile: DataFrame, by: str = "day") -> DataFrame:
     return profile.orderBy(by)
 

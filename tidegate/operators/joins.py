@@ -8,12 +8,14 @@ plans run as shuffled joins.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.dates import trunc_day
+from tidegate.operators.slices import date_range
 
 
 def parse_keys(primary_key: str) -> list[str]:
@@ -97,13 +99,19 @@ def upsert_rows(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> Da
 
 
 def assign_window(
-    df: DataFrame, windows: DataFrame, updated: str = "last_update_date"
+    df: DataFrame,
+    windows: DataFrame,
+    updated: str = "last_update_date",
+    span: tuple[date, date] | None = None,
 ) -> DataFrame:
     """Attaches ``window_id`` to each row in one pass; rows outside all windows drop out.
 
     Windows become their days, so the match is an equality on the day and not a range join. The
-    number of days is bounded by the calendar span, not by the rows.
+    number of days is bounded by the calendar span, not by the rows. ``span``, the first and last
+    day of all windows where they are known, is pushed to the scan.
     """
+    if span is not None:
+        df = date_range(df, *span, updated)
     days = windows.select(
         "window_id", F.explode(F.sequence("begin_date", "end_date")).alias("_day")
     )

@@ -8,9 +8,12 @@ table, so a run that dies is continued by the next one from where it was.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,6 +77,8 @@ class IngestRun:
     project: str = ""
     # target table name -> SQL expression that cuts it into pieces
     pieces: dict[str, str] | None = None
+    # tables loaded at the same time; those of one target always follow each other
+    parallel: int = 1
 
     # tables of the run ---------------------------------------------------------------------
 
@@ -238,32 +243,33 @@ def _finish(run: IngestRun, item: Row, result: dict, file_name: str, started: st
     return result
 
 
-def _run_item(
-    run: IngestRun,
-    item: Row,
-    count: Callable[[], tuple],
-    extract: Callable[[tuple], tuple[DataFrame, str]],
-    load: Callable[[DataFrame], loads.LoadResult],
-    scheduled: bool = False,
-    empty_is_loaded: bool = False,
-) -> dict:
-    """Count, extract and stage, load, reconcile; a failure of one step is recorded, not raised.
+@dataclass
+class Steps:
+    """How one table is counted, extracted and staged, and loaded."""
+
+    count: Callable[[], tuple]
+    extract: Callable[[tuple], tuple[DataFrame, str]]
+    load: Callable[[DataFrame], loads.LoadResult]
+
+
+def _run_item(run: IngestRun, item: Row, steps: Steps, empty_is_loaded: bool) -> Callable[..., dict]:
+    """Counts, extracts, stages and loads one table; gives the call that reconciles it.
 
-    Loads leave the table alone when nothing was staged, unless ``empty_is_loaded``: those that
-    empty their table first.
+    A failure of one step is recorded, not raised. Loads leave the table alone when nothing was
+    staged, unless ``empty_is_loaded``: those that empty their table first.
     """
     started = run.now()
-    counted = count()
+    counted = steps.count()
     result = _blank(run, item, counted)
     file_name = _file_name(run, item)
     try:
-        staged, file_name = extract(counted)
+        staged, file_name = steps.extract(counted)
     except Exception as error:
         result.update(outcome="extract_failed", extract_error=str(error).split("\n")[0])
     extracted = run.now()
     if result["outcome"] == "loaded":
         try:
-            done = load(staged)
+            done = steps.load(staged)
             result.update(
                 rows_before=done.rows_before, rows_after=done.rows_after, processed=done.processed
             )
@@ -271,7 +277,41 @@ def _run_item(
                 result["outcome"] = "empty"
         except Exception as error:
             result.update(load_error=True, load_error_message=str(error).split("\n")[0])
-    return _finish(run, item, result, file_name, started, extracted, scheduled)
+    return partial(_finish, run, item, result, file_name, started, extracted)
+
+
+def _run_items(
+    run: IngestRun,
+    items: list[Row],
+    steps: Callable[[Row], Steps],
+    scheduled: bool = False,
+    empty_is_loaded: bool = False,
+) -> list[dict]:
+    """Loads the listed tables in order, ``run.parallel`` at a time.
+
+    Control and statistics are written here, by one thread, as each table is done.
+    """
+
+    def one_target(group: list[Row]) -> list[Callable[..., dict]]:
+        return [_run_item(run, item, steps(item), empty_is_loaded) for item in group]
+
+    if run.parallel <= 1:
+        done = [finish(scheduled=scheduled) for item in items for finish in one_target([item])]
+    else:
+        groups: dict[str, list[Row]] = {}
+        for item in items:
+            groups.setdefault(run.target_path(item), []).append(item)
+        with ThreadPoolExecutor(run.parallel) as pool:
+            work = inheritable_thread_target(run.spark)(one_target)
+            running = [pool.submit(work, group) for group in groups.values()]
+            done = [
+                finish(scheduled=scheduled)
+                for ended in as_completed(running)
+                for finish in ended.result()
+            ]
+    for path in (run.control_path, run.stats_path) if done else ():
+        TargetTable(run.spark, path).expire(keep=5)
+    return done
 
 
 # the flows ---------------------------------------------------------------------------------
@@ -280,123 +320,124 @@ def _run_item(
 def run_regular(run: IngestRun) -> list[dict]:
     """Change, full, projected, validation and metadata loads that are not split by date."""
     routed = sel.route(sel.select_regular(run.control()))
-    done = []
-    for item in work_list(run, routed.filter(F.col("route") == "regular").drop("route")):
+
+    def steps(item: Row) -> Steps:
         if item.load_type == "MetaData":
             # the release table is there even when the extract turns out empty
             loads.create_if_missing_metadata(run.spark, run.target_path(item), "columns")
-        done.append(
-            _run_item(
-                run,
-                item,
-                lambda item=item: _count(run, item),
-                lambda _, item=item: _stage(
-                    run, item, _extract(run, item, run.read(item.source_table))
-                ),
-                lambda staged, item=item: _load(run, item, staged),
-            )
+        return Steps(
+            lambda: _count(run, item),
+            lambda _: _stage(run, item, _extract(run, item, run.read(item.source_table))),
+            lambda staged: _load(run, item, staged),
         )
-    return done
+
+    regular = routed.filter(F.col("route") == "regular").drop("route")
+    return _run_items(run, work_list(run, regular), steps)
+
+
+def measure(run: IngestRun, source: DataFrame) -> DataFrame:
+    """Sizes per update day, written once: the source is scanned once for counts and windows."""
+    sizes = C.measure_days(source, UPDATED, run.window_cost == "byte_count")
+    return _written_once(run, sizes, "days")
 
 
-def plan_windows(run: IngestRun, source: DataFrame, min_update_date) -> DataFrame:
+def plan_windows(run: IngestRun, sizes: DataFrame, min_update_date) -> DataFrame:
     """The window set of a full load, decided from measured sizes before any extract.
 
-    It is written once and read back: the table it is decided from is scanned once, and the size
-    of the window list is known to the optimizer.
+    It is read back from a small file, so the optimizer knows its size.
     """
-    with_bytes = run.window_cost == "byte_count"
-    profile = C.day_profile(source, UPDATED, with_bytes)
     span = T.StructType([T.StructField("min_update_date", T.TimestampNTZType())])
     first = small_frame(run.spark, [{"min_update_date": min_update_date}], span)
     months = win.month_windows(first, run.as_of)
-    chosen = win.adaptive_windows(profile, months, run.window_limit, run.window_cost)
-    path = work_path(run.spark, "windows")
-    chosen.write.parquet(path)
-    return run.spark.read.schema(chosen.schema).parquet(path)
+    dated = sizes.filter(F.col("day").isNotNull())
+    chosen = win.adaptive_windows(dated, months, run.window_limit, run.window_cost)
+    return _written_once(run, chosen, "windows")
+
+
+def _written_once(run: IngestRun, df: DataFrame, purpose: str) -> DataFrame:
+    path = work_path(run.spark, purpose)
+    df.write.parquet(path)
+    return run.spark.read.schema(df.schema).parquet(path)
 
 
 def _windowed(run: IngestRun, item: Row, source: DataFrame, windows: DataFrame):
-    extract = source
+    """Stages the rows of all windows in one pass over the days the windows span."""
+    span = windows.agg(F.min("begin_date"), F.max("end_date")).first()
+    span = tuple(span) if span[0] is not None else None
+    dated = assign_window(source, windows, UPDATED, span)
     if item.load_type == "Special_Full":
-        # the date may be missing from the stored select list, so windows are matched first
-        dated = assign_window(source, windows, UPDATED)
-        extract = scan_projected(dated, f"{item.return_fields}, window_id")
-    else:
-        extract = assign_window(source, windows, UPDATED)
-    return _stage(run, item, extract, "window_id")
+        dated = scan_projected(dated, f"{item.return_fields}, window_id")
+    return _stage(run, item, dated, "window_id")
 
 
 def run_batched(run: IngestRun) -> list[dict]:
     """Full loads split into date windows; the table is emptied once, windows load in one pass."""
     routed = sel.route(sel.select_batched(run.control()))
-    done = []
-    for item in work_list(run, routed.filter(F.col("route") == "batched").drop("route")):
 
-        def extract(counted, item=item):
+    def steps(item: Row) -> Steps:
+        measured: list[DataFrame] = []
+
+        def count() -> tuple:
+            if not item.has_update_date:
+                return _count(run, item)
+            try:
+                measured.append(measure(run, run.read(item.source_table)))
+                return tuple(C.profile_counts(measured[0]).first())
+            except Exception:
+                return 0, None, None
+
+        def extract(counted: tuple):
             source = run.read(item.source_table)
-            return _windowed(run, item, source, plan_windows(run, source, counted[1]))
-
-        done.append(
-            _run_item(
-                run,
-                item,
-                lambda item=item: _count(run, item),
-                extract,
-                lambda staged, item=item: loads.replace_load(
-                    staged, run.target_path(item), run.piece_by(item), clear_when_empty=True
-                ),
-                empty_is_loaded=True,
-            )
-        )
-    return done
+            sizes = measured[0] if measured else measure(run, source)
+            return _windowed(run, item, source, plan_windows(run, sizes, counted[1]))
+
+        def load(staged: DataFrame) -> loads.LoadResult:
+            target, piece_by = run.target_path(item), run.piece_by(item)
+            return loads.replace_load(staged, target, piece_by, clear_when_empty=True)
+
+        return Steps(count, extract, load)
+
+    batched = routed.filter(F.col("route") == "batched").drop("route")
+    return _run_items(run, work_list(run, batched), steps, empty_is_loaded=True)
 
 
 def run_scheduled(run: IngestRun) -> list[dict]:
     """Loads asked for by their schedule: by months, over all update dates, or a manual range."""
-    done = []
-    for item in work_list(run, sel.select_scheduled(run.control())):
 
-        def extract(counted, item=item):
+    def steps(item: Row) -> Steps:
+        def extract(counted: tuple):
+            asked = {
+                **item.asDict(),
+                "min_update_date": counted[1],
+                "max_update_date": counted[2],
+            }
             frame = small_frame(
-                run.spark,
-                [{**item.asDict(), "min_update_date": counted[1], "max_update_date": counted[2]}],
-                _SCHEDULED,
+                run.spark, [{f: asked[f] for f in _SCHEDULED.fieldNames()}], _SCHEDULED
             )
             windows = win.schedule_windows(frame, run.as_of).drop("table_uid")
             return _windowed(run, item, run.read(item.source_table), windows)
 
-        keep = item.schedule == "Manual" and not item.schedule_truncate
-
-        def load(staged, item=item, keep=keep):
+        def load(staged: DataFrame) -> loads.LoadResult:
             target, piece_by = run.target_path(item), run.piece_by(item)
-            if keep:
+            if item.schedule == "Manual" and not item.schedule_truncate:
                 return loads.append_load(staged, target, piece_by)
             return loads.replace_load(staged, target, piece_by, clear_when_empty=True)
 
-        done.append(
-            _run_item(
-                run,
-                item,
-                lambda item=item: _count(run, item),
-                extract,
-                load,
-                scheduled=True,
-                empty_is_loaded=True,
-            )
-        )
-    return done
+        return Steps(lambda: _count(run, item), extract, load)
+
+    items = work_list(run, sel.select_scheduled(run.control()))
+    return _run_items(run, items, steps, scheduled=True, empty_is_loaded=True)
 
 
 def run_metadata(
     run: IngestRun, constraints: str = "all_constraints", cons_columns: str = "all_cons_columns"
 ) -> list[dict]:
     """Column catalog (both slices) and primary keys, into one target per release."""
-    done = []
-    for item in work_list(run, sel.select_metadata(run.control())):
+
+    def steps(item: Row) -> Steps:
         keys = item.source_table == PRIMARY_KEYS_TABLE
 
-        def extract(_, item=item, keys=keys):
+        def extract(_):
             if keys:
                 found = primary_keys(run.read(constraints), run.read(cons_columns), run.owner)
             else:
@@ -404,35 +445,29 @@ def run_metadata(
                 found = scan_projected(columns, f"{item.return_fields}, slice")
             return _stage(run, item, found)
 
-        def load(staged, item=item, keys=keys):
+        def load(staged: DataFrame) -> loads.LoadResult:
             target = run.target_path(item)
             kind = "primary_keys" if keys else "columns"
             loads.create_if_missing_metadata(run.spark, target, kind)
             return loads.replace_load(staged, target, clear_when_empty=True)
 
-        def count(item=item, keys=keys):
-            return (0, None, None) if keys else _count(run, item)
+        return Steps(lambda: (0, None, None) if keys else _count(run, item), extract, load)
 
-        done.append(_run_item(run, item, count, extract, load, empty_is_loaded=True))
-    return done
+    items = work_list(run, sel.select_metadata(run.control()))
+    return _run_items(run, items, steps, empty_is_loaded=True)
 
 
 def run_freeform(run: IngestRun) -> list[dict]:
     """Stored SQL queries, into targets created from their columns."""
-    done = []
-    for item in work_list(run, sel.select_freeform(run.control())):
-        done.append(
-            _run_item(
-                run,
-                item,
-                lambda: (0, None, None),
-                lambda _, item=item: _stage(
-                    run, item, scan_freeform(run.spark, item.freeform_sql)
-                ),
-                lambda staged, item=item: _load(run, item, staged),
-            )
+
+    def steps(item: Row) -> Steps:
+        return Steps(
+            lambda: (0, None, None),
+            lambda _: _stage(run, item, scan_freeform(run.spark, item.freeform_sql)),
+            lambda staged: _load(run, item, staged),
         )
-    return done
+
+    return _run_items(run, work_list(run, sel.select_freeform(run.control())), steps)
 
 
 def run_all(run: IngestRun, export_to: str | None = None) -> list[dict]:
