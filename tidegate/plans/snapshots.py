@@ -55,7 +55,8 @@ def piece_column(piece_by: str | None) -> Column:
         return F.lit(WHOLE)
     raw = F.coalesce(F.expr(piece_by).cast("string"), F.lit("none"))
     safe = F.regexp_replace(raw, "[^A-Za-z0-9_.-]", "_")
-    return F.when(raw == safe, safe).otherwise(F.concat_ws("_", safe, F.crc32(raw)))
+    unchanged = (raw == safe) & (raw != "")
+    return F.when(unchanged, raw).otherwise(F.concat_ws("_", F.lit("x"), safe, F.crc32(raw)))
 
 
 class TargetTable:

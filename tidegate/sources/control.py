@@ -47,7 +47,7 @@ def read_control(
     """All control items, whatever their number, from an export of the control store."""
     names = dict(field_names or {})
     if fmt in ("json", "csv"):
-        schema = text_schema([names.get(f.name, f.name) for f in CONTROL.fields])
+        schema = text_schema(list(dict.fromkeys(names.get(f.name, f.name) for f in CONTROL.fields)))
         reader = spark.read.format(fmt)
         if fmt == "json":
             reader = reader.schema(schema)
