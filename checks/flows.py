@@ -131,12 +131,34 @@ def batched_full_flow(spark, sf):
         sf,
         [{"table_uid": "orders", "source_table": "orders_src", "load_type": "Full",
           "batched": "true"}],
-        window_limit=20_000,
+        window_limit=65_536,
     )
     runs.run_batched(run)
     return read_target(spark, f"{run.target_root}/dw/orders_src")
 
 
+@query(
+    f"""{_MONTHS}, sizes AS (SELECT w.window_id, w.begin_date, w.end_date, count(o_orderkey) AS row_count
+  FROM months w LEFT JOIN src ON CAST(last_update_date AS DATE) BETWEEN w.begin_date AND w.end_date
+  GROUP BY 1, 2, 3)
+SELECT 'orders' AS table_uid, '1998-06-15 04:05:06' AS loaded_at, *,
+  CAST(sum(row_count) OVER (ORDER BY begin_date) AS BIGINT) AS target_row_count,
+  row_count = 0 AS zero_rows FROM sizes"""
+)
+def batched_window_status(spark, sf):
+    """The progress rows of a split load, from the measured days."""
+    run = make_run(
+        spark,
+        sf,
+        [{"table_uid": "orders", "source_table": "orders_src", "load_type": "Full",
+          "batched": "true"}],
+        window_cost="row_count",
+        window_limit=10**9,
+    )
+    runs.run_batched(run)
+    return read_target(spark, run.windows_path)
+
+
 @query(
     f"""{SRC} SELECT 'manual' AS loaded, o_orderkey, o_totalprice FROM src
 WHERE CAST(last_update_date AS DATE) BETWEEN DATE '1998-02-10' AND DATE '1998-03-05'

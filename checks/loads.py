@@ -70,6 +70,15 @@ def replace_load(spark, sf):
     return L.read_target(spark, target)
 
 
+@query("SELECT * FROM lineitem")
+def full_load_through_staging(spark, sf):
+    """Extract, clean, stage as text, read back, load: every row of the largest table."""
+    lines, target = fx.table(spark, sf, "lineitem"), _target(spark)
+    path = L.stage_raw(lines, work_path(spark, "raw"), "FullTableLoads/lineitem", "load")
+    L.replace_load(L.read_staged(spark, path, lines.schema), target)
+    return L.read_target(spark, target)
+
+
 @query(f"{SRC} {fx.tgt_orders_sql('1998-06-14')}")
 def replace_load_without_rows(spark, sf):
     """An empty extract leaves the table as it was."""
@@ -142,6 +151,22 @@ def create_if_missing(spark, sf):
     )
 
 
+@query(
+    f"""{_COLUMNS}, n AS (SELECT count(*) AS c FROM columns_ WHERE {_NAMED} AND data_type IS NOT NULL)
+SELECT 'missing' AS state, false AS existed, CAST(0 AS BIGINT) AS rows_before FROM n
+UNION ALL SELECT 'present', true, c FROM n"""
+)
+def create_if_missing_metadata(spark, sf):
+    target = _target(spark)
+    first = L.create_if_missing_metadata(spark, target, "columns")
+    L.metadata_cols_load(fx.catalog_columns(spark, sf), target, fx.OWNER, fx.TEXT_TYPE)
+    second = L.create_if_missing_metadata(spark, target, "columns")
+    return spark.createDataFrame(
+        [("missing", *first), ("present", *second)],
+        "state string, existed boolean, rows_before bigint",
+    )
+
+
 @query(_FREEFORM)
 def freeform_load(spark, sf):
     target = _target(spark)

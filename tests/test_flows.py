@@ -9,6 +9,7 @@ from checks import fixtures as fx
 from checks.flows import make_run
 from tidegate.plans import flows
 from tidegate.plans.loads import read_target, replace_load
+from tidegate.sources.landing import read_landing_csv
 
 
 def uid_rows(df):
@@ -129,7 +130,7 @@ def test_manual_range_adds_without_truncation(spark, sf):
     assert row.schedule == "false" and row.inserted_rows is None
 
 
-def test_freeform_appends_unless_told_to_truncate(spark, sf):
+def test_freeform_appends_unless_told_to_truncate(spark, sf, tmp_path):
     fx.table(spark, sf, "nation").createOrReplaceTempView("nation")
     free = {"load_type": "FreeForm", "freeform_sql": "SELECT n_name FROM nation"}
     for truncate, wanted in (("true", 25), ("false", 50)):
@@ -141,6 +142,9 @@ def test_freeform_appends_unless_told_to_truncate(spark, sf):
         again = run.control().withColumn("last_update_date", F.lit(""))
         flows.start_control(spark, again, run.control_path)
         run.clock = lambda: datetime(1998, 6, 15, 5, 0, 0)
-        flows.run_freeform(run)
+        run.stats_export = str(tmp_path / truncate)
+        (done,) = flows.run_freeform(run)
+        exported = read_landing_csv(spark, f"{run.stats_export}/{done['file_name']}")
+        assert exported.first().load_status == "Success"
         assert read_target(spark, f"{run.target_root}/dw/n").count() == wanted
         assert run.control().first().load_type == "FreeForm"

@@ -83,6 +83,25 @@ def test_windows_get_their_own_folders(spark, tmp_path):
     assert len(list(Path(path, "window_id=W0").glob("*.csv"))) >= 4  # 34 rows, 10 a file
 
 
+def test_a_hot_window_is_split(spark, tmp_path):
+    """Two thirds of the rows in one window do not end up in one task."""
+    df = spark.range(200_000).selectExpr(
+        "id", "uuid() AS text", "CASE WHEN id % 3 < 2 THEN 'hot' ELSE concat('W', id % 9) END AS w"
+    )
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "100k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        path = stage_raw(df, str(tmp_path), "zone/t", "load", window="w", rows_per_file=10**9)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert len(list(Path(path, "w=hot").glob("*.csv"))) > 3
+
+
 def test_byte_cost_is_the_staged_size(spark, tmp_path):
     data = [(i, t) for i, t in enumerate(t for t in NASTY if "\r" not in t)]
     df = spark.createDataFrame(data, "id int, text string").coalesce(1)

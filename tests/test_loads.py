@@ -111,6 +111,16 @@ def test_hashed_pieces(spark, target):
     assert {tuple(r) for r in got} == {("v", 40), ("w", 20)}
 
 
+def test_pieces_of_the_key_are_found_without_the_target(spark, target, monkeypatch):
+    L.replace_load(frame(spark, [(i, "v", 0, 0) for i in range(50)]), target, "id % 10")
+    table = TargetTable(spark, target)
+    kept = {f for f in table.current().folders if f.piece not in ("3", "4")}
+    monkeypatch.setattr(L, "rows_with_match", None)  # the target's keys are not looked at
+    L.upsert_load(frame(spark, [(3, "w", 0, 1), (104, "w", 0, 1)]), target, KEY, NEWEST)
+    assert kept <= set(table.current().folders)
+    assert table.read().count() == 51
+
+
 def test_piece_names_stay_apart(spark, target):
     rows = spark.createDataFrame([("a/b",), ("a_b",), ("a:b",), (None,), ("",)], "p string")
     L.replace_load(rows, target, "p")

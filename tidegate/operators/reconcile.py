@@ -204,20 +204,22 @@ def apply_batch_progress(control: DataFrame, settled: DataFrame) -> DataFrame:
     return merge_by_key(control, _written(settled), "table_uid", RESULT_FIELDS[:10])
 
 
-def window_progress(assigned: DataFrame, windows: DataFrame) -> DataFrame:
+def window_progress(assigned: DataFrame, windows: DataFrame, rows: str = "1") -> DataFrame:
     """Rows of each window and the target's total after it, windows in date order.
 
-    Rows are counted per window before the shuffle; the running total is over windows only.
+    ``assigned`` has one row per source row, or per day with its count in the column ``rows``.
+    Rows are added up per window before the shuffle; the running total is over windows only, whose
+    number the calendar bounds.
     """
-    sizes = assigned.groupBy("window_id").agg(F.count(F.lit(1)).alias("_n"))
-    rows = windows.join(sizes, "window_id", "left").select(
+    sizes = assigned.groupBy("window_id").agg(F.sum(F.expr(rows)).cast("bigint").alias("_n"))
+    sized = windows.join(sizes, "window_id", "left").select(
         "window_id",
         "begin_date",
         "end_date",
         F.coalesce("_n", F.lit(0).cast("bigint")).alias("row_count"),
     )
     in_order = W.orderBy("begin_date").rowsBetween(W.unboundedPreceding, W.currentRow)
-    return rows.withColumns(
+    return sized.withColumns(
         {
             "target_row_count": F.sum("row_count").over(in_order),
             "zero_rows": F.col("row_count") == 0,

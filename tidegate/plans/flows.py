@@ -32,8 +32,8 @@ from tidegate.operators.slices import (
 )
 from tidegate.plans import loads
 from tidegate.plans.snapshots import TargetTable
-from tidegate.schemas import CONTROL, LOAD_STATS, RUN_RESULT
-from tidegate.session import small_frame, work_path
+from tidegate.schemas import CONTROL, LOAD_STATS, RUN_RESULT, WINDOW_STATUS
+from tidegate.session import drop_path, small_frame, work_path
 from tidegate.sources.tables import scan_freeform, scan_projected
 
 STAMP = "%Y-%m-%d %H:%M:%S"
@@ -79,6 +79,8 @@ class IngestRun:
     pieces: dict[str, str] | None = None
     # tables loaded at the same time; those of one target always follow each other
     parallel: int = 1
+    # folder for the exported statistics items of free-form loads
+    stats_export: str | None = None
 
     # tables of the run ---------------------------------------------------------------------
 
@@ -89,6 +91,11 @@ class IngestRun:
         loads.create_if_missing(self.spark, self.stats_path, LOAD_STATS)
         return loads.read_target(self.spark, self.stats_path)
 
+    @property
+    def windows_path(self) -> str:
+        """Progress rows of loads split by date."""
+        return f"{self.stats_path}_windows"
+
     def target_path(self, item: Row) -> str:
         return f"{self.target_root}/{item.target_schema}/{item.target_table}"
 
@@ -240,7 +247,7 @@ def _finish(run: IngestRun, item: Row, result: dict, file_name: str, started: st
     )
     stats = R.stats_transition(R.stats_put_if_absent(run.stats(), new), outcome)
     loads.replace_load(stats, run.stats_path)
-    return result
+    return {**result, "file_name": file_name}
 
 
 @dataclass
@@ -322,42 +329,33 @@ def run_regular(run: IngestRun) -> list[dict]:
     routed = sel.route(sel.select_regular(run.control()))
 
     def steps(item: Row) -> Steps:
-        if item.load_type == "MetaData":
-            # the release table is there even when the extract turns out empty
-            loads.create_if_missing_metadata(run.spark, run.target_path(item), "columns")
+        def extract(_):
+            if item.load_type == "MetaData":
+                # the release table is there even when the extract turns out empty
+                loads.create_if_missing_metadata(run.spark, run.target_path(item), "columns")
+            return _stage(run, item, _extract(run, item, run.read(item.source_table)))
+
         return Steps(
-            lambda: _count(run, item),
-            lambda _: _stage(run, item, _extract(run, item, run.read(item.source_table))),
-            lambda staged: _load(run, item, staged),
+            lambda: _count(run, item), extract, lambda staged: _load(run, item, staged)
         )
 
     regular = routed.filter(F.col("route") == "regular").drop("route")
     return _run_items(run, work_list(run, regular), steps)
 
 
-def measure(run: IngestRun, source: DataFrame) -> DataFrame:
-    """Sizes per update day, written once: the source is scanned once for counts and windows."""
-    sizes = C.measure_days(source, UPDATED, run.window_cost == "byte_count")
-    return _written_once(run, sizes, "days")
+def _written_once(run: IngestRun, df: DataFrame, path: str) -> DataFrame:
+    """Small results that are used more than once; read back, their size is known."""
+    df.write.parquet(path)
+    return run.spark.read.schema(df.schema).parquet(path)
 
 
 def plan_windows(run: IngestRun, sizes: DataFrame, min_update_date) -> DataFrame:
-    """The window set of a full load, decided from measured sizes before any extract.
-
-    It is read back from a small file, so the optimizer knows its size.
-    """
+    """The window set of a full load, decided from measured sizes before any extract."""
     span = T.StructType([T.StructField("min_update_date", T.TimestampNTZType())])
     first = small_frame(run.spark, [{"min_update_date": min_update_date}], span)
     months = win.month_windows(first, run.as_of)
     dated = sizes.filter(F.col("day").isNotNull())
-    chosen = win.adaptive_windows(dated, months, run.window_limit, run.window_cost)
-    return _written_once(run, chosen, "windows")
-
-
-def _written_once(run: IngestRun, df: DataFrame, purpose: str) -> DataFrame:
-    path = work_path(run.spark, purpose)
-    df.write.parquet(path)
-    return run.spark.read.schema(df.schema).parquet(path)
+    return win.adaptive_windows(dated, months, run.window_limit, run.window_cost)
 
 
 def _windowed(run: IngestRun, item: Row, source: DataFrame, windows: DataFrame):
@@ -371,29 +369,49 @@ def _windowed(run: IngestRun, item: Row, source: DataFrame, windows: DataFrame):
 
 
 def run_batched(run: IngestRun) -> list[dict]:
-    """Full loads split into date windows; the table is emptied once, windows load in one pass."""
+    """Full loads split into date windows; the table is emptied once, windows load in one pass.
+
+    One scan of the source measures its days, for the counts and for the windows; a second one
+    extracts.
+    """
     routed = sel.route(sel.select_batched(run.control()))
 
     def steps(item: Row) -> Steps:
-        measured: list[DataFrame] = []
+        work = work_path(run.spark, "windows")
+        frames: dict[str, DataFrame] = {}
+
+        def measure() -> DataFrame:
+            if "days" not in frames:
+                source = run.read(item.source_table)
+                days = C.measure_days(source, UPDATED, run.window_cost == "byte_count")
+                frames["days"] = _written_once(run, days, f"{work}/days")
+            return frames["days"]
 
         def count() -> tuple:
             if not item.has_update_date:
                 return _count(run, item)
             try:
-                measured.append(measure(run, run.read(item.source_table)))
-                return tuple(C.profile_counts(measured[0]).first())
+                return tuple(C.profile_counts(measure()).first())
             except Exception:
                 return 0, None, None
 
         def extract(counted: tuple):
-            source = run.read(item.source_table)
-            sizes = measured[0] if measured else measure(run, source)
-            return _windowed(run, item, source, plan_windows(run, sizes, counted[1]))
+            chosen = plan_windows(run, measure(), counted[1])
+            frames["windows"] = _written_once(run, chosen, f"{work}/windows")
+            return _windowed(run, item, run.read(item.source_table), frames["windows"])
 
         def load(staged: DataFrame) -> loads.LoadResult:
             target, piece_by = run.target_path(item), run.piece_by(item)
-            return loads.replace_load(staged, target, piece_by, clear_when_empty=True)
+            done = loads.replace_load(staged, target, piece_by, clear_when_empty=True)
+            days = assign_window(frames["days"], frames["windows"], "day")
+            progress = R.window_progress(days, frames["windows"], rows="row_count")
+            named = progress.withColumns(
+                {"table_uid": F.lit(item.table_uid), "loaded_at": F.lit(run.now())}
+            )
+            loads.create_if_missing(run.spark, run.windows_path, WINDOW_STATUS)
+            loads.append_load(named, run.windows_path)
+            drop_path(run.spark, work)
+            return done
 
         return Steps(count, extract, load)
 
@@ -467,7 +485,13 @@ def run_freeform(run: IngestRun) -> list[dict]:
             lambda staged: _load(run, item, staged),
         )
 
-    return _run_items(run, work_list(run, sel.select_freeform(run.control())), steps)
+    done = _run_items(run, work_list(run, sel.select_freeform(run.control())), steps)
+    if run.stats_export:
+        stats = run.stats()
+        for result in done:
+            name = result["file_name"]
+            R.export_stats_item(stats, name, f"{run.stats_export}/{name}")
+    return done
 
 
 def run_all(run: IngestRun, export_to: str | None = None) -> list[dict]:

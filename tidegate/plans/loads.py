@@ -6,6 +6,7 @@ first writes the reduced stage, whose size then decides how the joins run).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -30,7 +31,7 @@ from tidegate.operators.joins import (
 from tidegate.operators.slices import catalog_slice
 from tidegate.plans.snapshots import PIECE, Snapshot, TargetTable, piece_column
 from tidegate.schemas import CATALOG_COLUMNS, PRIMARY_KEYS
-from tidegate.session import work_path
+from tidegate.session import drop_path, work_path
 from tidegate.sources.landing import CSV_OPTIONS, read_landing_csv
 
 ROWS_PER_FILE = 250_000  # a file with line breaks inside fields is read by one task
@@ -216,29 +217,43 @@ def upsert_load(
     table, base = _open(staged.drop(*order_only), target, piece_by)
     reduced = work_path(spark, "stage")
     latest = keep_latest(staged, keys, order_by).drop(*order_only)
-    conform(latest, base.struct).write.parquet(reduced)
-    stage = spark.read.schema(base.struct).parquet(reduced)
-    processed = stage.count()
-    if not processed:
-        after = table.commit(base, base.folders, applied) if applied else base
-        return _result(base, after, 0, target)
-
-    touched = {f.piece for f in base.folders}
-    if base.piece_by is not None and touched:
-        held = rows_with_match(
-            table.read_folders(base, list(base.folders)).withColumn(
-                PIECE, piece_column(base.piece_by)
-            ),
-            stage,
-            keys,
-        )
-        touched = {r[0] for r in held.select(PIECE).distinct().collect()}
-    old = table.read_folders(base, [f for f in base.folders if f.piece in touched])
-    fresh = rows_without_match(old, stage, keys).unionByName(stage)
-    folders = base.without(touched) + table.write_folders(fresh, base)
+    try:
+        conform(latest, base.struct).write.parquet(reduced)
+        stage = spark.read.schema(base.struct).parquet(reduced)
+        processed = stage.count()
+        if not processed:
+            after = table.commit(base, base.folders, applied) if applied else base
+            return _result(base, after, 0, target)
+        touched = _touched_pieces(table, base, stage, keys)
+        old = table.read_folders(base, [f for f in base.folders if f.piece in touched])
+        fresh = rows_without_match(old, stage, keys).unionByName(stage)
+        folders = base.without(touched) + table.write_folders(fresh, base)
+    finally:
+        drop_path(spark, reduced)
     return _result(base, table.commit(base, folders, applied), processed, target)
 
 
+def _touched_pieces(
+    table: TargetTable, base: Snapshot, stage: DataFrame, keys: Sequence[str]
+) -> set[str]:
+    """Pieces that hold a staged key.
+
+    Where the piece names no column beside the key, the stage alone tells; otherwise the target's
+    key and piece columns are read. The answer has at most one row per piece.
+    """
+    present = {f.piece for f in base.folders}
+    if base.piece_by is None or not present:
+        return present
+    piece = piece_column(base.piece_by)
+    others = {c.lower() for c in stage.columns} - {k.lower() for k in keys}
+    if not others & {w.lower() for w in re.findall(r"\w+", base.piece_by)}:
+        held = stage.withColumn(PIECE, piece)
+    else:
+        target = table.read_folders(base, list(base.folders))
+        held = rows_with_match(target.withColumn(PIECE, piece), stage, keys)
+    return present & {r[0] for r in held.select(PIECE).distinct().collect()}
+
+
 def overwrite_pieces(staged: DataFrame, target: str, piece_by: str) -> LoadResult:
     """Replaces the pieces that occur in the stage and keeps the others."""
     table, base = _open(staged, target, piece_by)

@@ -82,6 +82,18 @@ PRIMARY_KEYS = _struct(table_name=_S, column_name=_S, position=_I, status=_S, ow
 
 WINDOWS = _struct(window_id=_S, grain=_S, begin_date=_D, end_date=_D)
 
+# Progress of a load split by date, one row per window.
+WINDOW_STATUS = _struct(
+    table_uid=_S,
+    loaded_at=_S,
+    window_id=_S,
+    begin_date=_D,
+    end_date=_D,
+    row_count=_L,
+    target_row_count=_L,
+    zero_rows=_B,
+)
+
 # What one load reports; the reconciliation operators work on frames of these.
 RUN_RESULT = _struct(
     table_uid=_S,

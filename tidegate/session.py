@@ -62,6 +62,12 @@ def work_path(spark: SparkSession, purpose: str) -> str:
     return f"{work_root(spark)}/tidegate/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Removes a work folder this job has made and no longer reads."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def small_frame(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
     """A few rows of the driver's own making, as a local relation whose size the optimizer knows."""
     return spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(schema)))
