@@ -246,7 +246,7 @@ def _touched_pieces(
         return present
     piece = piece_column(base.piece_by)
     others = {c.lower() for c in stage.columns} - {k.lower() for k in keys}
-    if not others & {w.lower() for w in re.findall(r"\w+", base.piece_by)}:
+    if not any(_names(base.piece_by, c) for c in others):
         held = stage.withColumn(PIECE, piece)
     else:
         target = table.read_folders(base, list(base.folders))
@@ -254,6 +254,10 @@ def _touched_pieces(
     return present & {r[0] for r in held.select(PIECE).distinct().collect()}
 
 
+def _names(sql: str, column: str) -> bool:
+    return re.search(rf"(?<!\w){re.escape(column)}(?!\w)", sql.lower()) is not None
+
+
 def overwrite_pieces(staged: DataFrame, target: str, piece_by: str) -> LoadResult:
     """Replaces the pieces that occur in the stage and keeps the others."""
     table, base = _open(staged, target, piece_by)
