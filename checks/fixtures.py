@@ -56,9 +56,8 @@ FROM src WHERE CAST(creation_date AS DATE) < DATE '{day}'"""
 
 
 def tgt_orders(spark: SparkSession, sf: str, day: str) -> DataFrame:
-    return src_orders(spark, sf).createOrReplaceTempView("_src") or spark.sql(
-        tgt_orders_sql(day).replace("FROM src", "FROM _src")
-    )
+    src_orders(spark, sf).createOrReplaceTempView("src")
+    return spark.sql(tgt_orders_sql(day))
 
 
 # events with their own time as the update date ------------------------------------------------

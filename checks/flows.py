@@ -143,8 +143,7 @@ def batched_full_flow(spark, sf):
   GROUP BY 1, 2, 3)
 SELECT 'orders' AS table_uid, '1998-06-15 04:05:06' AS loaded_at, *,
   CAST(sum(row_count) OVER (ORDER BY begin_date) AS BIGINT) AS target_row_count,
-  row_count = 0 AS zero_rows FROM sizes"""
-)
+  row_count = 0 AS zero_rows FROM sizes""", dates="begin_date end_date")
 def batched_window_status(spark, sf):
     """The progress rows of a split load, from the measured days."""
     run = make_run(

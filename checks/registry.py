@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -8,16 +9,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None, name: str | None = None):
-    """Registers a query under its function name, with its SQL where it has one."""
+def query(sql: str | None = None, name: str | None = None, dates: str = ""):
+    """Registers a query under its function name, with its SQL where it has one.
+
+    The columns named in ``dates`` are shown as text on both sides, since the two engines hand
+    dates to Python in different types.
+    """
+    shown = dates.split()
 
     def add(fn):
         key = name or fn.__name__
         if key in QUERIES:
             raise ValueError(f"{key} is registered twice")
-        QUERIES[key] = fn
+
+        @wraps(fn)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            df = fn(spark, sf)
+            return df.selectExpr(
+                *[f"CAST({c} AS STRING) AS {c}" if c in shown else c for c in df.columns]
+            )
+
+        QUERIES[key] = run if shown else fn
         if sql is not None:
-            ORACLES[key] = sql
+            texts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in shown)
+            ORACLES[key] = f"SELECT * REPLACE ({texts}) FROM (\n{sql}\n) q" if shown else sql
         return fn
 
     return add

@@ -30,7 +30,7 @@ CAUGHT_UP = (
 # sources ---------------------------------------------------------------------------------------
 
 
-@query(fx.CONTROL_SQL, name="read_control")
+@query(fx.CONTROL_SQL, name="read_control", dates="schedule_begin schedule_end")
 def control_items(spark, sf):
     path = work_path(spark, "control")
     fx.control_text(spark, sf).write.json(path)
@@ -211,7 +211,7 @@ def record_counts_cdc(spark, sf):
 
 # Count results as text, one per user; some are spelled missing, some are an error text.
 _USER_COUNTS = """SELECT user_id,
-  CASE WHEN user_id % 7 = 0 THEN 'ORA-00942' WHEN user_id % 7 = 1 THEN 'nan'
+  CASE WHEN user_id % 7 = 0 THEN 'table not found' WHEN user_id % 7 = 1 THEN 'nan'
        ELSE cast(count(*) AS string) END AS row_count,
   CASE WHEN user_id % 5 = 0 THEN 'null' ELSE cast(cast(min(ts) AS date) AS string) END
     AS min_update_date,
@@ -242,13 +242,13 @@ def profile_counts(spark, sf):
     return C.profile_counts(C.measure_days(fx.src_orders(spark, sf)))
 
 
-@query(DAY_PROFILE_SQL)
+@query(DAY_PROFILE_SQL, dates="day")
 def day_profile(spark, sf):
     return C.day_profile(fx.src_events(spark, sf))
 
 
 @query(f"{SRC} SELECT CAST(last_update_date AS DATE) AS day, count(*) AS row_count FROM src"
-       " GROUP BY 1 ORDER BY day")
+       " GROUP BY 1 ORDER BY day", dates="day")
 def order_profile(spark, sf):
     return C.order_profile(C.day_profile(fx.src_orders(spark, sf)))
 
@@ -257,8 +257,7 @@ def order_profile(spark, sf):
     """SELECT CAST(ts AS DATE) AS day, count(*) AS row_count,
   CAST(sum(strlen(concat_ws(',', CAST(event_id AS VARCHAR), CAST(user_id AS VARCHAR),
            event_type, '"' || replace(props, '"', '""') || '"')) + 1) AS BIGINT) AS byte_count
-FROM events GROUP BY 1"""
-)
+FROM events GROUP BY 1""", dates="day")
 def day_profile_bytes(spark, sf):
     events = fx.src_events(spark, sf).select(
         "event_id", "user_id", "event_type", "props", "last_update_date"

@@ -127,6 +127,17 @@ def _text(value) -> str | None:
     return None if value is None else str(value)
 
 
+def _stamps(counted: DataFrame) -> tuple[int, object, object]:
+    """Counts as driver values; dates of any type as zone-less time stamps."""
+    return tuple(
+        counted.selectExpr(
+            "row_count",
+            "CAST(min_update_date AS timestamp_ntz)",
+            "CAST(max_update_date AS timestamp_ntz)",
+        ).first()
+    )
+
+
 def _count(run: IngestRun, item: Row) -> tuple[int, object, object]:
     """Rows, earliest and latest update; a count that fails is 0 without dates."""
     try:
@@ -138,8 +149,7 @@ def _count(run: IngestRun, item: Row) -> tuple[int, object, object]:
             counted = C.record_counts_cdc(df, run.as_of, run.lag)
         else:
             counted = C.record_counts(df)
-        row = counted.first()
-        return row.row_count, row.min_update_date, row.max_update_date
+        return _stamps(counted)
     except Exception:
         return 0, None, None
 
@@ -391,7 +401,7 @@ def run_batched(run: IngestRun) -> list[dict]:
             if not item.has_update_date:
                 return _count(run, item)
             try:
-                return tuple(C.profile_counts(measure()).first())
+                return _stamps(C.profile_counts(measure()))
             except Exception:
                 return 0, None, None
 

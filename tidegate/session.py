@@ -14,6 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 # partitions and are merged to the advisory size, hot ones are split.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",

@@ -10,6 +10,37 @@ from pyspark.sql import types as T
 from tidegate.schemas import CONTROL
 from tidegate.sources.landing import CSV_OPTIONS, text_schema
 
+# Field names of an existing control store. Pass them as ``field_names``, with the
+# names of the remaining fields added, to read its items.
+STORE_FIELD_NAMES = {
+    "table_uid": "TableName",
+    "source_table": "TableName1",
+    "target_schema": "SchemaName",
+    "frequency": "Frequency",
+    "active": "ActiveDownloadFlag",
+    "created": "TableCreatedFlag",
+    "load_type": "DailyLoadType",
+    "schedule": "Schedule",
+    "batched": "BatchesFlag",
+    "priority": "priority",
+    "sort_order": "sortOrder",
+    "primary_key": "primarykey",
+    "return_fields": "returnFields",
+    "promote": "FullToCDCFlag",
+    "has_update_date": "LUD_InTable_Flag",
+    "last_update_date": "LastUpdateDate",
+    "schedule_truncate": "ScheduleTruncateFlag",
+    "schedule_begin": "ScheduleBeginDate",
+    "schedule_end": "ScheduleEndDate",
+    "freeform_sql": "zzFreeFormSQL",
+    "freeform_truncate": "zzFreeformTruncateFlag",
+    "source_row_count": "SourceRowCount",
+    "counted_at": "SourceRecCNTUpdateDate",
+    "min_update_date": "minLUD",
+    "max_update_date": "maxLUD",
+    "zero_rows": "ZeroRowsReturned",
+}
+
 # Flags are the strings 'true' and 'false'. Anything but 'true' is off, except that a table has
 # an update date unless told otherwise.
 _ON_UNLESS_FALSE = {"has_update_date"}

@@ -19,15 +19,19 @@ _DAY_FOLDER = r"/(\d{4}/\d{2}/\d{2})/"
 DROP_DAY = "_drop_day"
 
 
-def landing_stream(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+def landing_stream(
+    spark: SparkSession, path: str, columns: Sequence[str], max_files: int | None = None
+) -> DataFrame:
     """New staged files below ``path``, with the day of the drop they belong to."""
-    text = (
+    reader = (
         spark.readStream.schema(text_schema(columns))
         .options(**READ_OPTIONS)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv")
-        .csv(path)
     )
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    text = reader.csv(path)
     day = F.regexp_extract(F.col("_metadata.file_path"), _DAY_FOLDER, 1)
     return text.select("*", day.alias(DROP_DAY))
 
@@ -41,10 +45,12 @@ def landing_upsert_stream(
     checkpoint: str,
     order_by: Sequence[str] = (),
     piece_by: str | None = None,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Upserts all files there are, then stops; run again for later ones.
 
-    Within a batch the later drop wins a key, then ``order_by``. The table's pointer records the
+    Within a batch the later drop wins a key, then ``order_by``. ``max_files`` bounds a batch;
+    batches follow the files' times of arrival. The table's pointer records the
     last batch of the stream, so a batch repeated after a failure is not applied twice.
     """
     create_if_missing(spark, target, schema, piece_by)
@@ -66,7 +72,7 @@ def landing_upsert_stream(
         )
 
     return (
-        landing_stream(spark, path, schema.fieldNames())
+        landing_stream(spark, path, schema.fieldNames(), max_files)
         .writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
