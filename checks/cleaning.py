@@ -73,7 +73,9 @@ _STAMPS = """SELECT event_id, CASE event_id % 10 WHEN 0 THEN '' WHEN 1 THEN 'nul
 @query(
     f"""SELECT event_id, stamp, TRY_CAST(substring(stamp, 1, 10) AS DATE) AS stamp_day,
   CAST(date_trunc('month', TRY_CAST(substring(stamp, 1, 10) AS DATE)) AS DATE) AS stamp_month
-FROM ({_STAMPS}) s""", dates="stamp_day stamp_month")
+FROM ({_STAMPS}) s""",
+    as_text="stamp_day stamp_month",
+)
 def date_part_of_stamp(spark, sf):
     stamps = fx.run_sql(spark, sf, _STAMPS, "events")
     return stamps.withColumns(
@@ -84,7 +86,9 @@ def date_part_of_stamp(spark, sf):
 @query(
     """SELECT event_id, CAST(ts AS DATE) AS day, date_trunc('hour', ts) AS hour,
   DATE '2024-01-20' AS parsed, CAST(ts AS DATE) >= DATE '2024-03-10' - 60 AS recent,
-  upper(event_type) AS kind FROM events""", dates="day parsed")
+  upper(event_type) AS kind FROM events""",
+    as_text="day parsed",
+)
 def sql_date_functions(spark, sf):
     from pyspark.sql import functions as F
 

@@ -127,6 +127,9 @@ def _typed(field) -> str:
 
 CONTROL_SQL = "SELECT " + ",\n  ".join(_typed(f) for f in CONTROL.fields) + "\nFROM part"
 
+# control columns that are dates or may lack a number
+NULLABLE = "schedule_begin schedule_end target_row_count inserted_rows updated_rows"
+
 # columns shown by selection queries
 KEYS = "table_uid, load_type, schedule, batched, priority, sort_order, instance"
 

@@ -88,7 +88,8 @@ UNION ALL SELECT 'orders', 'Special_CDC', orders_n, orders_n, orders_n, 0, '1998
   false FROM n
 UNION ALL SELECT 'check', 'Validation', orders_n, orders_n, orders_n, 0, '1998-06-15 04:05:06', false,
   false FROM n
-UNION ALL SELECT 'done', 'Full', NULL, NULL, NULL, NULL, '1998-06-15 01:00:00', false, false FROM n"""
+UNION ALL SELECT 'done', 'Full', NULL, NULL, NULL, NULL, '1998-06-15 01:00:00', false, false FROM n""",
+    as_text="source_row_count target_row_count inserted_rows updated_rows",
 )
 def regular_full_flow(spark, sf):
     """Control after full, projected and validation loads; what ran today is left alone."""
@@ -131,6 +132,7 @@ def batched_full_flow(spark, sf):
         sf,
         [{"table_uid": "orders", "source_table": "orders_src", "load_type": "Full",
           "batched": "true"}],
+        window_cost="byte_count",
         window_limit=65_536,
     )
     runs.run_batched(run)
@@ -143,7 +145,9 @@ def batched_full_flow(spark, sf):
   GROUP BY 1, 2, 3)
 SELECT 'orders' AS table_uid, '1998-06-15 04:05:06' AS loaded_at, *,
   CAST(sum(row_count) OVER (ORDER BY begin_date) AS BIGINT) AS target_row_count,
-  row_count = 0 AS zero_rows FROM sizes""", dates="begin_date end_date")
+  row_count = 0 AS zero_rows FROM sizes""",
+    as_text="begin_date end_date",
+)
 def batched_window_status(spark, sf):
     """The progress rows of a split load, from the measured days."""
     run = make_run(
@@ -151,8 +155,6 @@ def batched_window_status(spark, sf):
         sf,
         [{"table_uid": "orders", "source_table": "orders_src", "load_type": "Full",
           "batched": "true"}],
-        window_cost="row_count",
-        window_limit=10**9,
     )
     runs.run_batched(run)
     return read_target(spark, run.windows_path)
@@ -163,7 +165,8 @@ def batched_window_status(spark, sf):
 WHERE CAST(last_update_date AS DATE) BETWEEN DATE '1998-02-10' AND DATE '1998-03-05'
 UNION ALL SELECT 'whole', o_orderkey, o_totalprice FROM src
 UNION ALL SELECT 'whole:' || table_uid || ':' || schedule, NULL, NULL FROM
-  (VALUES ('manual', 'false'), ('whole', 'false')) v(table_uid, schedule)"""
+  (VALUES ('manual', 'false'), ('whole', 'false')) v(table_uid, schedule)""",
+    as_text="o_orderkey",
 )
 def scheduled_flow(spark, sf):
     """Targets of a manual range and of a whole-table schedule, and the schedules after them."""

@@ -9,13 +9,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None, name: str | None = None, dates: str = ""):
+def query(sql: str | None = None, name: str | None = None, as_text: str = ""):
     """Registers a query under its function name, with its SQL where it has one.
 
-    The columns named in ``dates`` are shown as text on both sides, since the two engines hand
-    dates to Python in different types.
+    The columns named in ``as_text`` (dates, integers that may be missing) are shown as text on
+    both sides, since the two engines hand them to Python in different types.
     """
-    shown = dates.split()
+    shown = as_text.split()
 
     def add(fn):
         key = name or fn.__name__

@@ -30,7 +30,7 @@ CAUGHT_UP = (
 # sources ---------------------------------------------------------------------------------------
 
 
-@query(fx.CONTROL_SQL, name="read_control", dates="schedule_begin schedule_end")
+@query(fx.CONTROL_SQL, name="read_control", as_text=fx.NULLABLE)
 def control_items(spark, sf):
     path = work_path(spark, "control")
     fx.control_text(spark, sf).write.json(path)
@@ -242,13 +242,16 @@ def profile_counts(spark, sf):
     return C.profile_counts(C.measure_days(fx.src_orders(spark, sf)))
 
 
-@query(DAY_PROFILE_SQL, dates="day")
+@query(DAY_PROFILE_SQL, as_text="day")
 def day_profile(spark, sf):
     return C.day_profile(fx.src_events(spark, sf))
 
 
-@query(f"{SRC} SELECT CAST(last_update_date AS DATE) AS day, count(*) AS row_count FROM src"
-       " GROUP BY 1 ORDER BY day", dates="day")
+@query(
+    f"{SRC} SELECT CAST(last_update_date AS DATE) AS day, count(*) AS row_count FROM src"
+    " GROUP BY 1 ORDER BY day",
+    as_text="day",
+)
 def order_profile(spark, sf):
     return C.order_profile(C.day_profile(fx.src_orders(spark, sf)))
 
@@ -257,7 +260,9 @@ def order_profile(spark, sf):
     """SELECT CAST(ts AS DATE) AS day, count(*) AS row_count,
   CAST(sum(strlen(concat_ws(',', CAST(event_id AS VARCHAR), CAST(user_id AS VARCHAR),
            event_type, '"' || replace(props, '"', '""') || '"')) + 1) AS BIGINT) AS byte_count
-FROM events GROUP BY 1""", dates="day")
+FROM events GROUP BY 1""",
+    as_text="day",
+)
 def day_profile_bytes(spark, sf):
     events = fx.src_events(spark, sf).select(
         "event_id", "user_id", "event_type", "props", "last_update_date"

@@ -133,13 +133,15 @@ def _outcome(spark, sf, outcome):
     return _settled(spark, sf).filter(F.col("outcome") == outcome)
 
 
-@query(_merged(_SUCCESS, "outcome = 'loaded'"), dates="schedule_begin schedule_end")
+@query(_merged(_SUCCESS, "outcome = 'loaded'"), as_text=fx.NULLABLE)
 def apply_success(spark, sf):
     return R.apply_success(fx.control(spark, sf), _outcome(spark, sf, "loaded"))
 
 
 @query(
-    _merged({"last_update_date": "r.finished_at", "zero_rows": "true"}, "outcome = 'empty'"), dates="schedule_begin schedule_end")
+    _merged({"last_update_date": "r.finished_at", "zero_rows": "true"}, "outcome = 'empty'"),
+    as_text=fx.NULLABLE,
+)
 def apply_zero_rows(spark, sf):
     return R.apply_zero_rows(fx.control(spark, sf), _outcome(spark, sf, "empty"))
 
@@ -162,7 +164,9 @@ def apply_zero_rows(spark, sf):
             "updated_rows": "0",
         },
         "outcome = 'extract_failed'",
-    ), dates="schedule_begin schedule_end")
+    ),
+    as_text=fx.NULLABLE,
+)
 def apply_extract_failure(spark, sf):
     return R.apply_extract_failure(fx.control(spark, sf), _outcome(spark, sf, "extract_failed"))
 
@@ -178,12 +182,14 @@ def apply_extract_failure(spark, sf):
             "schedule": "CASE WHEN r.load_error THEN c.schedule ELSE 'false' END",
         },
         "outcome = 'loaded'",
-    ), dates="schedule_begin schedule_end")
+    ),
+    as_text=fx.NULLABLE,
+)
 def apply_schedule_done(spark, sf):
     return R.apply_schedule_done(fx.control(spark, sf), _outcome(spark, sf, "loaded"))
 
 
-@query(_merged(_BATCH, "outcome = 'loaded'"), dates="schedule_begin schedule_end")
+@query(_merged(_BATCH, "outcome = 'loaded'"), as_text=fx.NULLABLE)
 def apply_batch_progress(spark, sf):
     return R.apply_batch_progress(fx.control(spark, sf), _outcome(spark, sf, "loaded"))
 

@@ -33,19 +33,21 @@ def _months(spark, sf):
     return win.month_windows(C.record_counts(fx.src_orders(spark, sf)), fx.AS_OF)
 
 
-@query(f"{_MONTHS} SELECT * FROM months", dates="begin_date end_date")
+@query(f"{_MONTHS} SELECT * FROM months", as_text="begin_date end_date")
 def month_windows(spark, sf):
     return _months(spark, sf)
 
 
-@query(f"{_MONTHS} SELECT * FROM weeks", dates="begin_date end_date")
+@query(f"{_MONTHS} SELECT * FROM weeks", as_text="begin_date end_date")
 def week_windows(spark, sf):
     return win.week_windows(_months(spark, sf))
 
 
 @query(
     f"{_MONTHS} SELECT strftime(day, 'D%Y%m%d') AS window_id, 'day' AS grain, day AS begin_date,"
-    " day AS end_date FROM days", dates="begin_date end_date")
+    " day AS end_date FROM days",
+    as_text="begin_date end_date",
+)
 def day_windows(spark, sf):
     return win.day_windows(win.week_windows(_months(spark, sf)))
 
@@ -73,7 +75,9 @@ FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey"""
 SELECT table_uid, strftime(m, 'M%Y%m%d') AS window_id, 'month' AS grain, CAST(m AS DATE) AS begin_date,
   last_day(CAST(m AS DATE)) AS end_date FROM batches
 UNION ALL
-SELECT table_uid, strftime(b, 'R%Y%m%d'), 'range', b, e FROM ranges WHERE b <= e""", dates="begin_date end_date")
+SELECT table_uid, strftime(b, 'R%Y%m%d'), 'range', b, e FROM ranges WHERE b <= e""",
+    as_text="begin_date end_date",
+)
 def schedule_windows(spark, sf):
     spans = fx.run_sql(spark, sf, _SPANS, "customer", "orders")
     return win.schedule_windows(spans, fx.AS_OF)
@@ -118,7 +122,7 @@ def event_windows(spark, sf):
     return spark.read.schema(chosen.schema).parquet(path)
 
 
-@query(f"{_adaptive_sql(EVENT_LIMIT)} SELECT * FROM windows_", dates="begin_date end_date")
+@query(f"{_adaptive_sql(EVENT_LIMIT)} SELECT * FROM windows_", as_text="begin_date end_date")
 def adaptive_windows(spark, sf):
     return event_windows(spark, sf)
 
@@ -159,7 +163,9 @@ def assign_window_lineitem(spark, sf):
   FROM weeks w LEFT JOIN src ON CAST(last_update_date AS DATE) BETWEEN w.begin_date AND w.end_date
   GROUP BY 1, 2, 3)
 SELECT *, CAST(sum(row_count) OVER (ORDER BY begin_date) AS BIGINT) AS target_row_count,
-  row_count = 0 AS zero_rows FROM sizes""", dates="begin_date end_date")
+  row_count = 0 AS zero_rows FROM sizes""",
+    as_text="begin_date end_date",
+)
 def window_progress(spark, sf):
     windows = win.week_windows(_months(spark, sf))
     return R.window_progress(J.assign_window(fx.src_orders(spark, sf), windows), windows)

@@ -245,8 +245,10 @@ def stats_transition(stats: DataFrame, outcomes: DataFrame) -> DataFrame:
 
     ``outcomes`` has ``file_name``, ``outcome`` (loaded, empty, extract_failed), ``target_rows``,
     ``inserted_rows``, ``updated_rows``, ``load_error``, ``load_error_message``, ``extract_error``,
-    ``extract_end`` and ``load_end``.
+    ``extract_end`` and ``load_end``; ``source_rows`` and ``extract_start`` where they are known
+    only now.
     """
+    late = [c for c in ("source_rows", "extract_start") if c in outcomes.columns]
     happened = outcomes.selectExpr(
         "file_name AS _key",
         "outcome AS _o",
@@ -259,6 +261,7 @@ def stats_transition(stats: DataFrame, outcomes: DataFrame) -> DataFrame:
         "extract_error AS _extract_message",
         "extract_end AS _extract_end",
         "load_end AS _load_end",
+        *[f"CAST({c} AS STRING) AS _{c}" for c in late],
     )
     loaded, empty, failed = (f"_o = '{o}'" for o in ("loaded", "empty", "extract_failed"))
     moves = {
@@ -278,6 +281,7 @@ def stats_transition(stats: DataFrame, outcomes: DataFrame) -> DataFrame:
         "processed_rows": "_processed",
     }.items():
         moves[name] = f"CASE WHEN {loaded} THEN {value} END"
+    moves.update({c: f"_{c}" for c in late})
     joined = stats.join(happened, F.col("file_name") == F.col("_key"), "left")
     return joined.selectExpr(
         *[f"coalesce({moves[c]}, {c}) AS {c}" if c in moves else c for c in stats.columns]

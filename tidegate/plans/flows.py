@@ -11,7 +11,6 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
-from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -36,6 +35,8 @@ from tidegate.schemas import CONTROL, LOAD_STATS, RUN_RESULT, WINDOW_STATUS
 from tidegate.session import drop_path, small_frame, work_path
 from tidegate.sources.tables import scan_freeform, scan_projected
 
+# Rows of one window, and its staged bytes (fixed value).
+WINDOW_LIMITS = {"row_count": 5_000_000, "byte_count": 1_073_741_824}
 STAMP = "%Y-%m-%d %H:%M:%S"
 _SCHEDULED = T.StructType(
     [
@@ -71,8 +72,10 @@ class IngestRun:
     owner: str | None = None
     lag: int = 1
     since: date | None = None
-    window_limit: int = 1_073_741_824  # fixed value: staged bytes of one window
-    window_cost: str = "byte_count"
+    # what bounds a window of a split load: rows (reads the date column only) or staged bytes
+    # (reads every column), and how many; None takes the value in WINDOW_LIMITS
+    window_cost: str = "row_count"
+    window_limit: int | None = None
     clock: Callable[[], datetime] = _utc_now
     project: str = ""
     # target table name -> SQL expression that cuts it into pieces
@@ -175,7 +178,7 @@ def _load(run: IngestRun, item: Row, staged: DataFrame) -> loads.LoadResult:
     return loads.replace_load(staged, target, piece_by)
 
 
-def _blank(run: IngestRun, item: Row, counted: tuple) -> dict:
+def _blank(item: Row, counted: tuple) -> dict:
     return {
         "table_uid": item.table_uid,
         "load_type": item.load_type,
@@ -191,73 +194,41 @@ def _blank(run: IngestRun, item: Row, counted: tuple) -> dict:
         "extract_error": "",
         "promote": item.promote,
         "prior_update_date": item.last_update_date,
-        "finished_at": None,
+        "span": counted[1:],
     }
 
 
-def _file_name(run: IngestRun, item: Row) -> str:
-    return f"{item.source_table}_{run.clock():%Y%m%d%H%M%S%f}_{item.table_uid}"
-
-
 def _stage(
-    run: IngestRun, item: Row, extract: DataFrame, window: str | None = None
-) -> tuple[DataFrame, str]:
+    run: IngestRun, item: Row, name: str, extract: DataFrame, window: str | None = None
+) -> DataFrame:
     """Stages an extract and returns it read back, typed as the extract was."""
-    load_id = _file_name(run, item)
-    path = loads.stage_raw(extract, run.raw_root, item.raw_prefix, load_id, window)
+    path = loads.stage_raw(extract, run.raw_root, item.raw_prefix, name, window)
     schema = extract.drop(window).schema if window else extract.schema
-    return loads.read_staged(run.spark, path, schema, window), load_id
-
-
-def _finish(run: IngestRun, item: Row, result: dict, file_name: str, started: str,
-            extracted: str, scheduled: bool = False) -> dict:
-    """Reconciles one load and writes control and statistics."""
-    result["finished_at"] = run.now()
-    if result["load_error"]:
-        result.update(source_count=0, rows_before=0, rows_after=0, processed=0)
-    spark = run.spark
-    results = small_frame(spark, [result], RUN_RESULT)
-    control = run.control()
-    if result["outcome"] == "empty":
-        control = R.apply_zero_rows(control, results)
-    elif result["outcome"] == "extract_failed":
-        control = R.apply_extract_failure(control, results)
-    elif scheduled:
-        control = R.apply_schedule_done(control, R.settle(results))
-    else:
-        control = R.apply_success(control, R.settle(results))
-    loads.replace_load(control, run.control_path)
-
-    item_stats = {
-        "file_name": file_name,
-        "project": run.project,
-        "feed": item.source_table,
-        "year": f"{run.as_of:%Y}",
-        "month": f"{run.as_of:%m}",
-        "day": f"{run.as_of:%d}",
-        "source_rows": str(result["source_count"]),
-        "extract_start": started,
-        "zone": item.raw_prefix,
-        "target_schema": item.target_schema,
-        "table_uid": item.table_uid,
-        "target_table": item.target_table,
-    }
-    new = small_frame(spark, [item_stats], LOAD_STATS)
-    outcome = R.load_tally(results).select(
-        F.lit(file_name).alias("file_name"),
-        "outcome",
-        F.col("rows_after").alias("target_rows"),
-        "inserted_rows",
-        "updated_rows",
-        "load_error",
-        "load_error_message",
-        "extract_error",
-        F.lit(extracted).alias("extract_end"),
-        F.col("finished_at").alias("load_end"),
-    )
-    stats = R.stats_transition(R.stats_put_if_absent(run.stats(), new), outcome)
+    return loads.read_staged(run.spark, path, schema, window)
+
+
+def _announce(run: IngestRun, items: list[Row]) -> dict[str, str]:
+    """Enters the files of a work list in the statistics, in progress; gives their names."""
+    stamp = f"{run.clock():%Y%m%d%H%M%S%f}"
+    names = {i.table_uid: f"{i.source_table}_{stamp}_{i.table_uid}" for i in items}
+    new = [
+        {
+            "file_name": names[item.table_uid],
+            "project": run.project,
+            "feed": item.source_table,
+            "year": f"{run.as_of:%Y}",
+            "month": f"{run.as_of:%m}",
+            "day": f"{run.as_of:%d}",
+            "zone": item.raw_prefix,
+            "target_schema": item.target_schema,
+            "table_uid": item.table_uid,
+            "target_table": item.target_table,
+        }
+        for item in items
+    ]
+    stats = R.stats_put_if_absent(run.stats(), small_frame(run.spark, new, LOAD_STATS))
     loads.replace_load(stats, run.stats_path)
-    return {**result, "file_name": file_name}
+    return names
 
 
 @dataclass
@@ -265,25 +236,23 @@ class Steps:
     """How one table is counted, extracted and staged, and loaded."""
 
     count: Callable[[], tuple]
-    extract: Callable[[tuple], tuple[DataFrame, str]]
+    extract: Callable[[tuple], DataFrame]
     load: Callable[[DataFrame], loads.LoadResult]
 
 
-def _run_item(run: IngestRun, item: Row, steps: Steps, empty_is_loaded: bool) -> Callable[..., dict]:
-    """Counts, extracts, stages and loads one table; gives the call that reconciles it.
+def _load_one(run: IngestRun, item: Row, steps: Steps, empty_is_loaded: bool) -> dict:
+    """Counts, extracts, stages and loads one table.
 
     A failure of one step is recorded, not raised. Loads leave the table alone when nothing was
     staged, unless ``empty_is_loaded``: those that empty their table first.
     """
     started = run.now()
-    counted = steps.count()
-    result = _blank(run, item, counted)
-    file_name = _file_name(run, item)
+    result = {**_blank(item, steps.count()), "extract_start": started}
     try:
-        staged, file_name = steps.extract(counted)
+        staged = steps.extract((result["source_count"], *result.pop("span")))
     except Exception as error:
         result.update(outcome="extract_failed", extract_error=str(error).split("\n")[0])
-    extracted = run.now()
+    result["extract_end"] = run.now()
     if result["outcome"] == "loaded":
         try:
             done = steps.load(staged)
@@ -294,13 +263,44 @@ def _run_item(run: IngestRun, item: Row, steps: Steps, empty_is_loaded: bool) ->
                 result["outcome"] = "empty"
         except Exception as error:
             result.update(load_error=True, load_error_message=str(error).split("\n")[0])
-    return partial(_finish, run, item, result, file_name, started, extracted)
+            result.update(source_count=0, rows_before=0, rows_after=0, processed=0)
+    return {**result, "finished_at": run.now()}
+
+
+def _settle(run: IngestRun, result: dict, scheduled: bool) -> None:
+    """Reconciles one load and writes control and statistics."""
+    results = small_frame(run.spark, [result], RUN_RESULT)
+    control = run.control()
+    if result["outcome"] == "empty":
+        control = R.apply_zero_rows(control, results)
+    elif result["outcome"] == "extract_failed":
+        control = R.apply_extract_failure(control, results)
+    elif scheduled:
+        control = R.apply_schedule_done(control, R.settle(results))
+    else:
+        control = R.apply_success(control, R.settle(results))
+    loads.replace_load(control, run.control_path)
+    happened = R.load_tally(results).select(
+        F.lit(result["file_name"]).alias("file_name"),
+        "outcome",
+        F.col("source_count").alias("source_rows"),
+        F.col("rows_after").alias("target_rows"),
+        "inserted_rows",
+        "updated_rows",
+        "load_error",
+        "load_error_message",
+        "extract_error",
+        F.lit(result["extract_start"]).alias("extract_start"),
+        F.lit(result["extract_end"]).alias("extract_end"),
+        F.col("finished_at").alias("load_end"),
+    )
+    loads.replace_load(R.stats_transition(run.stats(), happened), run.stats_path)
 
 
 def _run_items(
     run: IngestRun,
     items: list[Row],
-    steps: Callable[[Row], Steps],
+    steps: Callable[[Row, str], Steps],
     scheduled: bool = False,
     empty_is_loaded: bool = False,
 ) -> list[dict]:
@@ -308,25 +308,33 @@ def _run_items(
 
     Control and statistics are written here, by one thread, as each table is done.
     """
+    if not items:
+        return []
+    names = _announce(run, items)
+
+    def one(item: Row) -> dict:
+        name = names[item.table_uid]
+        return {**_load_one(run, item, steps(item, name), empty_is_loaded), "file_name": name}
 
-    def one_target(group: list[Row]) -> list[Callable[..., dict]]:
-        return [_run_item(run, item, steps(item), empty_is_loaded) for item in group]
+    def one_target(group: list[Row]) -> list[dict]:
+        return [one(item) for item in group]
 
+    done = []
     if run.parallel <= 1:
-        done = [finish(scheduled=scheduled) for item in items for finish in one_target([item])]
+        for item in items:
+            done.append(one(item))
+            _settle(run, done[-1], scheduled)
     else:
         groups: dict[str, list[Row]] = {}
         for item in items:
             groups.setdefault(run.target_path(item), []).append(item)
         with ThreadPoolExecutor(run.parallel) as pool:
             work = inheritable_thread_target(run.spark)(one_target)
-            running = [pool.submit(work, group) for group in groups.values()]
-            done = [
-                finish(scheduled=scheduled)
-                for ended in as_completed(running)
-                for finish in ended.result()
-            ]
-    for path in (run.control_path, run.stats_path) if done else ():
+            for ended in as_completed([pool.submit(work, group) for group in groups.values()]):
+                for result in ended.result():
+                    done.append(result)
+                    _settle(run, result, scheduled)
+    for path in (run.control_path, run.stats_path):
         TargetTable(run.spark, path).expire(keep=5)
     return done
 
@@ -338,12 +346,12 @@ def run_regular(run: IngestRun) -> list[dict]:
     """Change, full, projected, validation and metadata loads that are not split by date."""
     routed = sel.route(sel.select_regular(run.control()))
 
-    def steps(item: Row) -> Steps:
-        def extract(_):
+    def steps(item: Row, name: str) -> Steps:
+        def extract(_) -> DataFrame:
             if item.load_type == "MetaData":
                 # the release table is there even when the extract turns out empty
                 loads.create_if_missing_metadata(run.spark, run.target_path(item), "columns")
-            return _stage(run, item, _extract(run, item, run.read(item.source_table)))
+            return _stage(run, item, name, _extract(run, item, run.read(item.source_table)))
 
         return Steps(
             lambda: _count(run, item), extract, lambda staged: _load(run, item, staged)
@@ -365,17 +373,20 @@ def plan_windows(run: IngestRun, sizes: DataFrame, min_update_date) -> DataFrame
     first = small_frame(run.spark, [{"min_update_date": min_update_date}], span)
     months = win.month_windows(first, run.as_of)
     dated = sizes.filter(F.col("day").isNotNull())
-    return win.adaptive_windows(dated, months, run.window_limit, run.window_cost)
+    limit = run.window_limit or WINDOW_LIMITS[run.window_cost]
+    return win.adaptive_windows(dated, months, limit, run.window_cost)
 
 
-def _windowed(run: IngestRun, item: Row, source: DataFrame, windows: DataFrame):
+def _windowed(
+    run: IngestRun, item: Row, name: str, source: DataFrame, windows: DataFrame
+) -> DataFrame:
     """Stages the rows of all windows in one pass over the days the windows span."""
     span = windows.agg(F.min("begin_date"), F.max("end_date")).first()
     span = tuple(span) if span[0] is not None else None
     dated = assign_window(source, windows, UPDATED, span)
     if item.load_type == "Special_Full":
         dated = scan_projected(dated, f"{item.return_fields}, window_id")
-    return _stage(run, item, dated, "window_id")
+    return _stage(run, item, name, dated, "window_id")
 
 
 def run_batched(run: IngestRun) -> list[dict]:
@@ -386,7 +397,7 @@ def run_batched(run: IngestRun) -> list[dict]:
     """
     routed = sel.route(sel.select_batched(run.control()))
 
-    def steps(item: Row) -> Steps:
+    def steps(item: Row, name: str) -> Steps:
         work = work_path(run.spark, "windows")
         frames: dict[str, DataFrame] = {}
 
@@ -405,10 +416,10 @@ def run_batched(run: IngestRun) -> list[dict]:
             except Exception:
                 return 0, None, None
 
-        def extract(counted: tuple):
+        def extract(counted: tuple) -> DataFrame:
             chosen = plan_windows(run, measure(), counted[1])
             frames["windows"] = _written_once(run, chosen, f"{work}/windows")
-            return _windowed(run, item, run.read(item.source_table), frames["windows"])
+            return _windowed(run, item, name, run.read(item.source_table), frames["windows"])
 
         def load(staged: DataFrame) -> loads.LoadResult:
             target, piece_by = run.target_path(item), run.piece_by(item)
@@ -432,8 +443,8 @@ def run_batched(run: IngestRun) -> list[dict]:
 def run_scheduled(run: IngestRun) -> list[dict]:
     """Loads asked for by their schedule: by months, over all update dates, or a manual range."""
 
-    def steps(item: Row) -> Steps:
-        def extract(counted: tuple):
+    def steps(item: Row, name: str) -> Steps:
+        def extract(counted: tuple) -> DataFrame:
             asked = {
                 **item.asDict(),
                 "min_update_date": counted[1],
@@ -443,7 +454,7 @@ def run_scheduled(run: IngestRun) -> list[dict]:
                 run.spark, [{f: asked[f] for f in _SCHEDULED.fieldNames()}], _SCHEDULED
             )
             windows = win.schedule_windows(frame, run.as_of).drop("table_uid")
-            return _windowed(run, item, run.read(item.source_table), windows)
+            return _windowed(run, item, name, run.read(item.source_table), windows)
 
         def load(staged: DataFrame) -> loads.LoadResult:
             target, piece_by = run.target_path(item), run.piece_by(item)
@@ -462,16 +473,16 @@ def run_metadata(
 ) -> list[dict]:
     """Column catalog (both slices) and primary keys, into one target per release."""
 
-    def steps(item: Row) -> Steps:
+    def steps(item: Row, name: str) -> Steps:
         keys = item.source_table == PRIMARY_KEYS_TABLE
 
-        def extract(_):
+        def extract(_) -> DataFrame:
             if keys:
                 found = primary_keys(run.read(constraints), run.read(cons_columns), run.owner)
             else:
                 columns = catalog_slice(run.read(item.source_table), run.owner)
                 found = scan_projected(columns, f"{item.return_fields}, slice")
-            return _stage(run, item, found)
+            return _stage(run, item, name, found)
 
         def load(staged: DataFrame) -> loads.LoadResult:
             target = run.target_path(item)
@@ -488,10 +499,10 @@ def run_metadata(
 def run_freeform(run: IngestRun) -> list[dict]:
     """Stored SQL queries, into targets created from their columns."""
 
-    def steps(item: Row) -> Steps:
+    def steps(item: Row, name: str) -> Steps:
         return Steps(
             lambda: (0, None, None),
-            lambda _: _stage(run, item, scan_freeform(run.spark, item.freeform_sql)),
+            lambda _: _stage(run, item, name, scan_freeform(run.spark, item.freeform_sql)),
             lambda staged: _load(run, item, staged),
         )
 
