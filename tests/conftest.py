@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 def spark():
     session = build_session(
         "tests",
-        "local[8]",
+        "local[8,3]",  # a task may fail twice
         spark_sql_shuffle_partitions="4",
         spark_default_parallelism="4",
         spark_ui_enabled="false",
