@@ -9,6 +9,7 @@ from checks import fixtures as fx
 from checks.flows import make_run
 from tidegate.plans import flows
 from tidegate.plans.loads import read_target, replace_load
+from tidegate.plans.snapshots import TargetTable
 from tidegate.sources.landing import read_landing_csv
 
 
@@ -57,6 +58,25 @@ def test_after_promotion_the_next_day_loads_changes(spark, sf):
     assert (row.inserted_rows, row.updated_rows) == (0, done["processed"])
 
 
+def test_large_targets_are_cut_by_month_of_creation(spark, sf):
+    run = make_run(spark, sf, items("Full"), piece_rows=100)
+    flows.run_regular(run)
+    table = TargetTable(spark, f"{run.target_root}/s0/orders_src")
+    before = set(table.current().folders)
+    months = fx.src_orders(spark, sf).selectExpr("date_format(creation_date, 'yyyyMM')").distinct()
+    assert {f.piece for f in before} == {r[0] for r in months.collect()}
+    run.as_of += timedelta(days=1)
+    run.clock = lambda: datetime(1998, 6, 16, 1, 0, 0)
+    flows.run_regular(run)
+    after = set(table.current().folders)
+    # the day's changes rewrite the months they were created in, and no other
+    assert {f.piece for f in after - before} <= {"199805", "199806"}
+    assert len(before & after) >= len(before) - 2
+    small = make_run(spark, sf, items("Full"))
+    flows.run_regular(small)
+    assert TargetTable(spark, f"{small.target_root}/s0/orders_src").current().piece_by is None
+
+
 def test_failures_are_recorded_and_retried(spark, sf):
     def broken():
         raise OSError("source not reached")

@@ -78,8 +78,10 @@ class IngestRun:
     window_limit: int | None = None
     clock: Callable[[], datetime] = _utc_now
     project: str = ""
-    # target table name -> SQL expression that cuts it into pieces
+    # target table name -> SQL expression that cuts it into pieces; other targets that start with
+    # at least piece_rows source rows are cut by their month of creation where they have one
     pieces: dict[str, str] | None = None
+    piece_rows: int = 10_000_000
     # tables loaded at the same time; those of one target always follow each other
     parallel: int = 1
     # folder for the exported statistics items of free-form loads
@@ -102,8 +104,12 @@ class IngestRun:
     def target_path(self, item: Row) -> str:
         return f"{self.target_root}/{item.target_schema}/{item.target_table}"
 
-    def piece_by(self, item: Row) -> str | None:
-        return (self.pieces or {}).get(item.target_table)
+    def piece_by(self, item: Row, staged: DataFrame, source_rows: int) -> str | None:
+        if item.target_table in (self.pieces or {}):
+            return self.pieces[item.target_table]
+        if source_rows >= self.piece_rows and CREATED in [c.lower() for c in staged.columns]:
+            return f"date_format(try_cast({CREATED} AS date), 'yyyyMM')"
+        return None
 
     def now(self) -> str:
         return self.clock().strftime(STAMP)
@@ -168,8 +174,8 @@ def _extract(run: IngestRun, item: Row, df: DataFrame) -> DataFrame:
     return df
 
 
-def _load(run: IngestRun, item: Row, staged: DataFrame) -> loads.LoadResult:
-    target, piece_by = run.target_path(item), run.piece_by(item)
+def _load(run: IngestRun, item: Row, staged: DataFrame, source_rows: int) -> loads.LoadResult:
+    target, piece_by = run.target_path(item), run.piece_by(item, staged, source_rows)
     if item.load_type in sel.CHANGE_TYPES:
         newest = [c for c in (UPDATED, CREATED) if c in [n.lower() for n in staged.columns]]
         return loads.upsert_load(staged, target, parse_keys(item.primary_key), newest, piece_by)
@@ -237,7 +243,7 @@ class Steps:
 
     count: Callable[[], tuple]
     extract: Callable[[tuple], DataFrame]
-    load: Callable[[DataFrame], loads.LoadResult]
+    load: Callable[[DataFrame, int], loads.LoadResult]
 
 
 def _load_one(run: IngestRun, item: Row, steps: Steps, empty_is_loaded: bool) -> dict:
@@ -255,7 +261,7 @@ def _load_one(run: IngestRun, item: Row, steps: Steps, empty_is_loaded: bool) ->
     result["extract_end"] = run.now()
     if result["outcome"] == "loaded":
         try:
-            done = steps.load(staged)
+            done = steps.load(staged, result["source_count"])
             result.update(
                 rows_before=done.rows_before, rows_after=done.rows_after, processed=done.processed
             )
@@ -354,7 +360,7 @@ def run_regular(run: IngestRun) -> list[dict]:
             return _stage(run, item, name, _extract(run, item, run.read(item.source_table)))
 
         return Steps(
-            lambda: _count(run, item), extract, lambda staged: _load(run, item, staged)
+            lambda: _count(run, item), extract, lambda staged, n: _load(run, item, staged, n)
         )
 
     regular = routed.filter(F.col("route") == "regular").drop("route")
@@ -421,8 +427,9 @@ def run_batched(run: IngestRun) -> list[dict]:
             frames["windows"] = _written_once(run, chosen, f"{work}/windows")
             return _windowed(run, item, name, run.read(item.source_table), frames["windows"])
 
-        def load(staged: DataFrame) -> loads.LoadResult:
-            target, piece_by = run.target_path(item), run.piece_by(item)
+        def load(staged: DataFrame, source_rows: int) -> loads.LoadResult:
+            target = run.target_path(item)
+            piece_by = run.piece_by(item, staged, source_rows)
             done = loads.replace_load(staged, target, piece_by, clear_when_empty=True)
             days = assign_window(frames["days"], frames["windows"], "day")
             progress = R.window_progress(days, frames["windows"], rows="row_count")
@@ -456,8 +463,9 @@ def run_scheduled(run: IngestRun) -> list[dict]:
             windows = win.schedule_windows(frame, run.as_of).drop("table_uid")
             return _windowed(run, item, name, run.read(item.source_table), windows)
 
-        def load(staged: DataFrame) -> loads.LoadResult:
-            target, piece_by = run.target_path(item), run.piece_by(item)
+        def load(staged: DataFrame, source_rows: int) -> loads.LoadResult:
+            target = run.target_path(item)
+            piece_by = run.piece_by(item, staged, source_rows)
             if item.schedule == "Manual" and not item.schedule_truncate:
                 return loads.append_load(staged, target, piece_by)
             return loads.replace_load(staged, target, piece_by, clear_when_empty=True)
@@ -484,7 +492,7 @@ def run_metadata(
                 found = scan_projected(columns, f"{item.return_fields}, slice")
             return _stage(run, item, name, found)
 
-        def load(staged: DataFrame) -> loads.LoadResult:
+        def load(staged: DataFrame, source_rows: int) -> loads.LoadResult:
             target = run.target_path(item)
             kind = "primary_keys" if keys else "columns"
             loads.create_if_missing_metadata(run.spark, target, kind)
@@ -503,7 +511,7 @@ def run_freeform(run: IngestRun) -> list[dict]:
         return Steps(
             lambda: (0, None, None),
             lambda _: _stage(run, item, name, scan_freeform(run.spark, item.freeform_sql)),
-            lambda staged: _load(run, item, staged),
+            lambda staged, n: _load(run, item, staged, n),
         )
 
     done = _run_items(run, work_list(run, sel.select_freeform(run.control())), steps)
