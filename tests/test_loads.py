@@ -76,7 +76,7 @@ def test_a_hot_key_is_merged_before_the_shuffle(spark):
     )
     latest = J.keep_latest(staged, ["id"], ["rank"])
     assert latest.count() == staged.select("id").distinct().count()
-    assert latest.filter("id = 0").first().asDict() == {"id": 0, "v": 29_799 + 300 * 0 + 0, "rank": 99}
+    assert latest.filter("id = 0").first().asDict() == {"id": 0, "v": 29_799, "rank": 99}
     plan = latest._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan
 

@@ -235,8 +235,8 @@ def stats_put_if_absent(stats: DataFrame, new: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("extract_start", F.struct(*columns).alias("row"))).alias("best"))
         .select("best.row.*")
     )
-    fresh = first.join(stats.select(F.col("file_name").alias("_known")),
-                       F.col("file_name") == F.col("_known"), "left_anti")
+    known = stats.select(F.col("file_name").alias("_known"))
+    fresh = first.join(known, F.col("file_name") == F.col("_known"), "left_anti")
     return stats.unionByName(fresh.withColumn("extract_status", F.lit(IN_PROGRESS)))
 
 
@@ -265,7 +265,8 @@ def stats_transition(stats: DataFrame, outcomes: DataFrame) -> DataFrame:
     )
     loaded, empty, failed = (f"_o = '{o}'" for o in ("loaded", "empty", "extract_failed"))
     moves = {
-        "extract_status": f"CASE WHEN {failed} THEN '{FAILED}' WHEN _o IS NOT NULL THEN '{SUCCESS}' END",
+        "extract_status": f"CASE WHEN {failed} THEN '{FAILED}'"
+        f" WHEN _o IS NOT NULL THEN '{SUCCESS}' END",
         "extract_end": "_extract_end",
         "extract_failure": f"CASE WHEN {failed} THEN _extract_message END",
         "load_start": f"CASE WHEN {loaded} THEN _extract_end WHEN {empty} THEN '' END",

@@ -55,7 +55,7 @@ def through_day(
 
 
 def date_range(df: DataFrame, begin: date, end: date, updated: str = UPDATED) -> DataFrame:
-    """Rows updated from ``begin`` to ``end``, both days included; rows without a date never match."""
+    """Rows updated from ``begin`` to ``end``, both included; rows without a date never match."""
     return df.filter(trunc_day(updated).between(F.lit(begin), F.lit(end)))
 
 

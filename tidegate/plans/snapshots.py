@@ -106,7 +106,7 @@ class TargetTable:
         _, target = self._fs(final)
         if fs.exists(target) or not fs.rename(draft, target):
             fs.delete(draft, False)
-            raise RuntimeError(f"{self.path}: version {snapshot.version} was written by another job")
+            raise RuntimeError(f"{self.path}: another job wrote version {snapshot.version}")
         return snapshot
 
     # reading -----------------------------------------------------------------------------

@@ -27,7 +27,9 @@ DEFAULTS = {
 _local_dirs: dict[str, str] = {}
 
 
-def build_session(app: str = "tidegate", master: str | None = None, **settings: str) -> SparkSession:
+def build_session(
+    app: str = "tidegate", master: str | None = None, **settings: str
+) -> SparkSession:
     """A session with the defaults above; ``settings`` use ``_`` for ``.`` (``spark_sql_x="1"``)."""
     builder = SparkSession.builder.appName(app)
     if master:
