@@ -244,14 +244,13 @@ def _touched_pieces(
     present = {f.piece for f in base.folders}
     if base.piece_by is None or not present:
         return present
-    piece = piece_column(base.piece_by)
     others = {c.lower() for c in stage.columns} - {k.lower() for k in keys}
-    if not any(_names(base.piece_by, c) for c in others):
-        held = stage.withColumn(PIECE, piece)
-    else:
-        target = table.read_folders(base, list(base.folders))
-        held = rows_with_match(target.withColumn(PIECE, piece), stage, keys)
-    return present & {r[0] for r in held.select(PIECE).distinct().collect()}
+    held = stage
+    if any(_names(base.piece_by, c) for c in others):
+        # the match comes first: the piece is worked out for matched rows only
+        held = rows_with_match(table.read_folders(base, list(base.folders)), stage, keys)
+    pieces = held.select(piece_column(base.piece_by).alias(PIECE)).distinct()
+    return present & {r[0] for r in pieces.collect()}
 
 
 def _names(sql: str, column: str) -> bool:
