@@ -335,6 +335,45 @@ def decode(encoded: DataFrame, model: str, ids: str = "pieces", text: str = "dec
     return encoded.mapInArrow(run, schema)
 
 
+def _same(data, offsets, back, ends) -> np.ndarray:
+    """Whether each row's decoded bytes are those it had."""
+    if np.array_equal(ends, offsets) and np.array_equal(back, data):
+        return np.ones(len(offsets) - 1, bool)
+    text, want = back.tobytes(), data.tobytes()
+    return np.array(
+        [
+            text[a:b] == want[c:d]
+            for a, b, c, d in zip(ends[:-1], ends[1:], offsets[:-1], offsets[1:], strict=True)
+        ]
+    )
+
+
+def encode_checked(docs: DataFrame, model: str) -> DataFrame:
+    """doc_id, n_pieces, pieces, and whether they decode to the text (same)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = load(model)
+        for batch in batches:
+            for rows, data, offsets in text_slices(batch):
+                ids, bounds = encode_slice(p, data, offsets)
+                back, ends = decode_slice(p, ids, bounds)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        rows.column(0),
+                        pa.array(np.diff(bounds)),
+                        pa.ListArray.from_arrays(
+                            pa.array(bounds.astype(np.int32)), pa.array(ids, pa.int32())
+                        ),
+                        pa.array(_same(data, offsets, back, ends)),
+                    ],
+                    ["doc_id", "n_pieces", "pieces", "same"],
+                )
+
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, n_pieces long, pieces array<int>, same boolean"
+    )
+
+
 def digests(docs: DataFrame, model: str) -> DataFrame:
     """Encodes and decodes every text in one pass and returns figures instead of the lists.
 
@@ -351,18 +390,6 @@ def digests(docs: DataFrame, model: str) -> DataFrame:
                 ids, bounds = encode_slice(p, data, offsets)
                 back, ends = decode_slice(p, ids, bounds)
                 raw, text = memoryview(ids.astype("<i4").tobytes()), memoryview(back.tobytes())
-                same = np.array_equal(ends, offsets) and np.array_equal(back, data)
-                equal = np.full(len(rows), same)
-                if not same:
-                    want = memoryview(data.tobytes())
-                    equal = np.array(
-                        [
-                            text[a:b] == want[c:d]
-                            for a, b, c, d in zip(
-                                ends[:-1], ends[1:], offsets[:-1], offsets[1:], strict=True
-                            )
-                        ]
-                    )
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column(0),
@@ -382,7 +409,7 @@ def digests(docs: DataFrame, model: str) -> DataFrame:
                             ],
                             pa.int64(),
                         ),
-                        pa.array(equal),
+                        pa.array(_same(data, offsets, back, ends)),
                     ],
                     ["doc_id", "n_pieces", "n_bytes", "ids_crc32", "text_crc32", "same"],
                 )

@@ -7,7 +7,18 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import neardup, pieces, quality, tokenfiles, toxicity
+from tidegate.llm import (
+    exactdedup,
+    licenses,
+    mixing,
+    neardup,
+    pieces,
+    quality,
+    templates,
+    tokenfiles,
+    toxicity,
+    vectors,
+)
 from tidegate.llm.code import share_code
 from tidegate.session import work_path
 
@@ -43,6 +54,16 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query(licenses.scan_sql())
+def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(table(spark, sf, "documents"))
+
+
+@query(exactdedup.SQL)
+def op2_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return exactdedup.exact_duplicates(table(spark, sf, "documents"))
+
+
 @query()
 def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
@@ -53,11 +74,21 @@ def op4_quality_resampling(spark: SparkSession, sf: str) -> DataFrame:
     return quality.draw(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query()
+def op5_line_templates(spark: SparkSession, sf: str) -> DataFrame:
+    return templates.digests(table(spark, sf, "documents"))
+
+
 @query()
 def op6_bottom_k_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf, "documents"), width=3, percent=85)
 
 
+@query()
+def op7_near_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf, "embeddings"))
+
+
 @query()
 def op8_sentence_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.digests(table(spark, sf, "documents"), tokenizer_file("piece_bpe_32k.model"))
@@ -70,3 +101,8 @@ def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
         table(spark, sf, "documents"), path, tokenizer_file("byte_bpe_50k.json")
     )
     return tokenfiles.digests(spark, path)
+
+
+@query()
+def op10_soft_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.rates(table(spark, sf, "documents"), table(spark, sf, "labels"))
