@@ -30,7 +30,8 @@ MAX_LABELLED = 60_000
 VOCABULARY = 512
 SHARPNESS = 2.0  # weight of the mean log-likelihood against the shares
 GRID = 32
-STEPS = 40
+STEPS = 60
+SETTLED = 1e-6  # of the total, by which a step moves the domains at most when it ends
 
 
 def classifier(
@@ -134,16 +135,21 @@ def fit(found: DataFrame, targets: list[float], least_rate: float, total: float
     total = total or max(h / w for h, w in zip(held, weights, strict=True) if w > 0)
     wanted = [w * total for w in weights]
     size = sum((F.col(f"m{k}") for k in each[1:]), F.col("m0"))
-    now = held
+    now, steps = held, []
     for _ in range(STEPS):
-        moves = [
-            F.col(f"m{k}") / size * ((now[k] - wanted[k]) / held[k])
-            for k in each
-        ]
-        step = F.when(size > 0, sum(moves[1:], moves[0])).otherwise(F.lit(0.0))
-        rate = F.greatest(F.lit(float(least_rate)), rate - step)
-        now = list(cells.agg(*[F.sum(F.col(f"m{k}") * rate) for k in each]).first())
-        if max(abs(a - b) for a, b in zip(now, wanted, strict=True)) < 1e-9 * total:
+        steps.append([(now[k] - wanted[k]) / held[k] for k in each])
+        # the steps so far, one after the other, each projected on the allowed rates
+        taken = F.array(*[F.array(*[F.lit(float(x)) for x in step]) for step in steps])
+
+        def moved(rate: Column, step: Column) -> Column:
+            parts = [F.col(f"m{k}") * F.get(step, F.lit(k)) for k in each]
+            return F.greatest(F.lit(float(least_rate)), rate - sum(parts[1:], parts[0]) / size)
+
+        rate = F.when(size > 0, F.aggregate(taken, F.lit(1.0), moved)).otherwise(F.lit(1.0))
+        before = now
+        rated = cells.withColumn("rate", rate)
+        now = list(rated.agg(*[F.sum(F.col(f"m{k}") * F.col("rate")) for k in each]).first())
+        if max(abs(a - b) for a, b in zip(now, before, strict=True)) < SETTLED * total:
             break
     return cells.withColumn("rate", rate), now
 
@@ -187,11 +193,12 @@ def rates(
 def mix(docs: DataFrame, labels: DataFrame, least_rate: float = 1.0, **choices) -> DataFrame:
     """The documents as often as their copies say, with all columns; none is lost at rates from 1."""
     copies = rates(docs, labels, least_rate=least_rate, **choices).select(
-        F.col("doc_id").alias("_id"), "copies"
+        F.col("doc_id").alias("__id"), F.col("copies").alias("__copies")
     )
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     return (
-        docs.join(copies.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")))
-        .where("copies > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .select(*[docs[c] for c in docs.columns])
+        docs.join(copies.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("__id")))
+        .where("__copies > 0")
+        .select(*columns, F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy"))
+        .select(*columns)
     )

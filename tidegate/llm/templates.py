@@ -170,9 +170,9 @@ def dropped_by_document(docs: DataFrame, **choices) -> DataFrame:
 
 
 def _with_gone(docs: DataFrame, columns: list[str], **choices) -> DataFrame:
-    gone = dropped_by_document(docs, **choices).hint("shuffle_hash")
+    gone = dropped_by_document(docs, **choices).toDF("__id", "__gone").hint("shuffle_hash")
     rows = docs.select(*[F.col(f"`{c}`") for c in columns])
-    return rows.join(gone, "doc_id", "left").select(*[F.col(f"`{c}`") for c in columns], "gone")
+    return rows.join(gone, F.col("doc_id") == F.col("__id"), "left").drop("__id")
 
 
 def _rest(text: str, gone: list[int]) -> str:
