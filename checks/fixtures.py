@@ -14,6 +14,7 @@ from tidegate.schemas import CONTROL, LOAD_STATS
 from tidegate.sources.control import parse_control
 
 AS_OF = date(1998, 6, 15)
+DATA_END = date(2002, 12, 31)  # after every order and its updates
 SINCE = date(1998, 3, 1)
 EVENTS_AS_OF = date(2024, 3, 10)
 

@@ -160,6 +160,135 @@ def batched_window_status(spark, sf):
     return read_target(spark, run.windows_path)
 
 
+def _fails_once(frame):
+    """A source that cannot be read the first time it is asked for."""
+    asked = []
+
+    def read():
+        asked.append(1)
+        if len(asked) == 1:
+            raise OSError("source not reached")
+        return frame
+
+    return read
+
+
+@query(
+    f"""{SRC} SELECT 'rows' AS state, CAST(o_orderkey AS VARCHAR) AS value, o_totalprice FROM src
+UNION ALL SELECT 'control', 'Full true 1998-06-14 04:00:00 0', NULL FROM (VALUES (1)) v(x)"""
+)
+def scheduled_flow_count_failed(spark, sf):
+    """A source whose count fails: the target and the control row stay as they were."""
+    src = fx.src_orders(spark, sf)
+    run = make_run(
+        spark,
+        sf,
+        [{"table_uid": "orders", "source_table": "orders_src", "load_type": "Full",
+          "schedule": "true"}],
+        read={"orders_src": _fails_once(src)},
+    )
+    target = f"{run.target_root}/dw/orders_src"
+    replace_load(src, target)
+    runs.run_scheduled(run)
+    after = run.control().selectExpr(
+        "'control' AS state",
+        "concat_ws(' ', load_type, schedule, last_update_date, source_row_count) AS value",
+        "CAST(NULL AS DOUBLE) AS o_totalprice",
+    )
+    return read_target(spark, target).selectExpr(
+        "'rows' AS state", "CAST(o_orderkey AS STRING) AS value", "o_totalprice"
+    ).unionByName(after)
+
+
+def _after_the_data(run):
+    run.as_of = fx.DATA_END
+    run.clock = lambda: datetime(fx.DATA_END.year, fx.DATA_END.month, fx.DATA_END.day, 4, 5, 6)
+    return run
+
+
+_WHOLE = f"""{SRC}, n AS (SELECT count(*) AS c FROM src)
+SELECT 'rows' AS state, CAST(o_orderkey AS VARCHAR) AS value, o_totalprice FROM src
+UNION ALL SELECT 'control', 'CDC false ' || c || ' ' || c, NULL FROM n"""
+
+
+def _rows_and_control(spark, run):
+    after = run.control().selectExpr(
+        "'control' AS state",
+        "concat_ws(' ', load_type, schedule, source_row_count, target_row_count) AS value",
+        "CAST(NULL AS DOUBLE) AS o_totalprice",
+    )
+    return read_target(spark, f"{run.target_root}/dw/orders_src").selectExpr(
+        "'rows' AS state", "CAST(o_orderkey AS STRING) AS value", "o_totalprice"
+    ).unionByName(after)
+
+
+@query(_WHOLE)
+def batched_full_flow_whole(spark, sf):
+    """A split load that ends after the data: every row loads and the table is promoted."""
+    items = [{"table_uid": "orders", "source_table": "orders_src", "load_type": "Full",
+              "batched": "true"}]
+    run = _after_the_data(make_run(spark, sf, items, window_limit=1_000_000))
+    runs.run_batched(run)
+    return _rows_and_control(spark, run)
+
+
+@query(_WHOLE)
+def scheduled_batches_flow(spark, sf):
+    """The same by months, as its schedule asks."""
+    items = [{"table_uid": "orders", "source_table": "orders_src", "load_type": "Full",
+              "schedule": "Batches"}]
+    run = _after_the_data(make_run(spark, sf, items))
+    runs.run_scheduled(run)
+    return _rows_and_control(spark, run)
+
+
+@query(
+    f"""{SRC} SELECT src.o_orderkey, src.o_totalprice FROM src
+WHERE CAST(last_update_date AS DATE) < DATE '1998-02-10'
+UNION ALL SELECT o_orderkey, o_totalprice FROM src
+WHERE CAST(last_update_date AS DATE) BETWEEN DATE '1998-02-01' AND DATE '1998-03-05'"""
+)
+def scheduled_manual_append_flow(spark, sf):
+    """A manual range without truncation adds its rows to what is there."""
+    run = make_run(
+        spark,
+        sf,
+        [{"table_uid": "part", "source_table": "orders_src", "load_type": "Special_Full",
+          "return_fields": "o_orderkey, o_totalprice", "schedule": "Manual",
+          "schedule_truncate": "false", "schedule_begin": "1998-02-01",
+          "schedule_end": "1998-03-05"}],
+    )
+    target = f"{run.target_root}/dw/orders_src"
+    before = fx.src_orders(spark, sf).filter(F.to_date("last_update_date") < "1998-02-10")
+    replace_load(before.select("o_orderkey", "o_totalprice"), target)
+    runs.run_scheduled(run)
+    return read_target(spark, target)
+
+
+@query(
+    f"""{_COLUMNS} SELECT column_name, data_type, table_name || '/' || column_name AS place
+FROM columns_ WHERE {_NAMED} AND data_type IS NOT NULL"""
+)
+def metadata_flow_upper_case(spark, sf):
+    """A catalog with upper-case names and a fifth column asked for in the control row."""
+    catalog = fx.catalog_columns(spark, sf)
+    catalog = catalog.select(*[F.col(c).alias(c.upper()) for c in catalog.columns])
+    run = make_run(
+        spark,
+        sf,
+        [{"table_uid": "cols", "source_table": "catalog", "load_type": "MetaData_Cols",
+          "return_fields": "OWNER, TABLE_NAME, COLUMN_NAME, DATA_TYPE, "
+                           "concat(TABLE_NAME, '/', COLUMN_NAME) AS PLACE",
+          "has_update_date": "false"}],
+        read={"catalog": lambda: catalog},
+        owner=fx.OWNER,
+        release="23C",
+    )
+    runs.run_metadata(run)
+    loaded = read_target(spark, f"{run.target_root}/dw/catalog_All_23C")
+    return loaded.select("column_name", "data_type", "place")
+
+
 @query(
     f"""{SRC} SELECT 'manual' AS loaded, o_orderkey, o_totalprice FROM src
 WHERE CAST(last_update_date AS DATE) BETWEEN DATE '1998-02-10' AND DATE '1998-03-05'

@@ -59,6 +59,20 @@ def stage_raw(spark, sf):
     return read_landing_csv(spark, path, columns).drop("last_update_date")
 
 
+@query(
+    f"""{SRC} SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'NA' ELSE CAST(o_orderkey AS VARCHAR) END
+    || ',' || CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderstatus END AS line FROM src"""
+)
+def stage_raw_text(spark, sf):
+    """The lines of the staged files: cleaned text, but for the key column."""
+    src = fx.src_orders(spark, sf).selectExpr(
+        "CASE WHEN o_orderkey % 3 = 0 THEN 'NA' ELSE CAST(o_orderkey AS STRING) END AS k",
+        "CASE WHEN o_orderkey % 5 = 0 THEN 'NaN' ELSE o_orderstatus END AS status",
+    )
+    path = L.stage_raw(src, work_path(spark, "raw"), "CDC/orders", "load", keys=["k"])
+    return spark.read.text(path).toDF("line").filter("line <> 'k,status'")
+
+
 # loading ---------------------------------------------------------------------------------------
 
 
@@ -215,7 +229,7 @@ def release_snapshot(spark, sf):
 
 @query(_upserted_sql("1998-06-12", CAUGHT_UP.replace(str(fx.SINCE), "1998-06-12")))
 def landing_upsert_stream(spark, sf):
-    """Three daily drops taken up by the stream, the last one after a restart."""
+    """Daily drops taken up by the stream: some after a restart, and one that comes late."""
     src, target, root = fx.src_orders(spark, sf), _target(spark), work_path(spark, "raw")
     L.replace_load(fx.tgt_orders(spark, sf, "1998-06-12"), target)
     checkpoint = work_path(spark, "stream")
@@ -226,6 +240,15 @@ def landing_upsert_stream(spark, sf):
         )
         if back < 2:
             _stream(spark, root, target, src.schema, checkpoint)
+    # a drop of an earlier day arrives last, with what its rows were then
+    late = fx.AS_OF - timedelta(days=2)
+    old = cdc_day_slice(src, fx.AS_OF).selectExpr(
+        "* EXCEPT (o_totalprice, last_update_date)",
+        "o_totalprice - 5 AS o_totalprice",
+        "last_update_date - INTERVAL 3 DAYS AS last_update_date",
+    ).select(src.columns)
+    L.stage_raw(old, root, f"CDC/orders/{late:%Y/%m/%d}", "late")
+    _stream(spark, root, target, src.schema, checkpoint)
     return L.read_target(spark, target)
 
 

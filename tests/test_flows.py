@@ -58,8 +58,9 @@ def test_after_promotion_the_next_day_loads_changes(spark, sf):
     assert (row.inserted_rows, row.updated_rows) == (0, done["processed"])
 
 
-def test_large_targets_are_cut_by_month_of_creation(spark, sf):
-    run = make_run(spark, sf, items("Full"), piece_rows=100)
+def test_targets_are_cut_as_declared_whatever_their_size(spark, sf):
+    by_month = "date_format(creation_date, 'yyyyMM')"
+    run = make_run(spark, sf, items("Full"), pieces={"*": by_month})
     flows.run_regular(run)
     table = TargetTable(spark, f"{run.target_root}/s0/orders_src")
     before = set(table.current().folders)
@@ -72,9 +73,188 @@ def test_large_targets_are_cut_by_month_of_creation(spark, sf):
     # the day's changes rewrite the months they were created in, and no other
     assert {f.piece for f in after - before} <= {"199805", "199806"}
     assert len(before & after) >= len(before) - 2
-    small = make_run(spark, sf, items("Full"))
-    flows.run_regular(small)
-    assert TargetTable(spark, f"{small.target_root}/s0/orders_src").current().piece_by is None
+    plain = make_run(spark, sf, items("Full"))
+    flows.run_regular(plain)
+    assert TargetTable(spark, f"{plain.target_root}/s0/orders_src").current().piece_by is None
+    # a table without the column stays whole
+    lines = {"table_uid": "l", "source_table": "lineitem", "load_type": "Full",
+             "has_update_date": "false"}
+    other = make_run(spark, sf, [lines], pieces={"*": by_month})
+    flows.run_regular(other)
+    assert TargetTable(spark, f"{other.target_root}/dw/lineitem").current().piece_by is None
+
+
+def failing(times, frame):
+    """A source that cannot be read the first times it is asked for."""
+    left = [times]
+
+    def read():
+        if left[0]:
+            left[0] -= 1
+            raise OSError("source not reached")
+        return frame
+
+    return read
+
+
+@pytest.mark.parametrize("kind", ["scheduled", "batches", "batched"])
+def test_a_failed_count_never_empties_cuts_or_promotes(spark, sf, kind):
+    src = fx.src_orders(spark, sf)
+    settings = {
+        "scheduled": {"schedule": "true"},
+        "batches": {"schedule": "Batches"},
+        "batched": {"batched": "true"},
+    }[kind]
+    run = make_run(
+        spark, sf, items("Full", **settings), read={"orders_src": failing(1, src)},
+        window_cost="row_count",
+    )
+    target = f"{run.target_root}/s0/orders_src"
+    replace_load(src, target)
+    before = run.control().first()
+    flow = flows.run_batched if kind == "batched" else flows.run_scheduled
+    (done,) = flow(run)
+    assert done["outcome"] == "extract_failed" and done["count_failed"]
+    assert read_target(spark, target).count() == src.count()
+    row = run.control().first()
+    assert (row.load_type, row.schedule) == ("Full", before.schedule)
+    assert row.last_update_date == before.last_update_date
+    assert "could not be counted" in row.extract_error
+    (again,) = flow(run)  # and the next run loads it
+    assert again["outcome"] == "loaded"
+
+
+def test_a_failed_count_lets_other_loads_go_on_without_promotion(spark, sf):
+    src = fx.src_orders(spark, sf)
+    empty = src.filter("o_orderkey < 0")
+    run = make_run(
+        spark,
+        sf,
+        [
+            {"table_uid": "a", "source_table": "a", "load_type": "Full"},
+            {"table_uid": "b", "source_table": "b", "load_type": "Full"},
+        ],
+        read={"a": failing(1, src), "b": failing(1, empty)},
+    )
+    done = {d["table_uid"]: d for d in flows.run_regular(run)}
+    assert done["a"]["outcome"] == "loaded" and done["b"]["outcome"] == "empty"
+    assert {r.load_type for r in run.control().collect()} == {"Full"}
+
+
+def test_a_scheduled_load_without_dates_keeps_its_target(spark, sf):
+    src = fx.src_orders(spark, sf)
+    run = make_run(
+        spark, sf, items("Full", schedule="Full", has_update_date="false"),
+    )
+    target = f"{run.target_root}/s0/orders_src"
+    replace_load(src, target)
+    (done,) = flows.run_scheduled(run)
+    assert done["outcome"] == "extract_failed" and "no date window" in done["extract_error"]
+    assert read_target(spark, target).count() == src.count()
+    assert run.control().first().schedule == "Full"
+
+
+def test_two_runs_beside_each_other_keep_both_results(spark, sf, monkeypatch):
+    run = make_run(spark, sf, items("Full", "Full"))
+    control = run.control().collect()
+    other = run.control().filter("table_uid = 't1'")
+    first, second = ([i] for i in flows.work_list(run, flows.sel.route(run.control()).drop("route")))
+    assert len(control) == 2 and other.count() == 1
+
+    def steps(item, name):
+        return flows.Steps(
+            lambda: flows._count(run, item),
+            lambda _: flows._stage(run, item, name, run.read(item.source_table)),
+            lambda staged: flows._load(run, item, staged),
+        )
+
+    # the second run ends between the first one's read of the control table and its commit
+    real, calls = flows._control_after, []
+
+    def between(now, results):
+        merged = real(now, results)
+        if not calls:
+            calls.append(1)
+            flows._run_items(run, second, steps)
+        return merged
+
+    monkeypatch.setattr(flows, "_control_after", between)
+    flows._run_items(run, first, steps)
+    rows = uid_rows(run.control())
+    assert rows["t0"].load_type == rows["t1"].load_type == "CDC"
+    assert run.stats().filter("load_status = 'Success'").count() == 2
+
+
+def test_a_change_of_control_during_a_run_stays(spark, sf):
+    run = make_run(spark, sf, items("Full"))
+    table = TargetTable(spark, run.control_path)
+    source = run.read
+
+    def read(name):
+        if not changed:
+            changed.append(1)
+            table.merge(lambda now: now.withColumn("priority", F.lit(9)))
+        return source(name)
+
+    changed = []
+    run.read = read
+    flows.run_regular(run)
+    row = run.control().first()
+    assert (row.priority, row.load_type) == (9, "CDC")
+
+
+def test_results_of_a_run_that_died_are_merged_by_the_next(spark, sf, monkeypatch):
+    run = make_run(spark, sf, items("Full", "Full"))
+    real = flows.merge_results
+
+    def dies(run):
+        if TargetTable(spark, run.journal_path).exists():
+            raise KeyboardInterrupt
+        real(run)
+
+    monkeypatch.setattr(flows, "merge_results", dies)
+    with pytest.raises(KeyboardInterrupt):
+        flows._run_items(run, flows.work_list(run, flows.sel.route(run.control()).drop("route")),
+                         lambda item, name: flows.Steps(
+                             lambda: flows._count(run, item),
+                             lambda _: flows._stage(run, item, name, run.read(item.source_table)),
+                             lambda staged: flows._load(run, item, staged)))
+    monkeypatch.setattr(flows, "merge_results", real)
+    assert {r.load_type for r in run.control().collect()} == {"Full"}
+    assert flows.run_regular(run) == []  # both ran today
+    assert {r.load_type for r in run.control().collect()} == {"CDC"}
+
+
+def test_a_target_without_a_name_is_a_failure_with_a_message(spark, sf):
+    run = make_run(
+        spark, sf,
+        [{"table_uid": "v", "source_table": "orders_src", "load_type": "Validation",
+          "return_fields": "o_orderkey"}],
+    )
+    (done,) = flows.run_regular(run)
+    assert done["outcome"] == "extract_failed" and "target" in done["extract_error"]
+
+
+def test_keys_that_spell_missing_stay_apart(spark, sf):
+    rows = spark.createDataFrame(
+        [("NA", "a"), ("None", "NA"), ("null", "c"), ("x", "null")], "k string, v string"
+    ).selectExpr("*", "TIMESTAMP_NTZ'1998-06-14 01:00:00' AS last_update_date",
+                 "TIMESTAMP_NTZ'1998-06-14 01:00:00' AS creation_date")
+    run = make_run(
+        spark, sf,
+        [{"table_uid": "t", "source_table": "t", "load_type": "CDC", "primary_key": "k"}],
+        read={"t": lambda: rows},
+    )
+    flows.run_regular(run)
+    got = {r.k: r.v for r in read_target(spark, f"{run.target_root}/dw/t").collect()}
+    assert got == {"NA": "a", "None": None, "null": "c", "x": None}
+    run = make_run(
+        spark, sf, [{"table_uid": "t", "source_table": "t", "load_type": "Full"}],
+        read={"t": lambda: rows}, na_tokens=("c",), strip_null=True,
+    )
+    flows.run_regular(run)
+    got = {(r.k, r.v) for r in read_target(spark, f"{run.target_root}/dw/t").collect()}
+    assert got == {("NA", "a"), ("None", "NA"), (None, None), ("x", None)}
 
 
 def test_failures_are_recorded_and_retried(spark, sf):

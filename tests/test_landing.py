@@ -47,6 +47,7 @@ def test_missing_spellings_become_null_and_stay_null(spark, tmp_path, rows):
     path = stage_raw(df, str(tmp_path), "zone/t", "load")
     kept = {r.text for r in read_staged(spark, path, df.schema).collect()}
     assert kept == {None, "nullable", " NA", "Null"}
+    path = stage_raw(df, str(tmp_path), "zone/own", "load", tokens=["NA"])
     own = read_staged(spark, path, df.schema, tokens=["NA"])
     assert own.filter("text IS NULL").count() == 3  # NA, and both spellings of nothing
 

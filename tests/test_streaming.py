@@ -2,11 +2,14 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+import pytest
+
 from checks import fixtures as fx
 from tidegate.operators.slices import cdc_day_slice
 from tidegate.plans.loads import read_target, replace_load, stage_raw, upsert_load
 from tidegate.plans.snapshots import TargetTable
-from tidegate.streaming.landing import landing_upsert_stream
+from tidegate.sources.landing import read_landing_csv
+from tidegate.streaming.landing import landing_upsert_stream, query_id
 
 KEY, NEWEST = ["o_orderkey"], ["last_update_date"]
 
@@ -55,10 +58,61 @@ def test_a_repeated_batch_is_skipped(spark, tmp_path):
     drop = spark.createDataFrame([(1, "a")], "id bigint, v string")
     stage_raw(drop, str(tmp_path / "raw"), "CDC/t/2024/01/01", "load")
     target, checkpoint = str(tmp_path / "t"), str(tmp_path / "ckpt")
-    replace_load(drop.filter("id < 0"), target)
+
+    def run(path):
+        landing_upsert_stream(
+            spark, str(tmp_path / "raw"), target, drop.schema, ["id"], path
+        ).awaitTermination()
+
+    run(checkpoint)
     table = TargetTable(spark, target)
-    table.commit(table.current(), (), {f"landing:{checkpoint}": 0})
-    landing_upsert_stream(
-        spark, str(tmp_path / "raw"), target, drop.schema, ["id"], checkpoint
-    ).awaitTermination()
-    assert table.read().count() == 0
+    assert table.current().applied == {f"landing:{query_id(spark, checkpoint)}": 0}
+    version = table.current().version
+    # the checkpoint forgets that its first batch is done
+    for mark in (tmp_path / "ckpt" / "commits").glob("*0"):
+        mark.unlink()
+    for mark in (tmp_path / "ckpt" / "commits").glob(".*"):
+        mark.unlink()
+    run(checkpoint)
+    assert table.current().version == version
+
+
+def test_a_new_checkpoint_reads_everything_again(spark, tmp_path):
+    schema = "id bigint, v string"
+    target = str(tmp_path / "t")
+    for n, (day, row) in enumerate((("2024/01/01", (1, "a")), ("2024/01/02", (2, "b")))):
+        drop = spark.createDataFrame([row], schema)
+        stage_raw(drop, str(tmp_path / "raw"), f"CDC/t/{day}", "load")
+        landing_upsert_stream(
+            spark, str(tmp_path / "raw"), target, drop.schema, ["id"], str(tmp_path / f"ck{n}")
+        ).awaitTermination()
+    assert {r.id for r in read_target(spark, target).collect()} == {1, 2}
+
+
+def test_an_older_drop_does_not_replace_a_newer_one(spark, tmp_path):
+    schema = "id bigint, v string"
+    target = str(tmp_path / "t")
+    for day, v in (("2024/01/02", "late"), ("2024/01/01", "early"), ("2024/01/03", "last")):
+        drop = spark.createDataFrame([(1, v), (int(day[-1]) + 10, v)], schema)
+        stage_raw(drop, str(tmp_path / "raw"), f"CDC/t/{day}", "load")
+        landing_upsert_stream(
+            spark, str(tmp_path / "raw"), target, drop.schema, ["id"], str(tmp_path / "ckpt")
+        ).awaitTermination()
+        got = {r.id: r.v for r in read_target(spark, target).collect()}
+        assert got[1] == ("late" if v == "early" else v)
+    assert got == {1: "last", 11: "early", 12: "late", 13: "last"}
+
+
+def test_a_header_in_another_order_is_an_error(spark, tmp_path):
+    folder = tmp_path / "raw" / "CDC" / "t" / "2024" / "01" / "01"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text("id,q,p\n1,2,3\n")
+    schema = spark.createDataFrame([], "id bigint, p bigint, q bigint").schema
+    with pytest.raises(Exception, match="(?i)header"):
+        read_landing_csv(spark, str(folder), ["id", "p", "q"]).collect()
+    query = landing_upsert_stream(
+        spark, str(tmp_path / "raw"), str(tmp_path / "t"), schema, ["id"], str(tmp_path / "ckpt")
+    )
+    with pytest.raises(Exception, match="(?i)header"):
+        query.awaitTermination()
+    assert read_target(spark, str(tmp_path / "t")).count() == 0

@@ -1,18 +1,25 @@
 """The five flows of a run: regular, batched, scheduled, metadata and free-form loads.
 
 Only the work list (one row per table to load) and one result per table come to the driver; rows
-of source and target tables stay in Spark jobs. Control and statistics are written after every
-table, so a run that dies is continued by the next one from where it was.
+of source and target tables stay in Spark jobs. Each table's result is appended to a journal;
+control and statistics are merged from it once at the end of a flow, and at the start of the next
+one if a run died. Merges are committed against the version they read and made again when another
+run has committed in between, so runs beside each other do not undo their results.
+
+A source that could not be counted is not an empty one: loads that are split or empty their table
+by date end as failed extracts, others go on but are never promoted.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,17 +28,12 @@ from tidegate.operators import counts as C
 from tidegate.operators import reconcile as R
 from tidegate.operators import selection as sel
 from tidegate.operators import windows as win
-from tidegate.operators.joins import assign_window, parse_keys, primary_keys
-from tidegate.operators.slices import (
-    CREATED,
-    UPDATED,
-    catalog_slice,
-    cdc_day_slice,
-    owner_filter,
-)
+from tidegate.operators.joins import assign_window, keep_latest, parse_keys, primary_keys
+from tidegate.functions.clean import NA_TOKENS
+from tidegate.operators.slices import CREATED, UPDATED, cdc_day_slice, owner_filter
 from tidegate.plans import loads
 from tidegate.plans.snapshots import TargetTable
-from tidegate.schemas import CONTROL, LOAD_STATS, RUN_RESULT, WINDOW_STATUS
+from tidegate.schemas import CONTROL, LOAD_STATS, RUN_JOURNAL, WINDOW_STATUS
 from tidegate.session import drop_path, small_frame, work_path
 from tidegate.sources.tables import scan_freeform, scan_projected
 
@@ -72,16 +74,21 @@ class IngestRun:
     owner: str | None = None
     lag: int = 1
     since: date | None = None
-    # what bounds a window of a split load: rows (reads the date column only) or staged bytes
-    # (reads every column), and how many; None takes the value in WINDOW_LIMITS
-    window_cost: str = "row_count"
+    # what bounds a window of a split load: staged bytes (reads every column) or rows (reads the
+    # date column only), and how many; None takes the value in WINDOW_LIMITS
+    window_cost: str = "byte_count"
     window_limit: int | None = None
     clock: Callable[[], datetime] = _utc_now
     project: str = ""
-    # target table name -> SQL expression that cuts it into pieces; other targets that start with
-    # at least piece_rows source rows are cut by their month of creation where they have one
+    # target table name -> SQL expression that cuts it into pieces, "*" for all others that have
+    # its columns; a change load rewrites only the pieces it touches, an uncut target as a whole
     pieces: dict[str, str] | None = None
-    piece_rows: int = 10_000_000
+    # spellings of a missing value, and whether the letters null are deleted inside values
+    na_tokens: tuple[str, ...] = NA_TOKENS
+    strip_null: bool = False
+    # versions of control, statistics and journal that stay readable; of targets, None keeps all
+    keep_versions: int = 5
+    keep_target_versions: int | None = None
     # tables loaded at the same time; those of one target always follow each other
     parallel: int = 1
     # folder for the exported statistics items of free-form loads
@@ -101,14 +108,26 @@ class IngestRun:
         """Progress rows of loads split by date."""
         return f"{self.stats_path}_windows"
 
+    @property
+    def journal_path(self) -> str:
+        """Results that are not merged into control and statistics yet."""
+        return f"{self.control_path}_journal"
+
     def target_path(self, item: Row) -> str:
+        if not item.target_schema or not item.target_table:
+            raise ValueError(f"{item.table_uid}: no target schema or table name")
         return f"{self.target_root}/{item.target_schema}/{item.target_table}"
 
-    def piece_by(self, item: Row, staged: DataFrame, source_rows: int) -> str | None:
-        if item.target_table in (self.pieces or {}):
-            return self.pieces[item.target_table]
-        if source_rows >= self.piece_rows and CREATED in [c.lower() for c in staged.columns]:
-            return f"date_format(try_cast({CREATED} AS date), 'yyyyMM')"
+    def piece_by(self, item: Row, staged: DataFrame) -> str | None:
+        declared = self.pieces or {}
+        if item.target_table in declared:
+            return declared[item.target_table]
+        if "*" in declared:
+            try:
+                staged.selectExpr(declared["*"])
+            except AnalysisException:
+                return None  # a table without these columns
+            return declared["*"]
         return None
 
     def now(self) -> str:
@@ -148,19 +167,14 @@ def _stamps(counted: DataFrame) -> tuple[int, object, object]:
 
 
 def _count(run: IngestRun, item: Row) -> tuple[int, object, object]:
-    """Rows, earliest and latest update; a count that fails is 0 without dates."""
-    try:
-        df = run.read(item.source_table)
-        if not item.has_update_date:
-            owner = run.owner if item.load_type == "MetaData" else None
-            counted = C.record_counts_no_lud(df, owner)
-        elif item.load_type == "CDC":
-            counted = C.record_counts_cdc(df, run.as_of, run.lag)
-        else:
-            counted = C.record_counts(df)
-        return _stamps(counted)
-    except Exception:
-        return 0, None, None
+    """Rows, earliest and latest update."""
+    df = run.read(item.source_table)
+    if not item.has_update_date:
+        owner = run.owner if item.load_type == "MetaData" else None
+        return _stamps(C.record_counts_no_lud(df, owner))
+    if item.load_type == "CDC":
+        return _stamps(C.record_counts_cdc(df, run.as_of, run.lag))
+    return _stamps(C.record_counts(df))
 
 
 def _extract(run: IngestRun, item: Row, df: DataFrame) -> DataFrame:
@@ -174,17 +188,23 @@ def _extract(run: IngestRun, item: Row, df: DataFrame) -> DataFrame:
     return df
 
 
-def _load(run: IngestRun, item: Row, staged: DataFrame, source_rows: int) -> loads.LoadResult:
-    target, piece_by = run.target_path(item), run.piece_by(item, staged, source_rows)
+def _load(run: IngestRun, item: Row, staged: DataFrame) -> loads.LoadResult:
+    target, piece_by = run.target_path(item), run.piece_by(item, staged)
     if item.load_type in sel.CHANGE_TYPES:
         newest = [c for c in (UPDATED, CREATED) if c in [n.lower() for n in staged.columns]]
         return loads.upsert_load(staged, target, parse_keys(item.primary_key), newest, piece_by)
     if item.load_type == sel.FREEFORM_TYPE:
         return loads.freeform_load(staged, target, item.freeform_truncate)
+    if item.load_type == "MetaData":
+        return loads.metadata_load(staged, target, "columns")
     return loads.replace_load(staged, target, piece_by)
 
 
-def _blank(item: Row, counted: tuple) -> dict:
+def _first_line(error: Exception) -> str:
+    return str(error).split("\n")[0]
+
+
+def _blank(item: Row, counted: tuple, count_error: str | None) -> dict:
     return {
         "table_uid": item.table_uid,
         "load_type": item.load_type,
@@ -200,7 +220,7 @@ def _blank(item: Row, counted: tuple) -> dict:
         "extract_error": "",
         "promote": item.promote,
         "prior_update_date": item.last_update_date,
-        "span": counted[1:],
+        "count_failed": count_error is not None,
     }
 
 
@@ -208,9 +228,14 @@ def _stage(
     run: IngestRun, item: Row, name: str, extract: DataFrame, window: str | None = None
 ) -> DataFrame:
     """Stages an extract and returns it read back, typed as the extract was."""
-    path = loads.stage_raw(extract, run.raw_root, item.raw_prefix, name, window)
+    keys = parse_keys(item.primary_key) if (item.primary_key or "").strip(" ,") else []
+    path = loads.stage_raw(
+        extract, run.raw_root, item.raw_prefix, name, window, run.strip_null,
+        tokens=run.na_tokens, keys=keys,
+    )
     schema = extract.drop(window).schema if window else extract.schema
-    return loads.read_staged(run.spark, path, schema, window)
+    # what was cleaned before it was written has one spelling of missing left
+    return loads.read_staged(run.spark, path, schema, window, tokens=("",), keys=keys)
 
 
 def _announce(run: IngestRun, items: list[Row]) -> dict[str, str]:
@@ -232,8 +257,9 @@ def _announce(run: IngestRun, items: list[Row]) -> dict[str, str]:
         }
         for item in items
     ]
-    stats = R.stats_put_if_absent(run.stats(), small_frame(run.spark, new, LOAD_STATS))
-    loads.replace_load(stats, run.stats_path)
+    run.stats()  # creates the table
+    entered = small_frame(run.spark, new, LOAD_STATS)
+    TargetTable(run.spark, run.stats_path).merge(lambda now: R.stats_put_if_absent(now, entered))
     return names
 
 
@@ -243,7 +269,9 @@ class Steps:
 
     count: Callable[[], tuple]
     extract: Callable[[tuple], DataFrame]
-    load: Callable[[DataFrame, int], loads.LoadResult]
+    load: Callable[[DataFrame], loads.LoadResult]
+    needs_count: bool = False  # without it the extract would be a wrong one
+    clean_up: Callable[[], None] = lambda: None
 
 
 def _load_one(run: IngestRun, item: Row, steps: Steps, empty_is_loaded: bool) -> dict:
@@ -252,42 +280,80 @@ def _load_one(run: IngestRun, item: Row, steps: Steps, empty_is_loaded: bool) ->
     A failure of one step is recorded, not raised. Loads leave the table alone when nothing was
     staged, unless ``empty_is_loaded``: those that empty their table first.
     """
-    started = run.now()
-    result = {**_blank(item, steps.count()), "extract_start": started}
+    started, counted, count_error = run.now(), (0, None, None), None
     try:
-        staged = steps.extract((result["source_count"], *result.pop("span")))
+        run.target_path(item)
+        counted = steps.count()
     except Exception as error:
-        result.update(outcome="extract_failed", extract_error=str(error).split("\n")[0])
+        count_error = _first_line(error)
+    result = {**_blank(item, counted, count_error), "extract_start": started}
+    try:
+        run.target_path(item)
+        if steps.needs_count and count_error is not None:
+            raise RuntimeError(f"the source could not be counted: {count_error}")
+        staged = steps.extract(counted)
+    except Exception as error:
+        result.update(outcome="extract_failed", extract_error=_first_line(error))
     result["extract_end"] = run.now()
     if result["outcome"] == "loaded":
         try:
-            done = steps.load(staged, result["source_count"])
+            done = steps.load(staged)
             result.update(
                 rows_before=done.rows_before, rows_after=done.rows_after, processed=done.processed
             )
             if not done.processed and not empty_is_loaded:
                 result["outcome"] = "empty"
+            if run.keep_target_versions is not None:
+                TargetTable(run.spark, done.path).expire(run.keep_target_versions)
         except Exception as error:
-            result.update(load_error=True, load_error_message=str(error).split("\n")[0])
+            result.update(load_error=True, load_error_message=_first_line(error))
             result.update(source_count=0, rows_before=0, rows_after=0, processed=0)
+    steps.clean_up()
     return {**result, "finished_at": run.now()}
 
 
-def _settle(run: IngestRun, result: dict, scheduled: bool) -> None:
-    """Reconciles one load and writes control and statistics."""
-    results = small_frame(run.spark, [result], RUN_RESULT)
-    control = run.control()
-    if result["outcome"] == "empty":
-        control = R.apply_zero_rows(control, results)
-    elif result["outcome"] == "extract_failed":
-        control = R.apply_extract_failure(control, results)
-    elif scheduled:
-        control = R.apply_schedule_done(control, R.settle(results))
-    else:
-        control = R.apply_success(control, R.settle(results))
-    loads.replace_load(control, run.control_path)
-    happened = R.load_tally(results).select(
-        F.lit(result["file_name"]).alias("file_name"),
+def _record(run: IngestRun, result: dict, scheduled: bool) -> None:
+    """Appends one table's result to the journal."""
+    row = {f: result.get(f) for f in RUN_JOURNAL.fieldNames()} | {"scheduled": scheduled}
+    loads.append_load(small_frame(run.spark, [row], RUN_JOURNAL), run.journal_path)
+
+
+def merge_results(run: IngestRun) -> None:
+    """Merges the journal into control and statistics, one commit each, and empties it.
+
+    Repeating it after a failure half-way writes the same values again.
+    """
+    loads.create_if_missing(run.spark, run.journal_path, RUN_JOURNAL)
+    run.stats()
+    journal = TargetTable(run.spark, run.journal_path)
+    held = journal.current().folders
+    if not held:
+        return
+    results = journal.read_folders(journal.current(), list(held))
+    latest = keep_latest(results, ["table_uid"], ["finished_at"])
+    ended = keep_latest(results, ["file_name"], ["finished_at"])
+    TargetTable(run.spark, run.control_path).merge(lambda now: _control_after(now, latest))
+    TargetTable(run.spark, run.stats_path).merge(
+        lambda now: R.stats_transition(now, _happened(ended))
+    )
+    merged = set(held)
+    journal.change_folders(lambda now: tuple(f for f in now if f not in merged))
+    for path in (run.control_path, run.stats_path, run.journal_path):
+        TargetTable(run.spark, path).expire(run.keep_versions)
+
+
+def _control_after(control: DataFrame, results: DataFrame) -> DataFrame:
+    loaded, scheduled = F.col("outcome") == "loaded", F.col("scheduled")
+    control = R.apply_success(control, R.settle(results.filter(loaded & ~scheduled)))
+    control = R.apply_schedule_done(control, R.settle(results.filter(loaded & scheduled)))
+    control = R.apply_zero_rows(control, results.filter(F.col("outcome") == "empty"))
+    return R.apply_extract_failure(control, results.filter(F.col("outcome") == "extract_failed"))
+
+
+def _happened(results: DataFrame) -> DataFrame:
+    """Results as the statistics take them."""
+    return R.load_tally(results).select(
+        "file_name",
         "outcome",
         F.col("source_count").alias("source_rows"),
         F.col("rows_after").alias("target_rows"),
@@ -296,11 +362,10 @@ def _settle(run: IngestRun, result: dict, scheduled: bool) -> None:
         "load_error",
         "load_error_message",
         "extract_error",
-        F.lit(result["extract_start"]).alias("extract_start"),
-        F.lit(result["extract_end"]).alias("extract_end"),
+        "extract_start",
+        "extract_end",
         F.col("finished_at").alias("load_end"),
     )
-    loads.replace_load(R.stats_transition(run.stats(), happened), run.stats_path)
 
 
 def _run_items(
@@ -312,7 +377,7 @@ def _run_items(
 ) -> list[dict]:
     """Loads the listed tables in order, ``run.parallel`` at a time.
 
-    Control and statistics are written here, by one thread, as each table is done.
+    Results are journaled here, by one thread, as each table is done, and merged at the end.
     """
     if not items:
         return []
@@ -329,39 +394,39 @@ def _run_items(
     if run.parallel <= 1:
         for item in items:
             done.append(one(item))
-            _settle(run, done[-1], scheduled)
+            _record(run, done[-1], scheduled)
     else:
-        groups: dict[str, list[Row]] = {}
+        groups: dict[tuple, list[Row]] = {}
         for item in items:
-            groups.setdefault(run.target_path(item), []).append(item)
+            groups.setdefault((item.target_schema, item.target_table), []).append(item)
         with ThreadPoolExecutor(run.parallel) as pool:
             work = inheritable_thread_target(run.spark)(one_target)
             for ended in as_completed([pool.submit(work, group) for group in groups.values()]):
                 for result in ended.result():
                     done.append(result)
-                    _settle(run, result, scheduled)
-    for path in (run.control_path, run.stats_path):
-        TargetTable(run.spark, path).expire(keep=5)
+                    _record(run, result, scheduled)
+    merge_results(run)
     return done
 
 
+def _control(run: IngestRun) -> DataFrame:
+    """The control table, with what an earlier run may have left in the journal."""
+    merge_results(run)
+    return run.control()
+
+
 # the flows ---------------------------------------------------------------------------------
 
 
 def run_regular(run: IngestRun) -> list[dict]:
     """Change, full, projected, validation and metadata loads that are not split by date."""
-    routed = sel.route(sel.select_regular(run.control()))
+    routed = sel.route(sel.select_regular(_control(run)))
 
     def steps(item: Row, name: str) -> Steps:
         def extract(_) -> DataFrame:
-            if item.load_type == "MetaData":
-                # the release table is there even when the extract turns out empty
-                loads.create_if_missing_metadata(run.spark, run.target_path(item), "columns")
             return _stage(run, item, name, _extract(run, item, run.read(item.source_table)))
 
-        return Steps(
-            lambda: _count(run, item), extract, lambda staged, n: _load(run, item, staged, n)
-        )
+        return Steps(lambda: _count(run, item), extract, lambda staged: _load(run, item, staged))
 
     regular = routed.filter(F.col("route") == "regular").drop("route")
     return _run_items(run, work_list(run, regular), steps)
@@ -384,10 +449,16 @@ def plan_windows(run: IngestRun, sizes: DataFrame, min_update_date) -> DataFrame
 
 
 def _windowed(
-    run: IngestRun, item: Row, name: str, source: DataFrame, windows: DataFrame
+    run: IngestRun, item: Row, name: str, windows: DataFrame, source_rows: int
 ) -> DataFrame:
-    """Stages the rows of all windows in one pass over the days the windows span."""
+    """Stages the rows of all windows in one pass over the days the windows span.
+
+    No window for a source that has rows is a failure, never an empty extract.
+    """
+    source = run.read(item.source_table)
     span = windows.agg(F.min("begin_date"), F.max("end_date")).first()
+    if span[0] is None and source_rows:
+        raise ValueError(f"no date window covers any of {source_rows} source rows")
     span = tuple(span) if span[0] is not None else None
     dated = assign_window(source, windows, UPDATED, span)
     if item.load_type == "Special_Full":
@@ -401,7 +472,7 @@ def run_batched(run: IngestRun) -> list[dict]:
     One scan of the source measures its days, for the counts and for the windows; a second one
     extracts.
     """
-    routed = sel.route(sel.select_batched(run.control()))
+    routed = sel.route(sel.select_batched(_control(run)))
 
     def steps(item: Row, name: str) -> Steps:
         work = work_path(run.spark, "windows")
@@ -417,31 +488,38 @@ def run_batched(run: IngestRun) -> list[dict]:
         def count() -> tuple:
             if not item.has_update_date:
                 return _count(run, item)
-            try:
-                return _stamps(C.profile_counts(measure()))
-            except Exception:
-                return 0, None, None
+            return _stamps(C.profile_counts(measure()))
 
         def extract(counted: tuple) -> DataFrame:
             chosen = plan_windows(run, measure(), counted[1])
             frames["windows"] = _written_once(run, chosen, f"{work}/windows")
-            return _windowed(run, item, name, run.read(item.source_table), frames["windows"])
-
-        def load(staged: DataFrame, source_rows: int) -> loads.LoadResult:
+            staged = _windowed(run, item, name, frames["windows"], counted[0])
+            loaded = loads.staged_per_window(
+                run.spark, f"{run.raw_root}/{item.raw_prefix.strip('/')}/{name}",
+                staged.columns, "window_id",
+            )
+            frames["progress"] = _written_once(run, loaded, f"{work}/progress")
+            return staged
+
+        def load(staged: DataFrame) -> loads.LoadResult:
             target = run.target_path(item)
-            piece_by = run.piece_by(item, staged, source_rows)
-            done = loads.replace_load(staged, target, piece_by, clear_when_empty=True)
-            days = assign_window(frames["days"], frames["windows"], "day")
-            progress = R.window_progress(days, frames["windows"], rows="row_count")
+            done = loads.replace_load(
+                staged, target, run.piece_by(item, staged), clear_when_empty=True
+            )
+            progress = R.window_progress(frames["progress"], frames["windows"], rows="row_count")
             named = progress.withColumns(
                 {"table_uid": F.lit(item.table_uid), "loaded_at": F.lit(run.now())}
             )
-            loads.create_if_missing(run.spark, run.windows_path, WINDOW_STATUS)
-            loads.append_load(named, run.windows_path)
-            drop_path(run.spark, work)
+            try:
+                loads.create_if_missing(run.spark, run.windows_path, WINDOW_STATUS)
+                loads.append_load(named, run.windows_path)
+            except Exception as error:  # the table is loaded all the same
+                logging.getLogger(__name__).warning("no window progress: %s", _first_line(error))
             return done
 
-        return Steps(count, extract, load)
+        return Steps(
+            count, extract, load, needs_count=True, clean_up=lambda: drop_path(run.spark, work)
+        )
 
     batched = routed.filter(F.col("route") == "batched").drop("route")
     return _run_items(run, work_list(run, batched), steps, empty_is_loaded=True)
@@ -461,18 +539,17 @@ def run_scheduled(run: IngestRun) -> list[dict]:
                 run.spark, [{f: asked[f] for f in _SCHEDULED.fieldNames()}], _SCHEDULED
             )
             windows = win.schedule_windows(frame, run.as_of).drop("table_uid")
-            return _windowed(run, item, name, run.read(item.source_table), windows)
+            return _windowed(run, item, name, windows, counted[0])
 
-        def load(staged: DataFrame, source_rows: int) -> loads.LoadResult:
-            target = run.target_path(item)
-            piece_by = run.piece_by(item, staged, source_rows)
+        def load(staged: DataFrame) -> loads.LoadResult:
+            target, piece_by = run.target_path(item), run.piece_by(item, staged)
             if item.schedule == "Manual" and not item.schedule_truncate:
                 return loads.append_load(staged, target, piece_by)
             return loads.replace_load(staged, target, piece_by, clear_when_empty=True)
 
-        return Steps(lambda: _count(run, item), extract, load)
+        return Steps(lambda: _count(run, item), extract, load, needs_count=True)
 
-    items = work_list(run, sel.select_scheduled(run.control()))
+    items = work_list(run, sel.select_scheduled(_control(run)))
     return _run_items(run, items, steps, scheduled=True, empty_is_loaded=True)
 
 
@@ -488,19 +565,18 @@ def run_metadata(
             if keys:
                 found = primary_keys(run.read(constraints), run.read(cons_columns), run.owner)
             else:
-                columns = catalog_slice(run.read(item.source_table), run.owner)
-                found = scan_projected(columns, f"{item.return_fields}, slice")
+                found = loads.catalog_extract(
+                    run.read(item.source_table), run.owner, return_fields=item.return_fields
+                )
             return _stage(run, item, name, found)
 
-        def load(staged: DataFrame, source_rows: int) -> loads.LoadResult:
-            target = run.target_path(item)
+        def load(staged: DataFrame) -> loads.LoadResult:
             kind = "primary_keys" if keys else "columns"
-            loads.create_if_missing_metadata(run.spark, target, kind)
-            return loads.replace_load(staged, target, clear_when_empty=True)
+            return loads.metadata_load(staged, run.target_path(item), kind)
 
         return Steps(lambda: (0, None, None) if keys else _count(run, item), extract, load)
 
-    items = work_list(run, sel.select_metadata(run.control()))
+    items = work_list(run, sel.select_metadata(_control(run)))
     return _run_items(run, items, steps, empty_is_loaded=True)
 
 
@@ -511,10 +587,10 @@ def run_freeform(run: IngestRun) -> list[dict]:
         return Steps(
             lambda: (0, None, None),
             lambda _: _stage(run, item, name, scan_freeform(run.spark, item.freeform_sql)),
-            lambda staged, n: _load(run, item, staged, n),
+            lambda staged: _load(run, item, staged),
         )
 
-    done = _run_items(run, work_list(run, sel.select_freeform(run.control())), steps)
+    done = _run_items(run, work_list(run, sel.select_freeform(_control(run))), steps)
     if run.stats_export:
         stats = run.stats()
         for result in done:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,7 @@ from tidegate.plans.snapshots import PIECE, Snapshot, TargetTable, piece_column
 from tidegate.schemas import CATALOG_COLUMNS, PRIMARY_KEYS
 from tidegate.session import drop_path, work_path
 from tidegate.sources.landing import CSV_OPTIONS, read_landing_csv
+from tidegate.sources.tables import scan_projected
 
 ROWS_PER_FILE = 250_000  # a file with line breaks inside fields is read by one task
 
@@ -56,8 +58,13 @@ def stage_raw(
     window: str | None = None,
     strip: bool = False,
     rows_per_file: int = ROWS_PER_FILE,
+    tokens: Sequence[str] = NA_TOKENS,
+    keys: Sequence[str] = (),
 ) -> str:
-    """Writes an extract as CSV text below ``root/prefix`` and returns its folder.
+    """Writes an extract as cleaned CSV text below ``root/prefix`` and returns its folder.
+
+    Spellings of missing become empty fields, but not in ``keys``: there they would make different
+    keys one.
 
     With ``window`` the rows of each window go to a folder of their own; the shuffle this takes
     splits windows that hold a large share of the rows.
@@ -67,7 +74,7 @@ def stage_raw(
     if strip:
         text = strip_null_text(text)
     values = [c for c in text.columns if c != window]
-    text = null_to_empty(text, values)
+    text = null_to_empty(na_tokens_to_null(text, _beside(values, keys), tokens), values)
     # one empty field alone on a line would read as no line at all
     empty = "" if len(values) > 1 else '""'
     if window:
@@ -82,19 +89,32 @@ def stage_raw(
     return path
 
 
+def _beside(columns: Sequence[str], keys: Sequence[str]) -> list[str]:
+    held = {k.lower() for k in keys}
+    return [c for c in columns if c.lower() not in held]
+
+
+def staged_per_window(spark: SparkSession, path: str, columns: Sequence[str], window: str) -> DataFrame:
+    """window and row_count of what was staged, from the files."""
+    text = read_landing_csv(spark, path, [*columns, window])
+    return text.groupBy(window).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def read_staged(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
     window: str | None = None,
     tokens: Sequence[str] = NA_TOKENS,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """A staged extract with missing spellings as NULL and the columns cast to ``schema``.
 
     A value that does not fit its type is an error of the load, not a silent NULL.
     """
     columns = [n for n in schema.fieldNames() if n != window]
-    text = na_tokens_to_null(read_landing_csv(spark, path, columns), columns, tokens)
+    text = read_landing_csv(spark, path, columns)
+    text = na_tokens_to_null(text, _beside(columns, keys), tokens)
     return conform(text.drop(window) if window else text, schema)
 
 
@@ -132,11 +152,20 @@ def create_if_missing(
     return True, snapshot.rows
 
 
-def create_if_missing_metadata(spark: SparkSession, target: str, kind: str) -> tuple[bool, int]:
-    """As above with a fixed layout: ``columns`` or ``primary_keys``."""
-    layouts = {"columns": (CATALOG_COLUMNS, "slice"), "primary_keys": (PRIMARY_KEYS, None)}
-    schema, piece_by = layouts[kind]
-    return create_if_missing(spark, target, schema, piece_by)
+def metadata_layout(kind: str, found: T.StructType | None = None) -> T.StructType:
+    """The fixed columns of ``columns`` or ``primary_keys``, and those of ``found`` beside them."""
+    fixed = {"columns": CATALOG_COLUMNS, "primary_keys": PRIMARY_KEYS}[kind]
+    known = {f.name.lower() for f in fixed.fields}
+    more = [f for f in (found.fields if found else []) if f.name.lower() not in known]
+    return T.StructType([*fixed.fields, *[T.StructField(f.name.lower(), f.dataType) for f in more]])
+
+
+def create_if_missing_metadata(
+    spark: SparkSession, target: str, kind: str, found: T.StructType | None = None
+) -> tuple[bool, int]:
+    """As above with the layout of ``columns`` or ``primary_keys``, extended by an extract's columns."""
+    piece_by = {"columns": "slice", "primary_keys": None}[kind]
+    return create_if_missing(spark, target, metadata_layout(kind, found), piece_by)
 
 
 def _open(df: DataFrame, target: str, piece_by: str | None) -> tuple[TargetTable, Snapshot]:
@@ -177,7 +206,8 @@ def append_load(staged: DataFrame, target: str, piece_by: str | None = None) ->
     folders = table.write_folders(conform(staged, base.struct), base)
     if not folders:
         return _result(base, base, 0, target)
-    return _result(base, table.commit(base, base.folders + folders), _rows(folders), target)
+    after = table.change_folders(lambda now: now + folders)
+    return _result(base, after, _rows(folders), target)
 
 
 def windowed_replace_load(
@@ -206,12 +236,14 @@ def upsert_load(
     piece_by: str | None = None,
     order_only: Sequence[str] = (),
     applied: dict[str, int] | None = None,
+    newer_by: Sequence[str] = (),
 ) -> LoadResult:
     """Rows whose key is staged are replaced, others are kept, new ones are added.
 
     The stage is reduced to one row per key (the greatest by ``order_by``; columns in
     ``order_only`` serve that and are not loaded) and written once. The target's key columns are
     read to find the pieces that hold a staged key; only those are read whole and written again.
+    With ``newer_by``, a staged row older than the target's by these columns is not loaded.
     """
     spark = staged.sparkSession
     table, base = _open(staged.drop(*order_only), target, piece_by)
@@ -226,6 +258,8 @@ def upsert_load(
             return _result(base, after, 0, target)
         touched = _touched_pieces(table, base, stage, keys)
         old = table.read_folders(base, [f for f in base.folders if f.piece in touched])
+        if newer_by:
+            stage = rows_without_match(stage, _older(stage, old, keys, newer_by), keys)
         fresh = rows_without_match(old, stage, keys).unionByName(stage)
         folders = base.without(touched) + table.write_folders(fresh, base)
     finally:
@@ -233,6 +267,22 @@ def upsert_load(
     return _result(base, table.commit(base, folders, applied), processed, target)
 
 
+def _older(
+    stage: DataFrame, old: DataFrame, keys: Sequence[str], newer_by: Sequence[str]
+) -> DataFrame:
+    """Keys of staged rows that the target has in a newer version."""
+    held = old.select(
+        *[F.col(f"`{k}`").alias(f"_key_{k}") for k in keys],
+        F.struct(*[F.col(f"`{c}`") for c in newer_by]).alias("_held"),
+    )
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"`_key_{k}`")) for k in keys]
+    return (
+        stage.join(held, reduce(lambda a, b: a & b, same))
+        .where(F.struct(*[F.col(f"`{c}`") for c in newer_by]) < F.col("_held"))
+        .select(*[F.col(f"`{k}`") for k in keys])
+    )
+
+
 def _touched_pieces(
     table: TargetTable, base: Snapshot, stage: DataFrame, keys: Sequence[str]
 ) -> set[str]:
@@ -273,24 +323,44 @@ def freeform_load(staged: DataFrame, target: str, truncate: bool) -> LoadResult:
 
 
 def metadata_cols_load(
-    columns: DataFrame, target: str, owner: str, text_type: str = "VARCHAR2"
+    columns: DataFrame,
+    target: str,
+    owner: str | None,
+    text_type: str = "VARCHAR2",
+    return_fields: str | None = None,
 ) -> LoadResult:
     """Both slices of the column catalog in one pass and one write."""
-    create_if_missing_metadata(columns.sparkSession, target, "columns")
+    found = catalog_extract(columns, owner, text_type, return_fields)
+    return metadata_load(found, target, "columns")
+
+
+def catalog_extract(
+    columns: DataFrame,
+    owner: str | None,
+    text_type: str = "VARCHAR2",
+    return_fields: str | None = None,
+) -> DataFrame:
+    """Both slices with the fixed columns, whatever the case of their names, and ``return_fields``."""
     both = catalog_slice(columns, owner, None, text_type)
-    wanted = [f.name for f in CATALOG_COLUMNS.fields]
-    return replace_load(
-        both.select([c for c in both.columns if c in wanted]), target, clear_when_empty=True
-    )
+    if return_fields:
+        return scan_projected(both, f"{return_fields}, slice")
+    have = {c.lower(): c for c in both.columns}
+    lacking = [f.name for f in CATALOG_COLUMNS.fields if f.name not in have]
+    if lacking:
+        raise ValueError(f"the catalog lacks: {', '.join(lacking)}")
+    return both.select(*[F.col(f"`{have[f.name]}`").alias(f.name) for f in CATALOG_COLUMNS.fields])
+
+
+def metadata_load(staged: DataFrame, target: str, kind: str) -> LoadResult:
+    """Replaces a metadata target, which is made from the fixed layout and the stage's columns."""
+    create_if_missing_metadata(staged.sparkSession, target, kind, staged.schema)
+    return replace_load(staged, target, clear_when_empty=True)
 
 
 def metadata_primarykeys_load(
     constraints: DataFrame, cons_columns: DataFrame, target: str, owner: str
 ) -> LoadResult:
-    create_if_missing_metadata(constraints.sparkSession, target, "primary_keys")
-    return replace_load(
-        primary_keys(constraints, cons_columns, owner), target, clear_when_empty=True
-    )
+    return metadata_load(primary_keys(constraints, cons_columns, owner), target, "primary_keys")
 
 
 def release_snapshot(staged: DataFrame, target: str, release: str) -> LoadResult:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,11 @@ from pyspark.sql import types as T
 
 PIECE = "__piece"
 WHOLE = "all"
+TRIES = 30  # attempts of a small commit beside other writers
+
+
+class Conflict(RuntimeError):
+    """Another job has written the version that a commit was for."""
 
 
 @dataclass(frozen=True)
@@ -106,7 +112,7 @@ class TargetTable:
         _, target = self._fs(final)
         if fs.exists(target) or not fs.rename(draft, target):
             fs.delete(draft, False)
-            raise RuntimeError(f"{self.path}: another job wrote version {snapshot.version}")
+            raise Conflict(f"{self.path}: another job wrote version {snapshot.version}")
         return snapshot
 
     # reading -----------------------------------------------------------------------------
@@ -174,6 +180,28 @@ class TargetTable:
             )
         )
 
+    def change_folders(self, change: Callable[[tuple[Folder, ...]], tuple[Folder, ...]]) -> Snapshot:
+        """Commits a change of the folder list; beside other writers, on what they left."""
+        for _ in range(TRIES):
+            base = self.current()
+            try:
+                return self.commit(base, change(base.folders))
+            except Conflict:
+                continue
+        raise Conflict(f"{self.path}: other jobs kept writing")
+
+    def merge(self, change: Callable[[DataFrame], DataFrame]) -> Snapshot:
+        """Rewrites a small table from the version that was read; again if another one came between."""
+        for _ in range(TRIES):
+            base = self.current()
+            rows = self.read_folders(base, list(base.folders))
+            folders = self.write_folders(change(rows), base)
+            try:
+                return self.commit(base, folders)
+            except Conflict:
+                continue
+        raise Conflict(f"{self.path}: other jobs kept writing")
+
     def expire(self, keep: int = 2) -> list[str]:
         """Deletes data folders that none of the last ``keep`` versions uses, and older pointers.
 

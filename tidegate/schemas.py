@@ -111,4 +111,13 @@ RUN_RESULT = _struct(
     promote=_B,
     prior_update_date=_S,
     finished_at=_S,
+    count_failed=_B,  # the source count is unknown, not 0
+)
+
+# Results of a run until they are merged into control and statistics, one row per table and load.
+RUN_JOURNAL = T.StructType(
+    [
+        *RUN_RESULT.fields,
+        *_struct(file_name=_S, scheduled=_B, extract_start=_S, extract_end=_S).fields,
+    ]
 )

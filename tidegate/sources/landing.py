@@ -15,7 +15,8 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
-READ_OPTIONS = {**CSV_OPTIONS, "multiLine": "true", "mode": "FAILFAST"}
+# Columns are read by position, so a file whose header names them in another order is an error.
+READ_OPTIONS = {**CSV_OPTIONS, "multiLine": "true", "mode": "FAILFAST", "enforceSchema": "false"}
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
