@@ -259,18 +259,24 @@ def order_profile(spark, sf):
 @query(
     """SELECT CAST(ts AS DATE) AS day, count(*) AS row_count,
   CAST(sum(strlen(concat_ws(',', CAST(event_id AS VARCHAR), CAST(user_id AS VARCHAR),
-           event_type, '"' || replace(props, '"', '""') || '"')) + 1) AS BIGINT) AS byte_count
+           event_type, '"' || replace(props, '"', '""') || '"',
+           CAST(CAST(value AS DECIMAL(18, 4)) AS VARCHAR),
+           strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S'))) + 1) AS BIGINT) AS byte_count
 FROM events GROUP BY 1""",
     as_text="day",
 )
 def day_profile_bytes(spark, sf):
-    events = fx.src_events(spark, sf).select(
-        "event_id", "user_id", "event_type", "props", "last_update_date"
-    )
-    sized = events.withColumn("byte_count", C.csv_bytes(events.drop("last_update_date")))
-    return sized.groupBy(F.to_date("last_update_date").alias("day")).agg(
-        F.count(F.lit(1)).alias("row_count"), F.sum("byte_count").alias("byte_count")
+    """All columns of events, in types that both engines write alike."""
+    events = fx.src_events(spark, sf).selectExpr(
+        "event_id",
+        "user_id",
+        "event_type",
+        "props",
+        "CAST(value AS DECIMAL(18, 4)) AS value",
+        "date_trunc('second', last_update_date) AS last_update_date",
     )
+    return C.day_profile(events, with_bytes=True)
+
 
 
 @query("SELECT date_trunc('hour', ts) AS hour, count(*) AS row_count FROM events GROUP BY 1")
