@@ -5,6 +5,7 @@ Expressions are shared between the two wherever both engines read them alike.
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,8 +58,8 @@ FROM src WHERE CAST(creation_date AS DATE) < DATE '{day}'"""
 
 
 def tgt_orders(spark: SparkSession, sf: str, day: str) -> DataFrame:
-    src_orders(spark, sf).createOrReplaceTempView("src")
-    return spark.sql(tgt_orders_sql(day))
+    text = tgt_orders_sql(day).replace("FROM src", "FROM {src}")
+    return spark.sql(text, src=src_orders(spark, sf))
 
 
 # events with their own time as the update date ------------------------------------------------
@@ -242,10 +243,11 @@ TEXT_TYPE = "ECONOMY"
 
 
 def run_sql(spark: SparkSession, sf: str, sql: str, *names: str) -> DataFrame:
-    """The shared SQL text over given tables."""
+    """The shared SQL text over given tables, which stand behind FROM or JOIN; no view stays behind."""
+    text = sql
     for name in names:
-        table(spark, sf, name).createOrReplaceTempView(name)
-    return spark.sql(sql)
+        text = re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 {{{name}}}", text)
+    return spark.sql(text, **{name: table(spark, sf, name) for name in names})
 
 
 def constraints(spark: SparkSession, sf: str) -> DataFrame:

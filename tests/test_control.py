@@ -6,7 +6,7 @@ import pytest
 
 from tidegate.operators import selection as sel
 from tidegate.schemas import CONTROL
-from tidegate.sources.control import parse_control, read_control
+from tidegate.sources.control import STORE_FIELD_NAMES, parse_control, read_control
 
 AS_OF = date(2024, 3, 9)
 
@@ -142,3 +142,10 @@ def test_missing_fields_are_null(spark):
     df = parse_control(spark.createDataFrame([("t",)], "table_uid string"))
     row = df.first()
     assert row.load_type is None and row.active is False and row.has_update_date is True
+
+
+def test_a_store_without_a_required_field_is_an_error(spark, tmp_path):
+    path = tmp_path / "control.json"
+    path.write_text('{"TableName": "t", "TableName1": "s", "DailyLoadType": "Full"}\n')
+    with pytest.raises(ValueError, match="target_schema"):
+        read_control(spark, str(path), field_names=STORE_FIELD_NAMES)

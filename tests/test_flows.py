@@ -310,6 +310,7 @@ def test_undated_rows_keep_a_windowed_load_from_promotion(spark, sf):
     control = uid_rows(run.control())
     missing = holes.filter("last_update_date IS NULL").count()
     assert done["holes"]["source_count"] - done["holes"]["rows_after"] == missing > 0
+    assert done["holes"]["left_out"] == missing and done["whole"]["left_out"] == 0
     assert control["holes"].load_type == "Full" and control["whole"].load_type == "CDC"
 
 

@@ -301,6 +301,9 @@ def _load_one(run: IngestRun, item: Row, steps: Steps, empty_is_loaded: bool) ->
             result.update(
                 rows_before=done.rows_before, rows_after=done.rows_after, processed=done.processed
             )
+            if steps.needs_count:
+                # rows without a date, or outside all windows
+                result["left_out"] = max(result["source_count"] - done.processed, 0)
             if not done.processed and not empty_is_loaded:
                 result["outcome"] = "empty"
             if run.keep_target_versions is not None:

@@ -46,6 +46,18 @@ STORE_FIELD_NAMES = {
 _ON_UNLESS_FALSE = {"has_update_date"}
 
 
+# Without these a row cannot be loaded at all.
+REQUIRED = ("table_uid", "source_table", "target_schema", "load_type")
+
+
+def _require(present: set[str], names: Mapping[str, str]) -> None:
+    """Fails where a required field has no source; an empty store has no columns and is fine."""
+    lacking = [f for f in REQUIRED if names.get(f, f) not in present]
+    if present and lacking:
+        told = ", ".join(f"{f} (from {names.get(f, f)})" for f in lacking)
+        raise ValueError(f"the control store lacks: {told}")
+
+
 def parse_control(raw: DataFrame, field_names: Mapping[str, str] | None = None) -> DataFrame:
     """Text control items with the fixed schema.
 
@@ -81,6 +93,7 @@ def read_control(
         schema = text_schema(list(dict.fromkeys(names.get(f.name, f.name) for f in CONTROL.fields)))
         reader = spark.read.format(fmt)
         if fmt == "json":
+            _require(set(spark.read.json(path).columns), names)
             reader = reader.schema(schema)
         else:
             reader = reader.options(**CSV_OPTIONS)
@@ -89,4 +102,6 @@ def read_control(
         raw = spark.table(path)
     else:
         raw = spark.read.format(fmt).load(path)
+    if fmt != "json":
+        _require(set(raw.columns), names)
     return parse_control(raw, names)
