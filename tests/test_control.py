@@ -146,6 +146,6 @@ def test_missing_fields_are_null(spark):
 
 def test_a_store_without_a_required_field_is_an_error(spark, tmp_path):
     path = tmp_path / "control.json"
-    path.write_text('{"TableName": "t", "TableName1": "s", "DailyLoadType": "Full"}\n')
-    with pytest.raises(ValueError, match="target_schema"):
+    path.write_text('{"TableName": "t", "TableName1": "s", "Type": "Full"}\n')
+    with pytest.raises(ValueError, match="load_type"):
         read_control(spark, str(path), field_names=STORE_FIELD_NAMES)

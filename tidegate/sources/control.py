@@ -46,8 +46,8 @@ STORE_FIELD_NAMES = {
 _ON_UNLESS_FALSE = {"has_update_date"}
 
 
-# Without these a row cannot be loaded at all.
-REQUIRED = ("table_uid", "source_table", "target_schema", "load_type")
+# Without these no row can be selected; a row without its target's names fails when it is loaded.
+REQUIRED = ("table_uid", "source_table", "load_type")
 
 
 def _require(present: set[str], names: Mapping[str, str]) -> None:
