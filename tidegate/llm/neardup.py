@@ -1,18 +1,21 @@
 """Near-duplicate documents by bottom-k sketches of their word shingles.
 
-Every shingle has one hash. A document retains the smallest of its hashes, and so many that any two
-documents at the threshold share a retained one: of n shingles, n - ceil(t n) + 1. Shingles that are
-frequent in many documents count as larger than all others, so they are retained last; the order is
-the same for all documents, so nothing is lost by it, whatever is taken for frequent.
-
-Inverted lists of the retained values generate pairs, in two steps that never write all pairs of a
-list of alike documents. First each document of a list is paired with the list's smallest one. The
-links found join documents to components. Then only pairs of a list that lie in different components
-are still open, and those are paired. Pairs whose sizes cannot reach the threshold are left out.
-
-A pair is judged by the smallest ``SKETCH`` hashes of the union of both sets: where fewer than
-``FLOOR`` of them are in both, the pair cannot reach 0.8 but with a chance below one in a million.
-What is left is confirmed by the exact share on both full sets of 64-bit shingle hashes.
+Every shingle has one hash, and a document retains its ``SKETCH`` smallest ones. Two documents at the
+threshold share most of what they retain. Inverted lists of the retained values generate the
+candidates, rarest lists first: a document enters the lists of its ``RAREST`` rarest values only. Values
+in no other document come first among these, so most documents enter no list. Two documents that
+share more than ``SKETCH - RAREST`` retained values meet in a list, whatever the lists' sizes; at a
+similarity of 0.8, fewer are shared with a chance below one in a million. Texts of at most
+``RAREST`` shingles enter all their lists.
+
+Pairs are made in two steps that never write all pairs of a list of alike documents. First each
+document of a list is paired with the list's smallest one. The links found join documents to
+components. Then only pairs of a list that lie in different components are open, and those are paired.
+Pairs whose sizes cannot reach the threshold are left out.
+
+The smallest hashes of the union of both sets estimate the similarity; pairs that fall ``MARGIN`` short
+are given up, which a pair at the threshold does with a chance below one in a million. The others
+are confirmed by the exact share on both full sets of 64-bit shingle hashes.
 
 Documents with equal sets are one before lists are made. Missing and empty texts have no shingles and
 link with nothing; texts shorter than a shingle are one shingle. Rows that repeat a doc_id are
@@ -32,10 +35,9 @@ from tidegate.llm.frames import kept_table
 from tidegate.llm.graph import components
 from tidegate.llm.textbytes import LOWER, NOT_SPACE, mix, span_hashes, spans, text_slices
 
-SKETCH = 64
-FLOOR = 0.6
-FREQUENT = 6  # documents of one task that hold a shingle, for it to be reported as frequent
-MOST_FREQUENT = 1 << 17  # frequent shingles that are told apart
+SKETCH = 32
+RAREST = 20
+MARGIN = 0.4
 ROTATE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -62,50 +64,10 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int):
     return hashes, np.searchsorted(row, np.arange(len(n) + 1)), row
 
 
-def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
-    """Shingles that many documents of some task's share hold, at most a fixed number of them.
-
-    Only the order of retained values follows from it, never a result.
-    """
+def retained(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, n_shingles, two digests of the set, and the retained values, ascending."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, block = 20, []
-        for batch in batches:
-            for _, data, offsets in text_slices(batch):
-                hashes, _, _ = shingle_sets(data, offsets, width)
-                places = (hashes.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
-                count = np.bincount(places, minlength=1 << bits)
-                # a first sieve by places, then exactly
-                some = np.sort(hashes[count[places] >= FREQUENT])
-                heads = np.flatnonzero(np.r_[True, some[1:] != some[:-1]]) if len(some) else []
-                times = np.diff(np.r_[heads, len(some)]).astype(np.int64)
-                often = times >= FREQUENT
-                if often.any():
-                    block.append((some[heads][often], times[often]))
-        if block:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x)) for x in zip(*block, strict=True)], ["v", "times"]
-            )
-
-    found = (
-        docs.select("doc_id", "text")
-        .mapInArrow(run, "v long, times long")
-        .groupBy("v")
-        .agg(F.sum("times").alias("times"))
-        .orderBy(F.desc("times"), "v")
-        .limit(MOST_FREQUENT)
-        .select("v")
-        .toArrow()
-    )
-    return np.sort(found.column("v").to_numpy())
-
-
-def retained(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, two digests of the set, and the retained values."""
-    sent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, width))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = sent.value
         for batch in batches:
             for rows, data, offsets in text_slices(batch):
                 hashes, bounds, row = shingle_sets(data, offsets, width)
@@ -113,20 +75,11 @@ def retained(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 raw = hashes.view(np.uint64)
                 digests = []
                 for salt in (1, 2):
-                    total = np.r_[
-                        np.uint64(0), np.cumsum(mix(raw + ROTATE * np.array(salt, np.uint64)), dtype=np.uint64)
-                    ]
+                    total = np.zeros(len(raw) + 1, np.uint64)
+                    np.cumsum(mix(raw + ROTATE * np.array(salt, np.uint64)), out=total[1:])
                     digests.append((total[bounds[1:]] - total[bounds[:-1]]).view(np.int64))
-                late = np.zeros(len(raw), bool)
-                if len(often):
-                    near = np.minimum(np.searchsorted(often, hashes), len(often) - 1)
-                    late = often[near] == hashes
-                order = np.lexsort((late, row))  # stable: hashes stay ascending within each
-                place = np.arange(len(raw)) - bounds[:-1][row]
-                most = n - (percent * n + 99) // 100 + 1
-                keep = place < most[row]
-                kept = hashes[order][keep]
-                ends = np.r_[0, np.cumsum(np.where(n > 0, np.minimum(most, n), 0))]
+                kept = hashes[np.arange(len(raw)) - bounds[row] < SKETCH]
+                ends = np.r_[0, np.cumsum(np.minimum(n, SKETCH))]
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column(0),
@@ -144,120 +97,118 @@ def retained(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """doc_id, sketch and full set (as bytes) of the wanted documents, one row each."""
+    """doc_id and full set (as bytes) of the wanted documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in text_slices(batch):
                 hashes, bounds, _ = shingle_sets(data, offsets, width)
-                raw = hashes.tobytes()
-                at = bounds.tolist()
+                raw, at = hashes.tobytes(), bounds.tolist()
+                sets = [raw[8 * a : 8 * b] for a, b in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column(0),
-                        pa.array(
-                            [
-                                raw[8 * a : 8 * min(b, a + SKETCH)]
-                                for a, b in zip(at[:-1], at[1:], strict=True)
-                            ],
-                            pa.binary(),
-                        ),
-                        pa.array(
-                            [raw[8 * a : 8 * b] for a, b in zip(at[:-1], at[1:], strict=True)],
-                            pa.binary(),
-                        ),
-                    ],
-                    ["doc_id", "sketch", "shingles"],
+                    [rows.column(0), pa.array(sets, pa.binary())], ["doc_id", "shingles"]
                 )
 
     few = wanted.hint("shuffle_hash")
     return (
         docs.select("doc_id", "text")
         .join(few, "doc_id", "left_semi")
-        .mapInArrow(run, "doc_id long, sketch binary, shingles binary")
+        .mapInArrow(run, "doc_id long, shingles binary")
     )
 
 
-def _both(batches, left: str, right: str, test) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        k = [batch.schema.get_field_index(x) for x in (left, right)]
-        ok = [
-            test(np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64))
-            for x, y in zip(batch.column(k[0]), batch.column(k[1]), strict=True)
-        ]
-        yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+def likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose union's sketch does not rule them out."""
+    both = pairs.join(sketches.toDF("a", "x"), "a").join(sketches.toDF("b", "y"), "b")
+    union = F.slice(F.array_sort(F.array_union("x", "y")), 1, SKETCH)
+    common = F.size(F.array_intersect(F.array_intersect("x", "y"), F.col("union")))
+    return (
+        both.withColumn("union", union)
+        .where(common >= F.size("union") * (percent / 100 - MARGIN))
+        .select("a", "b")
+    )
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets share enough: first by the union's sketch, then exactly."""
-    floor = min(FLOOR, percent / 100 - 0.2)
-
-    def likely(x: np.ndarray, y: np.ndarray) -> bool:
-        union = np.union1d(x, y)
-        if len(x) == SKETCH or len(y) == SKETCH:
-            union = union[:SKETCH]
-        if not len(union):
-            return False
-        return np.count_nonzero(np.isin(union, x) & np.isin(union, y)) >= floor * len(union)
-
-    def exact(x: np.ndarray, y: np.ndarray) -> bool:
-        common = len(np.intersect1d(x, y, assume_unique=True))
-        return common > 0 and 100 * common >= percent * (len(x) + len(y) - common)
-
-    def with_both(found: DataFrame, column: str) -> DataFrame:
-        one = sets.select(F.col("doc_id").alias("a"), F.col(column).alias("x"))
-        two = sets.select(F.col("doc_id").alias("b"), F.col(column).alias("y"))
-        return found.join(one, "a").join(two, "b").select("a", "b", "x", "y")
-
-    kinds = "a long, b long"
-    sketched = with_both(pairs, "sketch").mapInArrow(
-        lambda batches: _both(batches, "x", "y", likely), kinds
+    """The pairs (a, b) whose full sets share enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = []
+            for left, right in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.int64) for v in (left, right))
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    one, two = sets.toDF("a", "x"), sets.toDF("b", "y")
+    return (
+        pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
     )
-    return with_both(sketched, "shingles").mapInArrow(
-        lambda batches: _both(batches, "x", "y", exact), kinds
+
+
+def lists(reps: DataFrame) -> DataFrame:
+    """v, doc_id, n and the list's head (smallest doc_id, head and its n) of every entry."""
+    postings = reps.select(
+        "doc_id",
+        F.col("n_shingles").alias("n"),
+        F.size("kept").alias("held"),
+        F.explode("kept").alias("v"),
+    )
+    sizes = postings.groupBy("v").agg(F.count("*").alias("size")).where("size > 1")
+    shared = postings.join(sizes, "v")
+    # values that no other document retains are the rarest and need no list
+    entered = (
+        shared.groupBy("doc_id", "n", "held")
+        .agg(F.array_sort(F.collect_list(F.struct("size", "v"))).alias("entries"))
+        .withColumn("room", F.lit(RAREST) - (F.col("held") - F.size("entries")))
+        .where("room > 0")
+        .select(
+            "doc_id",
+            "n",
+            F.explode(F.slice("entries", F.lit(1), F.least(F.col("room"), F.size("entries")))).alias("e"),
+        )
+        .select("doc_id", "n", F.col("e.v").alias("v"))
+    )
+    heads = entered.groupBy("v").agg(
+        F.min(F.struct("doc_id", "n")).alias("head"), F.count("*").alias("entries")
+    )
+    return entered.join(heads.where("entries > 1"), "v").select(
+        "v", "doc_id", "n", F.col("head.doc_id").alias("head"), F.col("head.n").alias("head_n")
     )
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
-    found = kept_table(retained(docs, width, percent), "retained")
+    found = kept_table(retained(docs, width), "retained")
     full = found.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = full.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("class"))
+    same = ["d1", "d2", "n_shingles"]
+    equal = full.groupBy(*same).agg(F.min("doc_id").alias("class"))
     classes = kept_table(
-        full.select("doc_id", "d1", "d2", "n_shingles")
-        .join(classes, ["d1", "d2", "n_shingles"])
-        .select("doc_id", "class", "n_shingles")
-        .distinct(),
-        "classes",
+        full.select("doc_id", *same).join(equal, same).select("doc_id", "class").distinct(), "classes"
     )
     alone = classes.where("doc_id = class").select("doc_id")
-    postings = (
-        full.dropDuplicates(["doc_id"])
-        .join(alone, "doc_id", "left_semi")
-        .select("doc_id", F.col("n_shingles").alias("n"), F.explode("kept").alias("v"))
-    )
-    heads = postings.groupBy("v").agg(
-        F.min(F.struct("doc_id", "n")).alias("head"), F.count("*").alias("size")
-    )
-    listed = kept_table(
-        postings.join(heads.where("size > 1"), "v").select(
-            "v", "doc_id", "n", F.col("head.doc_id").alias("head"), F.col("head.n").alias("head_n")
+    reps = kept_table(
+        full.join(alone, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(
+            "doc_id", "n_shingles", "kept"
         ),
-        "lists",
+        "sketches",
     )
+    sketches = reps.select("doc_id", "kept")
+    listed = kept_table(lists(reps), "lists")
     fits = f"100 * least(n, {{0}}) >= {percent} * greatest(n, {{0}})"
-    first = kept_table(
+    first = (
         listed.where("doc_id <> head AND " + fits.format("head_n"))
         .select(F.col("head").alias("a"), F.col("doc_id").alias("b"))
-        .distinct(),
-        "pairs",
+        .distinct()
     )
-    wanted = listed.select("doc_id").distinct()
-    sets = kept_table(full_sets(docs, wanted, width).dropDuplicates(["doc_id"]), "sets")
-    links = kept_table(confirmed(first, sets, percent), "links")
+    links = kept_table(_linked(docs, first, sketches, width, percent), "links")
     joined = components(links).toDF("doc_id", "component")
-    members = listed.join(joined, "doc_id", "left").select(
-        "v", "doc_id", "n", "head", F.coalesce("component", "doc_id").alias("component")
+    members = kept_table(
+        listed.join(joined, "doc_id", "left").select(
+            "v", "doc_id", "n", "head", F.coalesce("component", "doc_id").alias("component")
+        ),
+        "members",
     )
     mixed = (
         members.groupBy("v")
@@ -265,23 +216,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .where("low < high")
         .select("v")
     )
-    open_members = kept_table(members.join(mixed, "v", "left_semi"), "open")
-    other = open_members.select(
-        "v",
-        F.col("doc_id").alias("b"),
-        F.col("n").alias("nb"),
-        F.col("component").alias("cb"),
+    # pairs with the head have been tried; each of the others is tried from its smaller document
+    other = members.select(
+        "v", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb")
     )
     second = (
-        open_members.where("doc_id <> head")
+        members.where("doc_id <> head")
+        .join(mixed, "v", "left_semi")
         .join(other, "v")
         .where("doc_id < b AND component <> cb AND " + fits.format("nb"))
         .select(F.col("doc_id").alias("a"), "b")
         .distinct()
     )
-    more = kept_table(confirmed(second, sets, percent), "links")
-    joined = components(links.unionByName(more)).toDF("class", "component")
-    ids = classes.join(joined, "class", "left").select(
+    more = kept_table(_linked(docs, second, sketches, width, percent), "links")
+    if not more.isEmpty():
+        joined = components(links.unionByName(more)).toDF("doc_id", "component")
+    ids = classes.join(joined.toDF("class", "component"), "class", "left").select(
         "doc_id", F.coalesce("component", "class").alias("component")
     )
     return (
@@ -296,6 +246,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
+def _linked(docs: DataFrame, pairs: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs that are links: estimated first, then confirmed on the sets of what is left."""
+    left = kept_table(likely(pairs, sketches, percent), "pairs")
+    if left.isEmpty():
+        return left
+    wanted = left.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    return confirmed(left, kept_table(full_sets(docs, wanted, width), "sets"), percent)
+
+
 def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows that stay, with all their columns: those whose doc_id is their component's smallest."""
     gone = near_duplicates(docs, width, percent).where("NOT kept").select("doc_id").distinct()
