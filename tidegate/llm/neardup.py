@@ -11,7 +11,11 @@ similarity of 0.8, fewer are shared with a chance below one in a million. Texts
 Pairs are made in two steps that never write all pairs of a list of alike documents. First each
 document of a list is paired with the list's smallest one. The links found join documents to
 components. Then only pairs of a list that lie in different components are open, and those are paired.
-Pairs whose sizes cannot reach the threshold are left out.
+Pairs whose sizes cannot reach the threshold are left out. Copies of one text that are each too far
+from the others would still be tried pair by pair, so open lists longer than ``LONG`` make no pairs:
+their documents, the crowd, put all their shingles in order, those rare in the crowd first, and two
+of them are paired where a shingle among the first n - ceil(t n) + 1 of each is shared and enough
+shingles can follow it. Every link has such a shingle, so this loses none.
 
 The smallest hashes of the union of both sets estimate the similarity; pairs that fall ``MARGIN`` short
 are given up, which a pair at the threshold does with a chance below one in a million. The others
@@ -38,6 +42,7 @@ from tidegate.llm.textbytes import LOWER, NOT_SPACE, mix, span_hashes, spans, te
 SKETCH = 32
 RAREST = 20
 MARGIN = 0.4
+LONG = 24
 ROTATE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -117,6 +122,58 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     )
 
 
+def crowd_pairs(docs: DataFrame, crowd: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components of the crowd (doc_id, n, component) that may be links."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, raw in zip(batch.column(0), batch.column(1), strict=True):
+                v = np.frombuffer(raw.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(v), doc_id.as_py(), np.int64)), pa.array(v)],
+                    ["doc_id", "v"],
+                )
+
+    held = kept_table(
+        full_sets(docs, crowd.select("doc_id"), width)
+        .mapInArrow(run, "doc_id long, v long")
+        .distinct(),
+        "crowd",
+    )
+    holders = held.groupBy("v").agg(F.count("*").alias("holders"))
+    ordered = (
+        held.join(holders, "v")
+        .groupBy("doc_id")
+        .agg(F.array_sort(F.collect_list(F.struct("holders", "v"))).alias("ordered"))
+        .join(crowd, "doc_id")
+    )
+    first = F.expr(f"CAST(n - ({percent} * n + 99) DIV 100 + 1 AS INT)")
+    entries = kept_table(
+        ordered.select(
+            "doc_id", "n", "component", F.posexplode(F.slice("ordered", F.lit(1), first)).alias("k", "e")
+        )
+        .where("e.holders > 1")
+        .select("doc_id", "component", "n", (F.col("n") - F.col("k")).alias("rest"), F.col("e.v").alias("v")),
+        "crowd-lists",
+    )
+    other = entries.select(
+        "v",
+        F.col("doc_id").alias("b"),
+        F.col("component").alias("cb"),
+        F.col("n").alias("nb"),
+        F.col("rest").alias("rest_b"),
+    )
+    return (
+        entries.join(other, "v")
+        .where(
+            "doc_id < b AND component <> cb AND "
+            f"100 * least(rest, rest_b) >= {percent} * (n + nb - least(rest, rest_b))"
+        )
+        .select(F.col("doc_id").alias("a"), "b")
+        .distinct()
+    )
+
+
 def likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose union's sketch does not rule them out."""
     both = pairs.join(sketches.toDF("a", "x"), "a").join(sketches.toDF("b", "y"), "b")
@@ -212,20 +269,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
     mixed = (
         members.groupBy("v")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.count("*").alias("entries"),
+        )
         .where("low < high")
-        .select("v")
+        .select("v", "entries")
+    )
+    crowd = kept_table(
+        members.join(mixed.where(F.col("entries") > LONG), "v", "left_semi")
+        .select("doc_id", "n", "component")
+        .distinct(),
+        "crowd-members",
     )
     # pairs with the head have been tried; each of the others is tried from its smaller document
-    other = members.select(
+    short = members.join(mixed.where(F.col("entries") <= LONG), "v", "left_semi")
+    other = short.select(
         "v", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb")
     )
     second = (
-        members.where("doc_id <> head")
-        .join(mixed, "v", "left_semi")
+        short.where("doc_id <> head")
         .join(other, "v")
         .where("doc_id < b AND component <> cb AND " + fits.format("nb"))
         .select(F.col("doc_id").alias("a"), "b")
+        .unionByName(crowd_pairs(docs, crowd, width, percent))
         .distinct()
     )
     more = kept_table(_linked(docs, second, sketches, width, percent), "links")
