@@ -81,9 +81,10 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
             .join(above, [*SAME, "up"])
             .select(*SAME, "run", "best", "group_size")
         )
+    kept_id = F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id"))
     return rows.join(known, [*SAME, "run"], "left").select(
         "doc_id",
-        F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
+        kept_id.alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
         (F.col("best").isNull() | (F.col("best.row") == F.col("row"))).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),

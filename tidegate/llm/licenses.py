@@ -67,9 +67,7 @@ def words_of(text: Column) -> Column:
 
 
 def _at(phrase: list[str], notice: list[str]) -> int:
-    return next(
-        k for k in range(len(notice)) if notice[k : k + len(phrase)] == phrase
-    )
+    return next(k for k in range(len(notice)) if notice[k : k + len(phrase)] == phrase)
 
 
 def word_documents(docs: DataFrame, templates=TEMPLATES) -> dict[str, int]:
@@ -160,7 +158,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, base: int = BASE) -> DataFrame:
     return (
         docs.select("doc_id", words_of(F.col("text")).alias("words"))
         .withColumn("hits", looked_up)
-        .withColumn("places", F.when(F.size("hits") > 0, verified).otherwise(F.array_distinct(F.slice(candidates, 1, 0))))
+        .withColumn("places", verified)
         .select(
             "doc_id",
             F.size("words").cast("long").alias("n_words"),

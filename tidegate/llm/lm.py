@@ -36,9 +36,3 @@ def pair_hashes(hashes: np.ndarray, firsts: np.ndarray):
 
 def buckets(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Sums of the values between neighbouring bounds."""
-    total = np.r_[0.0, np.cumsum(values)]
-    return total[bounds[1:]] - total[bounds[:-1]]

@@ -19,6 +19,8 @@ Without labelled documents of the target domains every rate is 1.
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,8 +64,6 @@ def classifier(
     if not words:
         return None, None
     size = len(words)
-    from math import log
-
     rows = [
         (
             r[0],
@@ -102,18 +102,21 @@ def posteriors(
             *[F.avg(f"l{k}").alias(f"l{k}") for k in each],
         )
     )
-    from math import log
-
     score = [
         F.coalesce(F.col(f"l{k}") * SHARPNESS, F.lit(0.0)) + log(max(shares[k], 1e-9))
         for k in each
     ]
-    found = found.select("doc_id", "rows", (F.col("n") / F.col("rows")).cast("long").alias("n_words"),
-                         *[s.alias(f"s{k}") for k, s in enumerate(score)])
+    found = found.select(
+        "doc_id",
+        "rows",
+        (F.col("n") / F.col("rows")).cast("long").alias("n_words"),
+        *[s.alias(f"s{k}") for k, s in enumerate(score)],
+    )
     top = F.greatest(*[F.col(f"s{k}") for k in each]) if len(domains) > 1 else F.col("s0")
     raised = [F.exp(F.col(f"s{k}") - top) for k in each]
     total = sum(raised[1:], raised[0])
-    return found.select("doc_id", "rows", "n_words", *[(x / total).alias(f"p{k}") for k, x in enumerate(raised)])
+    shares = [(x / total).alias(f"p{k}") for k, x in enumerate(raised)]
+    return found.select("doc_id", "rows", "n_words", *shares)
 
 
 def _cell(n: int) -> list[Column]:

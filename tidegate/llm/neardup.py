@@ -43,6 +43,7 @@ SKETCH = 32
 RAREST = 20
 MARGIN = 0.4
 LONG = 24
+SLICE = 1 << 20  # bytes of text whose shingles a worker holds at once
 ROTATE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -74,7 +75,7 @@ def retained(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offsets in text_slices(batch):
+            for rows, data, offsets in text_slices(batch, limit=SLICE):
                 hashes, bounds, row = shingle_sets(data, offsets, width)
                 n = np.diff(bounds)
                 raw = hashes.view(np.uint64)
@@ -106,7 +107,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offsets in text_slices(batch):
+            for rows, data, offsets in text_slices(batch, limit=SLICE):
                 hashes, bounds, _ = shingle_sets(data, offsets, width)
                 raw, at = hashes.tobytes(), bounds.tolist()
                 sets = [raw[8 * a : 8 * b] for a, b in zip(at[:-1], at[1:], strict=True)]
@@ -153,7 +154,13 @@ def crowd_pairs(docs: DataFrame, crowd: DataFrame, width: int, percent: int) ->
             "doc_id", "n", "component", F.posexplode(F.slice("ordered", F.lit(1), first)).alias("k", "e")
         )
         .where("e.holders > 1")
-        .select("doc_id", "component", "n", (F.col("n") - F.col("k")).alias("rest"), F.col("e.v").alias("v")),
+        .select(
+            "doc_id",
+            "component",
+            "n",
+            (F.col("n") - F.col("k")).alias("rest"),
+            F.col("e.v").alias("v"),
+        ),
         "crowd-lists",
     )
     other = entries.select(
@@ -199,9 +206,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     one, two = sets.toDF("a", "x"), sets.toDF("b", "y")
-    return (
-        pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
-    )
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
+    return both.mapInArrow(run, "a long, b long")
 
 
 def lists(reps: DataFrame) -> DataFrame:
@@ -314,7 +320,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, sketches: DataFrame, width: int, percent: int) -> DataFrame:
+def _linked(
+    docs: DataFrame, pairs: DataFrame, sketches: DataFrame, width: int, percent: int
+) -> DataFrame:
     """The pairs that are links: estimated first, then confirmed on the sets of what is left."""
     left = kept_table(likely(pairs, sketches, percent), "pairs")
     if left.isEmpty():

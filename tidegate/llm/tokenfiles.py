@@ -351,9 +351,8 @@ def shard_starts(spark: SparkSession, path: str) -> DataFrame:
     within = Window.partitionBy("part").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    return shards.join(parts, "part").select(
-        "part", "block", (F.col("base") + F.coalesce(F.sum("n_ids").over(within), F.lit(0))).alias("base")
-    )
+    held = F.coalesce(F.sum("n_ids").over(within), F.lit(0))
+    return shards.join(parts, "part").select("part", "block", (F.col("base") + held).alias("base"))
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

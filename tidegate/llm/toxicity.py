@@ -216,7 +216,7 @@ def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     z = F.lit(float(shift))
     for name, weight in zip(names, weights, strict=True):
         z = z + F.col(name) * float(weight)
-    found = found.withColumn("score", 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z)))))
-    return found.select(
-        "doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_words", *names[:2]
-    )
+    z = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))
+    found = found.withColumn("score", 1 / (1 + F.exp(-z)))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return found.select("doc_id", held, "score", predicted, "n_words", *names[:2])

@@ -145,11 +145,14 @@ def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     rows = kept_table(prepared(vectors, least), "vectors")
     able = rows.where("size > 0 AND vec_id IS NOT NULL")
     classes = kept_table(
-        able.groupBy("vec", "size", "cell").agg(F.min("vec_id").alias("class"), F.count("*").alias("n")),
+        able.groupBy("vec", "size", "cell").agg(
+            F.min("vec_id").alias("class"), F.count("*").alias("n")
+        ),
         "vector-classes",
     )
     # a number for each cell: cells are bounded by the projections' range, not by the rows
-    cells = {(r.size, r.cell): r.n for r in classes.groupBy("size", "cell").agg(F.count("*").alias("n")).collect()}
+    sizes = classes.groupBy("size", "cell").agg(F.count("*").alias("n")).collect()
+    cells = {(r.size, r.cell): r.n for r in sizes}
     parts = {k: -(-n // BLOCK) for k, n in cells.items()}
     dealt = vectors.sparkSession.createDataFrame(
         [(s, c, p) for (s, c), p in parts.items()], "size int, cell int, parts int"
@@ -212,7 +215,10 @@ def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
 
     left = blocks.withColumnRenamed("held", "one")
     right = blocks.select(
-        "size", F.col("cell").alias("near"), F.col("part").alias("near_part"), F.col("held").alias("two")
+        "size",
+        F.col("cell").alias("near"),
+        F.col("part").alias("near_part"),
+        F.col("held").alias("two"),
     )
     compared = (
         pairs.join(left, ["size", "cell", "part"])
@@ -223,7 +229,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
         )
     )
     found = kept_table(compared.mapInArrow(run, "a long, b long, n long, link boolean"), "compared")
-    counts = found.where("NOT link").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("other"))
+    counts = (
+        found.where("NOT link").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("other"))
+    )
     joined = components(found.where("link").select("a", "b")).toDF("class", "component")
     known = (
         classes.join(counts, "class", "left")
@@ -234,10 +242,20 @@ def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
             F.coalesce("component", "class").alias("component"),
         )
     )
-    grouped = able.select("vec_id", "vec", "size", "cell").join(known, ["vec", "size", "cell"])
-    out = F.col("component").alias("component_id")
-    return grouped.select("vec_id", "n_links", out, (F.col("component") == F.col("vec_id")).alias("kept")).unionByName(
-        rows.where("NOT (size > 0 AND vec_id IS NOT NULL)").select(
-            "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
+    linked_rows = (
+        able.select("vec_id", "vec", "size", "cell")
+        .join(known, ["vec", "size", "cell"])
+        .select(
+            "vec_id",
+            "n_links",
+            F.col("component").alias("component_id"),
+            (F.col("component") == F.col("vec_id")).alias("kept"),
         )
     )
+    others = rows.where("NOT (size > 0 AND vec_id IS NOT NULL)").select(
+        "vec_id",
+        F.lit(0).cast("long").alias("n_links"),
+        F.col("vec_id").alias("component_id"),
+        F.lit(True).alias("kept"),
+    )
+    return linked_rows.unionByName(others)
