@@ -1,4 +1,4 @@
-"""Brings this package's code to the Python workers."""
+"""Readies a session for the operators that run Python: its workers' code, and batches of texts."""
 
 from __future__ import annotations
 
@@ -9,13 +9,18 @@ import zipfile
 from pyspark.sql import SparkSession
 
 _shared: set[str] = set()
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def share_code(spark: SparkSession) -> None:
     """Sends the package to the executors unless the environment's path has it already.
 
-    Where the package is installed on every machine, or given with --py-files, this is not needed.
+    Where the package is installed on every machine, or given with --py-files, that is not needed.
+    Rows here are whole texts, so Arrow batches of Spark's default number of rows are made smaller; a
+    number the session has been given stays.
     """
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, "1000")
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     root, name = os.path.split(package)
     app = spark.sparkContext.applicationId

@@ -43,7 +43,6 @@ SKETCH = 32
 RAREST = 20
 MARGIN = 0.4
 LONG = 24
-SLICE = 1 << 20  # bytes of text whose shingles a worker holds at once
 ROTATE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -75,7 +74,7 @@ def retained(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offsets in text_slices(batch, limit=SLICE):
+            for rows, data, offsets in text_slices(batch):
                 hashes, bounds, row = shingle_sets(data, offsets, width)
                 n = np.diff(bounds)
                 raw = hashes.view(np.uint64)
@@ -107,7 +106,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offsets in text_slices(batch, limit=SLICE):
+            for rows, data, offsets in text_slices(batch):
                 hashes, bounds, _ = shingle_sets(data, offsets, width)
                 raw, at = hashes.tobytes(), bounds.tolist()
                 sets = [raw[8 * a : 8 * b] for a, b in zip(at[:-1], at[1:], strict=True)]
@@ -115,12 +114,11 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                     [rows.column(0), pa.array(sets, pa.binary())], ["doc_id", "shingles"]
                 )
 
-    few = wanted.hint("shuffle_hash")
-    return (
-        docs.select("doc_id", "text")
-        .join(few, "doc_id", "left_semi")
-        .mapInArrow(run, "doc_id long, shingles binary")
-    )
+    return _texts_of(docs, wanted).mapInArrow(run, "doc_id long, shingles binary")
+
+
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text").join(wanted.hint("shuffle_hash"), "doc_id", "left_semi")
 
 
 def crowd_pairs(docs: DataFrame, crowd: DataFrame, width: int, percent: int) -> DataFrame:
@@ -128,19 +126,14 @@ def crowd_pairs(docs: DataFrame, crowd: DataFrame, width: int, percent: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, raw in zip(batch.column(0), batch.column(1), strict=True):
-                v = np.frombuffer(raw.as_buffer(), np.int64)
+            for rows, data, offsets in text_slices(batch):
+                hashes, _, row = shingle_sets(data, offsets, width)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(v), doc_id.as_py(), np.int64)), pa.array(v)],
-                    ["doc_id", "v"],
+                    [rows.column(0).take(pa.array(row)), pa.array(hashes)], ["doc_id", "v"]
                 )
 
-    held = kept_table(
-        full_sets(docs, crowd.select("doc_id"), width)
-        .mapInArrow(run, "doc_id long, v long")
-        .distinct(),
-        "crowd",
-    )
+    texts = _texts_of(docs, crowd.select("doc_id"))
+    held = kept_table(texts.mapInArrow(run, "doc_id long, v long").distinct(), "crowd")
     holders = held.groupBy("v").agg(F.count("*").alias("holders"))
     ordered = (
         held.join(holders, "v")

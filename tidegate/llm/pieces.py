@@ -32,7 +32,7 @@ from tidegate.llm.textbytes import gather, span_hashes, text_slices
 MARKER = "▁"
 UNKNOWN_COST = 10.0
 SHORT = 64  # bytes; the paths of longer runs are found one by one
-FEW = 60_000  # distinct runs handled at once
+FEW = 16_000  # distinct runs handled at once
 
 
 @dataclass

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 MULTIPLIER = 0x9E3779B97F4A7C15 | 5
 MASK = (1 << 64) - 1
 ASCII_SPACE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
