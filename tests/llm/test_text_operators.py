@@ -200,6 +200,22 @@ def test_templates_generalise_fields(documents):
     assert len(figures) == len(texts) and figures[5].n_dropped >= 1
 
 
+def test_lines_of_two_documents_go(documents):
+    long = " ".join(f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60))
+    texts = [
+        f"own beginning of one\n{long}",
+        f"{long}\nanother ending here",
+        "a short line\nfirst of them",
+        "second of them\na short line",
+        f"alone\n{long} but said at 9",
+        f"single\n{long} but said at 10",
+    ]
+    left = {r.doc_id: r.text for r in templates.drop_recurring(documents(texts)).collect()}
+    assert left[0] == texts[0] and left[2] == texts[2] and left[4] == texts[4]
+    assert left[1] == "another ending here" and left[3] == "second of them"
+    assert left[5] == "single"  # a long line's template needs two documents
+
+
 def test_templates_of_awkward_rows(awkward, documents):
     out = templates.drop_recurring(awkward)
     assert out.columns == awkward.columns

@@ -7,6 +7,10 @@ variable; a line's template is its leaf with the variable fields left open. A te
 least ``SHARE`` of the words are fixed and that recurs in ``least`` documents is dropped, wherever it
 stands, but for the document with the smallest doc_id, so what recurs is there once.
 
+``recurring_lines`` with ``strict`` also drops what recurs in two documents only: lines that are equal
+word for word, digits too, and templates of lines of more than ``LONG`` words. The operators that
+change or describe documents are strict.
+
 A leaf is never gathered: fields and templates are counted by grouped sums, which are merged before
 they are shuffled, and only lines of leaves that recur go beyond the first count.
 
@@ -31,6 +35,8 @@ from tidegate.llm.textbytes import NOT_SPACE, byte_set, mix, row_of, span_hashes
 LEADING = 4
 FIELDS = 8
 LEAST = 3
+PAIR = 2  # documents in which an equal or a long line recurs
+LONG = 50  # words
 SHARE = 0.6
 DIGIT = byte_set((0x30, 0x39))
 VARIABLE = np.uint64(0xD1B54A32D192ED03)
@@ -38,9 +44,10 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def lines_of(data: np.ndarray, offsets: np.ndarray):
-    """row, line, words, leaf and field hashes of every line that has a word."""
+    """row, line, words, leaf, field hashes and exact hash of every line that has a word."""
     starts, ends, firsts = spans(data, offsets, NOT_SPACE)
     words = span_hashes(data, starts, ends)
+    raw = words.copy()
     digits = np.r_[0, np.cumsum(DIGIT[data])]
     words[digits[ends] > digits[starts]] = VARIABLE
     row = row_of(firsts)
@@ -51,7 +58,8 @@ def lines_of(data: np.ndarray, offsets: np.ndarray):
     first = np.flatnonzero(new)
     n = np.diff(np.r_[first, len(words)])
     if not len(first):
-        return row, line, n, np.zeros(0, np.int64), np.zeros((0, FIELDS), np.int64)
+        none = np.zeros(0, np.int64)
+        return row, line, n, none, np.zeros((0, FIELDS), np.int64), none
     of = np.repeat(np.arange(len(first)), n)
     place = np.arange(len(words)) - first[of]
     rest = n[of] - LEADING
@@ -66,16 +74,19 @@ def lines_of(data: np.ndarray, offsets: np.ndarray):
     sums[cells[heads]] = np.add.reduceat(placed, heads)
     sums = sums.reshape(-1, FIELDS + 1)
     leaf = mix(sums[:, 0] + n.astype(np.uint64) * STEP)
-    return row[first], line[first], n, leaf.view(np.int64), sums[:, 1:].view(np.int64)
+    exact = np.add.reduceat(mix(raw + place.astype(np.uint64) * STEP), first)
+    exact = mix(exact + n.astype(np.uint64) * STEP).view(np.int64)
+    return row[first], line[first], n, leaf.view(np.int64), sums[:, 1:].view(np.int64), exact
 
 
 def parsed(docs: DataFrame) -> DataFrame:
-    """doc_id, line, n (its words), leaf, whole (hash of leaf and fields) and fields of each line."""
+    """doc_id, line, n (its words), leaf, whole (hash of leaf and fields), exact (hash of the words
+    as they are) and fields of each line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in text_slices(batch):
-                row, line, n, leaf, fields = lines_of(data, offsets)
+                row, line, n, leaf, fields, exact = lines_of(data, offsets)
                 whole = leaf.view(np.uint64).copy()
                 for k in range(FIELDS):
                     whole = mix(whole * STEP + fields[:, k].view(np.uint64))
@@ -87,13 +98,15 @@ def parsed(docs: DataFrame) -> DataFrame:
                         pa.array(n.astype(np.int32)),
                         pa.array(leaf),
                         pa.array(whole.view(np.int64)),
+                        pa.array(exact),
                         pa.ListArray.from_arrays(pa.array(bounds), pa.array(fields.reshape(-1))),
                     ],
-                    ["doc_id", "line", "n", "leaf", "whole", "fields"],
+                    ["doc_id", "line", "n", "leaf", "whole", "exact", "fields"],
                 )
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, line int, n int, leaf long, whole long, fields array<long>"
+        run,
+        "doc_id long, line int, n int, leaf long, whole long, exact long, fields array<long>",
     )
 
 
@@ -114,23 +127,40 @@ def words_in(field: F.Column) -> F.Column:
     return F.when(rest > FIELDS, many).when(field < rest, 1).otherwise(0).cast("int")
 
 
-def recurring_lines(docs: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFrame:
+def equal_lines(lines: DataFrame) -> DataFrame:
+    """The lines that stand word for word in a document with a smaller doc_id."""
+    held = (
+        lines.groupBy("exact")
+        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+        .where("first < last")
+        .select("exact", "first")
+    )
+    return lines.join(held, "exact").where(F.col("doc_id") != F.col("first"))
+
+
+def recurring_lines(
+    docs: DataFrame, least: int = LEAST, share: float = SHARE, strict: bool = False
+) -> DataFrame:
     """doc_id and line of every line that is dropped."""
     lines = kept_table(parsed(docs).where("doc_id IS NOT NULL"), "lines")
-    leaves = documents_of(lines, "leaf").where(F.col("documents") >= least).select("leaf")
+    support = F.lit(least)
+    if strict:
+        support = F.when(F.col("n") > LONG, min(PAIR, least)).otherwise(least)
+    leaves = documents_of(lines, "leaf", "n").where(F.col("documents") >= support).select("leaf")
     held = kept_table(lines.join(leaves, "leaf", "left_semi"), "leaves")
     # a line's content in a document counts once
     contents = held.select("leaf", "whole", "n", "fields", "doc_id")
     constant = (
         documents_of(
-            contents.select("leaf", "doc_id", F.posexplode("fields").alias("k", "field")).where(
-                "field <> 0"
-            ),
+            contents.select(
+                "leaf", "n", "doc_id", F.posexplode("fields").alias("k", "field")
+            ).where("field <> 0"),
             "leaf",
+            "n",
             "k",
             "field",
         )
-        .where(F.col("documents") >= least)
+        .where(F.col("documents") >= support)
         .select("leaf", "k", "field")
     )
     kinds = contents.groupBy("leaf", "whole").agg(
@@ -151,20 +181,23 @@ def recurring_lines(docs: DataFrame, least: int = LEAST, share: float = SHARE) -
         .join(fixed, ["leaf", "whole"], "left")
         .withColumn("words", F.coalesce("words", F.lit(0)) + F.least("n", F.lit(LEADING)))
         .where(F.col("words") >= F.col("n") * share)
-        .select("whole", F.xxhash64("leaf", F.coalesce("shape", F.lit(0))).alias("template"))
+        .select("whole", "n", F.xxhash64("leaf", F.coalesce("shape", F.lit(0))).alias("template"))
     )
     shaped = held.select("doc_id", "line", "whole").join(named, "whole")
-    often = documents_of(shaped, "template").where(F.col("documents") >= least)
-    return (
-        shaped.join(often, "template")
+    often = documents_of(shaped, "template", "n").where(F.col("documents") >= support)
+    gone = (
+        shaped.join(often.drop("n"), "template")
         .where(F.col("doc_id") != F.col("first"))
         .select("doc_id", "line")
     )
+    if strict:
+        gone = gone.union(equal_lines(lines).select("doc_id", "line")).distinct()
+    return gone
 
 
 def dropped_by_document(docs: DataFrame, **choices) -> DataFrame:
     """doc_id and the numbers of its dropped lines; documents without any are not there."""
-    return recurring_lines(docs, **choices).groupBy("doc_id").agg(
+    return recurring_lines(docs, **{"strict": True} | choices).groupBy("doc_id").agg(
         F.sort_array(F.collect_set("line")).alias("gone")
     )
 
