@@ -25,7 +25,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines whose template recurs in other documents."""
     share_code(spark)
-    return templates.drop_recurring(docs).select(*COLUMNS)
+    return templates.drop_recurring(docs, keep_unique=True).select(*COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -216,6 +216,28 @@ def test_lines_of_two_documents_go(documents):
     assert left[5] == "single"  # a long line's template needs two documents
 
 
+def test_lines_without_constant_words_stay(documents):
+    texts = [f"https://example.org/page/{k}" for k in range(4)]
+    texts += [f"这是一个没有空格的段落其中有数字{k}而且很长很长很长很长" for k in range(4)]
+    texts += [f"{k},{k + 1},{k + 2}" for k in range(4)]
+    texts += [f"{k} {k + 1} {k + 2} {k + 3} {k + 4} {k + 5} sum" for k in range(4)]
+    texts += [f"2024-01-0{k}" for k in range(1, 5)] + [f"own {k}\n{k} {k * k}" for k in range(4)]
+    texts += ["the same text again"] * 3
+    docs = documents(texts)
+    left = {r.doc_id: r.text for r in templates.drop_recurring(docs, keep_unique=True).collect()}
+    assert left == dict(enumerate(texts[:-2]))
+
+
+def test_only_documents_that_others_hold_go(documents):
+    kings = [f"all hail the great king {x} of the land" for x in ("Bob", "Eve", "Ann", "Eve")]
+    texts = [*kings, f"{kings[1]}\nand more", f"{kings[0]}\n{kings[2]}"]
+    left = {
+        r.doc_id: r.text
+        for r in templates.drop_recurring(documents(texts), keep_unique=True).collect()
+    }
+    assert left == {0: kings[0], 1: kings[1], 2: kings[2], 4: "and more"}
+
+
 def test_templates_of_awkward_rows(awkward, documents):
     out = templates.drop_recurring(awkward)
     assert out.columns == awkward.columns

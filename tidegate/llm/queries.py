@@ -76,7 +76,7 @@ def op4_quality_resampling(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def op5_line_templates(spark: SparkSession, sf: str) -> DataFrame:
-    return templates.digests(table(spark, sf, "documents"))
+    return templates.digests(table(spark, sf, "documents"), keep_unique=True)
 
 
 @query()
