@@ -250,6 +250,41 @@ def test_token_files_read_back(spark, awkward, documents):
         assert tokenfiles.read_token_files(spark, path).count() == len(rows)
 
 
+def test_added_tokens_in_texts_get_their_id(spark, awkward, tmp_path):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(TOKENIZER)  # as it is by default
+    rng = random.Random(7)
+    letters = ["a", " ", "\n", "<|endoftext|>", "<|", "endoftext", "|>", "é", ".", "'s", "word"]
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 12))) for _ in range(4000)]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "<|endofte", "xt|>", None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    known = tokenfiles.Encoder(TOKENIZER, added_tokens=True)
+    for _ in range(2):  # the second time all is remembered
+        for _, data, offsets in text_slices(batch):
+            ids, bounds = known.encode(data, offsets)
+        for k, text in enumerate(texts):
+            want = whole.encode(text or "", add_special_tokens=False).ids
+            assert ids[bounds[k] : bounds[k + 1]].tolist() == want, text
+    # an added token of letters alone
+    path = str(tmp_path / "tokenizer.json")
+    whole.add_special_tokens(["stop"])
+    whole.save(path)
+    known = tokenfiles.Encoder(path, added_tokens=True)
+    batch = pa.RecordBatch.from_arrays([pa.array(["stop", "nonstop", "go on", "on stop"])], ["text"])
+    for _, data, offsets in text_slices(batch):
+        ids, bounds = known.encode(data, offsets)
+    for k, text in enumerate(batch.column(0).to_pylist()):
+        assert ids[bounds[k] : bounds[k + 1]].tolist() == whole.encode(text).ids
+    awkward.write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op9_token_files"](spark, str(tmp_path)).collect()
+    rows = awkward.select("text").collect()
+    want = [whole.encode(r.text or "", add_special_tokens=False).ids + [2] for r in rows]
+    assert sorted((r.n_tokens, r.ids_crc32) for r in got) == sorted(
+        (len(x), crc32(np.array(x, "<u4").tobytes())) for x in want
+    )
+
+
 def test_shards_decode_any_range():
     rng = random.Random(8)
     rows = [[rng.choice([5, 6, 7, 2]) for _ in range(rng.randint(0, 400))] + [2] for _ in range(40)]

@@ -98,7 +98,10 @@ def op8_sentence_pieces(spark: SparkSession, sf: str) -> DataFrame:
 def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
     path = work_path(spark, "token-files")
     tokenfiles.write_token_files(
-        table(spark, sf, "documents"), path, tokenizer_file("byte_bpe_50k.json")
+        table(spark, sf, "documents"),
+        path,
+        tokenizer_file("byte_bpe_50k.json"),
+        added_tokens=True,
     )
     return tokenfiles.digests(spark, path)
 

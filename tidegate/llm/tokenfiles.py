@@ -13,7 +13,9 @@ symbols per document (32-bit); ids per document (32-bit); symbols (16-bit). Symb
 also when tasks are repeated.
 
 Distinct stretches of a slice of texts are encoded once. They are cut only where the vocabulary's
-pattern always starts a new token, so the ids are those of the whole texts. Missing and empty texts
+pattern always starts a new token, so the ids are those of the whole texts. With ``added_tokens`` the
+tokenizer finds its added tokens in texts, as it does by default, and texts that hold one are encoded
+whole; without, their characters are encoded like any others. Missing and empty texts
 hold the end id alone. Rows with a missing doc_id come first, repeated doc_ids stay.
 """
 
@@ -36,6 +38,7 @@ ROUNDS = 3
 LEAST = 6  # times a pair must stand in a shard to become a rule
 TABLE = 1 << 16
 CACHED = 600_000  # stretches a worker remembers
+CACHED_IDS = 1 << 23
 
 LETTER = byte_set((0x41, 0x5A), (0x61, 0x7A))
 WHITE = byte_set((0x09, 0x0D), (0x20, 0x20))
@@ -46,11 +49,13 @@ POINT = ~(LETTER | WHITE | HIGH | byte_set((0x30, 0x39), (0x27, 0x27)))
 class Encoder:
     """Ids of texts by a tokenizer file, remembering the stretches it has met."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.whole.encode_special_tokens = not added_tokens
+        added = self.whole.get_added_tokens_decoder().values() if added_tokens else ()
+        self.added = [x.content.encode() for x in added if x.content]
         self.vocabulary = self.whole.get_vocab_size(with_added_tokens=True)
         self.merges = Tokenizer(self.whole.model)
         # how the vocabulary writes bytes: printable ones as themselves, the others from 256 on
@@ -98,16 +103,30 @@ class Encoder:
         flat = np.array([k for x in found for k in x], np.int32)
         self._learn(hashes, flat, np.array([len(x) for x in found], np.int64))
 
+    def _rows_with_added(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Rows that may hold the text of an added token."""
+        raw, found = data.tobytes(), []
+        for text in self.added:
+            at = raw.find(text)
+            while at >= 0:
+                found.append(at)
+                at = raw.find(text, at + 1)
+        return np.unique(np.searchsorted(offsets, np.array(found, np.int64), "right") - 1)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray):
         """Ids of all rows, without end ids, and the rows' offsets among them."""
+        whole = self._rows_with_added(data, offsets)
         cuts = stretches(data, offsets)
+        if len(whole):
+            row = np.searchsorted(offsets, cuts, "right") - 1
+            cuts = cuts[~np.isin(row, whole) | (cuts == offsets[row])]
         if not len(cuts):
             return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
         ends = np.r_[cuts[1:], len(data)]
         known, where, which = np.unique(
             span_hashes(data, cuts, ends), return_index=True, return_inverse=True
         )
-        if len(self.slot) + len(known) > CACHED:
+        if len(self.slot) + len(known) > CACHED or self.used > CACHED_IDS:
             self._forget()
         hashes = known.tolist()
         new = [k for k, h in enumerate(hashes) if h not in self.slot]
@@ -118,6 +137,7 @@ class Encoder:
             odd = np.r_[0, np.cumsum(~word_bytes(data))]
             begin = begin + (data[begin] == 0x20)
             single = (odd[end] == odd[begin]) & (end > begin)
+            single &= ~np.isin(cuts[at], offsets[whole])
             texts = [raw[a:b] for a, b in zip(cuts[at].tolist(), end.tolist(), strict=True)]
             for learn, mine in ((self._learn_words, single), (self._learn_texts, ~single)):
                 picked = np.flatnonzero(mine).tolist()
@@ -131,8 +151,8 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, added_tokens: bool = False) -> Encoder:
+    return Encoder(path, added_tokens)
 
 
 def word_bytes(data: np.ndarray) -> np.ndarray:
@@ -296,7 +316,9 @@ class Shard:
         return self.expand(own[first:last])[start - skipped : stop - skipped]
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
+def write_token_files(
+    docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, added_tokens: bool = False
+) -> None:
     """Writes the documents' ids as shards below ``path``, in ascending doc_id order.
 
     A shard is a row: part and block (its place in the order), doc_ids, n_ids, shard.
@@ -307,7 +329,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        known, part, block = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        known, part, block = encoder(tokenizer, added_tokens), TaskContext.get().partitionId(), 0
         for batch in batches:
             for rows, data, offsets in text_slices(batch):
                 ids, bounds = known.encode(data, offsets)
