@@ -317,6 +317,30 @@ def test_rates_reach_the_targets(spark):
     assert copies == pytest.approx(total, rel=0.15)
 
 
+def test_rare_domains_are_found(spark, labels):
+    rng = random.Random(9)
+    ends = {"en": "ing", "de": "ung", "es": "ado"}
+    words = {
+        d: [f"{a}{b}{c}{e}" for a in "bdfgklmnprstvw" for b in "aeiouy" for c in "bcdfghjklm"]
+        for d, e in ends.items()
+    }
+    lang = ["es" if k % 100 == 0 else "de" if k % 10 == 1 else "en" for k in range(2000)]
+    rows = [(k, " ".join(rng.choices(words[d], k=40)), d, "s", 0) for k, d in enumerate(lang)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    known = labels([(k, 1, 0) for k in range(2000) if k % 3])
+    targets = {d: 1 / 3 for d in ends}
+    for sent in (mixing.SENT, 0):  # as a small and as a large model
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(mixing, "SENT", sent)
+            got = mixing.rates(docs, known, targets).collect()
+        best = {r.doc_id: max(ends, key=lambda d: r[f"p_{d}"]) for r in got}
+        assert sum(best[k] == "es" for k in range(0, 2000, 100)) >= 19
+        expected = sum(r.n_words * r.p_es for r in got)
+        assert expected == pytest.approx(20 * 40, rel=0.15)
+
+
 def test_rates_solve_the_least_squares_problem(spark):
     """Against projected gradient steps on the documents themselves."""
     rng = np.random.default_rng(5)

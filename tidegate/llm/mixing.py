@@ -1,8 +1,8 @@
 """Mixing by soft membership: rates for documents whose expected domain totals match targets.
 
-A word classifier learns the domains from documents of the labelled table. Of every document it gives
-a posterior over the domains, from the mean log-likelihood of the document's known words, so that
-membership is soft and does not depend on length. A document of n words and posterior p brings
+A word classifier learns the domains from all words of documents of the labelled table. Of every
+document it gives a posterior over the domains, from the mean log-likelihood of the document's known
+words, so that membership is soft and does not depend on length. A document of n words and posterior p brings
 n p[d] expected words to domain d.
 
 Projected gradient descent then fits rates, none below ``least_rate``, that minimise the squared distance of
@@ -29,7 +29,7 @@ from tidegate.llm.licenses import words_of
 
 TARGETS = {"en": 0.5, "fr": 0.2, "de": 0.2, "es": 0.1}
 MAX_LABELLED = 60_000
-VOCABULARY = 512
+SENT = 200_000  # most frequent words that are sent to every task; the others are joined by a shuffle
 SHARPNESS = 2.0  # weight of the mean log-likelihood against the shares
 GRID = 32
 STEPS = 60
@@ -39,51 +39,51 @@ SETTLED = 1e-6  # of the total, by which a step moves the domains at most when i
 def classifier(
     docs: DataFrame, labels: DataFrame, domains: list[str], domain: str, max_labelled: int
 ):
-    """The shares of the domains, and a frame of word and log-likelihood by domain.
+    """The shares of the domains, and two frames of word (its hash) and log-likelihood by domain.
 
-    From a bounded sample of labelled documents; the frame has at most ``VOCABULARY`` words.
+    Together they have every word of a bounded sample of labelled documents: the first one at most
+    ``SENT`` of the most frequent words, the second one the others; None if there are none.
     """
     sample = label_sample(labels, "quality", max_labelled).select("doc_id")
     known = docs.select("doc_id", "text", F.col(domain).alias("domain")).where(
         F.col("domain").isin(domains)
     )
-    words = (
+    words = kept_table(
         known.join(F.broadcast(sample), "doc_id", "left_semi")
         .select("domain", F.explode(words_of(F.col("text"))).alias("word"))
-        .groupBy("word")
-        .agg(
-            *[F.count_if(F.col("domain") == d).alias(f"n{k}") for k, d in enumerate(domains)],
-            F.count("*").alias("n"),
-        )
-        .orderBy(F.desc("n"), "word")
-        .limit(VOCABULARY)
-        .drop("n")
-        .collect()  # a row for each word of the vocabulary
+        .groupBy(F.xxhash64("word").alias("word"))
+        .agg(*[F.count_if(F.col("domain") == d).alias(f"n{k}") for k, d in enumerate(domains)]),
+        "vocabulary",
     )
-    totals = [sum(r[1 + k] for r in words) for k in range(len(domains))]
-    if not words:
-        return None, None
-    size = len(words)
-    rows = [
-        (
-            r[0],
-            *[
-                log((r[1 + k] + 1.0) / (totals[k] + size)) if totals[k] else -20.0
-                for k in range(len(domains))
-            ],
-        )
-        for r in words
-    ]
-    names = ", ".join(f"l{k} double" for k in range(len(domains)))
-    model = docs.sparkSession.createDataFrame(rows, f"word string, {names}")
-    return [t / sum(totals) for t in totals], model
+    each = range(len(domains))
+    n = sum((F.col(f"n{k}") for k in each[1:]), F.col("n0"))
+    row = words.agg(
+        F.count("*"),
+        *[F.sum(f"n{k}") for k in each],
+        *[F.count_if(n >= (1 << j)) for j in range(63)],
+    ).first()
+    size, totals, above = row[0], row[1 : 1 + len(domains)], row[1 + len(domains) :]
+    if not size:
+        return None, None, None
+    least = next((1 << j for j in range(63) if above[j] <= SENT), 1 << 62)
+    model = words.select(
+        "word",
+        (n >= least).alias("often"),
+        *[
+            (F.log((F.col(f"n{k}") + 1.0) / float(totals[k] + size)) if totals[k] else F.lit(-20.0))
+            .alias(f"l{k}")
+            for k in each
+        ],
+    )
+    rare = None if least == 1 else model.where("NOT often").drop("often")
+    return [t / sum(totals) for t in totals], model.where("often").drop("often"), rare
 
 
 def posteriors(
     docs: DataFrame, labels: DataFrame, domains: list[str], domain: str, max_labelled: int
 ) -> DataFrame:
     """doc_id, rows (with this id), n_words of one row and p0, p1, ... of every doc_id."""
-    shares, model = classifier(docs, labels, domains, domain, max_labelled)
+    shares, model, rare = classifier(docs, labels, domains, domain, max_labelled)
     each = range(len(domains))
     if model is None:
         return docs.groupBy("doc_id").agg(F.count("*").alias("rows")).select(
@@ -92,16 +92,33 @@ def posteriors(
         )
     words = docs.select(
         "doc_id", F.posexplode_outer(words_of(F.col("text"))).alias("place", "word")
-    )
+    ).withColumn("word", F.when(F.col("word").isNotNull(), F.xxhash64("word")))
+    logs = [F.sum(f"l{k}").alias(f"l{k}") for k in each]
     found = (
-        words.join(F.broadcast(model), "word", "left")  # at most VOCABULARY rows
+        words.join(F.broadcast(model), "word", "left")  # at most SENT rows
         .groupBy("doc_id")
         .agg(
             F.count_if(F.coalesce("place", F.lit(0)) == 0).alias("rows"),
             F.count("word").alias("n"),
-            *[F.avg(f"l{k}").alias(f"l{k}") for k in each],
+            F.count("l0").alias("known"),
+            *logs,
         )
     )
+    if rare is not None:
+        others = (
+            words.where("word IS NOT NULL")
+            .select("doc_id", "word")
+            .join(F.broadcast(model.select("word")), "word", "left_anti")
+            .join(rare.hint("merge"), "word")
+            .groupBy("doc_id")
+            .agg(F.count("*").alias("known"), *logs)
+        )
+        found = (
+            found.unionByName(others, allowMissingColumns=True)
+            .groupBy("doc_id")
+            .agg(*[F.sum(c).alias(c) for c in ("rows", "n", "known")], *logs)
+        )
+    found = found.withColumns({f"l{k}": F.col(f"l{k}") / F.nullif("known", F.lit(0)) for k in each})
     score = [
         F.coalesce(F.col(f"l{k}") * SHARPNESS, F.lit(0.0)) + log(max(shares[k], 1e-9))
         for k in each
