@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.session import work_path
+from tidegate.session import drop_path, work_path
 
 BINS = 1 << 12
 
@@ -18,6 +18,29 @@ def kept_table(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Kept:
+    """The written intermediate tables of one operator, by purpose, so that they can be removed when
+    nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[tuple[str, str]] = []
+
+    def table(self, df: DataFrame, purpose: str) -> DataFrame:
+        """As ``kept_table``."""
+        path = work_path(self.spark, purpose)
+        df.write.parquet(path)
+        self.paths.append((purpose, path))
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop_all_but(self, *purposes: str) -> None:
+        """Removes the tables that a result, not computed yet, does not read."""
+        for purpose, path in self.paths:
+            if purpose not in purposes:
+                drop_path(self.spark, path)
+        self.paths = [x for x in self.paths if x[0] in purposes]
+
+
 def label_sample(labels: DataFrame, label: str, bound: int) -> DataFrame:
     """doc_id and label of at most ``bound`` labelled documents, chosen by a hash of doc_id.
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidegate.llm import (
     exactdedup,
     licenses,
+    merkle,
     mixing,
     neardup,
     pieces,
@@ -109,3 +110,8 @@ def op9_token_files(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op10_soft_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.rates(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query(merkle.SQL)
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.checked(table(spark, sf, "documents"))
