@@ -13,6 +13,7 @@ from tidegate.llm import (
     merkle,
     mixing,
     neardup,
+    periodic,
     pieces,
     quality,
     templates,
@@ -115,3 +116,9 @@ def op10_soft_mixing(spark: SparkSession, sf: str) -> DataFrame:
 @query(merkle.SQL)
 def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.checked(table(spark, sf, "documents"))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents")
+    return periodic.digests(periodic.periodic_runs(periodic.planted(documents)))
