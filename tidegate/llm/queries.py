@@ -12,6 +12,7 @@ from tidegate.llm import (
     licenses,
     merkle,
     mixing,
+    nearest,
     neardup,
     periodic,
     pieces,
@@ -113,12 +114,17 @@ def op10_soft_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.rates(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
-@query(merkle.SQL)
-def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    return merkle.checked(table(spark, sf, "documents"))
+@query()
+def op11_adaptive_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf, "embeddings"))
 
 
 @query()
 def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents")
     return periodic.digests(periodic.periodic_runs(periodic.planted(documents)))
+
+
+@query(merkle.SQL)
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.checked(table(spark, sf, "documents"))
