@@ -14,11 +14,14 @@ rows as the grid has cells, in Spark.
 
 All of it are DataFrame expressions. A missing or empty text has no words, the labelled
 documents' shares as posterior, and moves no total. Rows that repeat a doc_id share its rate.
-Without labelled documents of the target domains every rate is 1.
+A target domain without a labelled document cannot be recognised: a warning names it, its posterior is 0,
+and the others share the whole by their targets. Without labelled documents of any target domain every
+rate is 1.
 """
 
 from __future__ import annotations
 
+import logging
 from math import log
 
 from pyspark.sql import Column, DataFrame
@@ -79,6 +82,16 @@ def classifier(
     return [t / sum(totals) for t in totals], model.where("often").drop("often"), rare
 
 
+def recognised(
+    docs: DataFrame, labels: DataFrame, domains: list[str], domain: str, max_labelled: int
+) -> list[str]:
+    """The domains of which the labelled sample has a document."""
+    sample = label_sample(labels, "quality", max_labelled).select("doc_id")
+    held = docs.select("doc_id", F.col(domain).alias("domain")).where(F.col("domain").isin(domains))
+    held = held.join(F.broadcast(sample), "doc_id", "left_semi").select("domain").distinct()
+    return sorted(r[0] for r in held.collect())
+
+
 def posteriors(
     docs: DataFrame, labels: DataFrame, domains: list[str], domain: str, max_labelled: int
 ) -> DataFrame:
@@ -190,7 +203,14 @@ def rates(
     shrink. copies is the rate, rounded up or down at random by doc_id so that its mean is the rate.
     """
     targets = targets or TARGETS
-    names = sorted(targets)
+    asked = sorted(targets)
+    names = recognised(docs, labels, asked, domain, max_labelled)
+    absent = [d for d in asked if d not in names]
+    if absent:
+        logging.getLogger(__name__).warning(
+            "no labelled document of %s: left out of the mixture", ", ".join(absent)
+        )
+    names = names or asked
     found = kept_table(posteriors(docs, labels, names, domain, max_labelled), "posteriors")
     cells, _ = fit(found, [targets[d] for d in names], least_rate, total)
     keys = [f"c{k}" for k in range(len(names))]
@@ -201,7 +221,7 @@ def rates(
         .select(
             "doc_id",
             "n_words",
-            *[F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(names)],
+            *[(F.col(f"p{names.index(d)}") if d in names else F.lit(0.0)).alias(f"p_{d}") for d in asked],
             "rate",
             (F.floor(rate) + (uniform(seed, "doc_id") < rate - F.floor(rate)).cast("int"))
             .cast("int")

@@ -2,14 +2,15 @@
 
 Two generative models over hashed word and word-pair features: the target, from labelled documents
 of quality 1, and the raw text, from all documents. A document's log weight is the sum over its
-features of the log ratio of both models; divided by the number of features it does not depend on
-length. Documents are drawn without replacement by the Gumbel top-k rule: to each normalised log
-weight, divided by ``TEMPERATURE``, a Gumbel number is added that depends on doc_id and the seed, and
-the k greatest stay.
+features of the log ratio of both models, its importance weight. Documents are drawn without
+replacement by the Gumbel top-k rule: to each log weight a Gumbel number is added that depends on
+doc_id and the seed, and the k greatest stay.
 
-k is the number of documents whose normalised log weight reaches the cut that parts labelled good
-from labelled bad documents best, where losing a good one counts ``KEEP`` times. With labels of one
-kind only, everything stays. ``k`` may be given instead.
+The target's counts are smoothed by the raw model, whose weight is the one of ``PRIORS`` that makes
+labelled good documents likeliest that were not counted, those of one fold of the labels. k is the number
+of documents whose log weight reaches the cut that parts good from bad documents of the same fold best,
+where losing a good one counts ``KEEP`` times. With labels of one kind only, everything stays. ``k``
+may be given instead.
 
 Features are hashed into 2^16 places. The target comes from a sample of at most ``max_labelled``
 labelled documents, raw counts and weights from every document. Missing and empty texts have log
@@ -32,9 +33,10 @@ from tidegate.llm.textbytes import row_of, text_slices
 
 BITS = 16
 MAX_LABELLED = 60_000
-TEMPERATURE = 0.02
 KEEP = 20.0
-SMOOTHING = 1.0
+SMOOTHING = 0.5
+FOLDS, UNSEEN = 5, 4
+PRIORS = (1e2, 1e3, 1e4, 1e5, 1e6)  # features that the raw model counts for
 
 
 def _features(data: np.ndarray, offsets: np.ndarray):
@@ -45,36 +47,44 @@ def _features(data: np.ndarray, offsets: np.ndarray):
     return np.r_[buckets(hashes, BITS), buckets(pairs, BITS)], np.r_[row, row[at]]
 
 
-def log_ratios(docs: DataFrame, sample: DataFrame) -> np.ndarray:
-    """log(target / raw) of every place."""
+def fold() -> F.Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
+
+
+def log_ratios(docs: DataFrame, good: DataFrame) -> np.ndarray:
+    """log(target / raw) of every place; ``good`` has doc_id and whether the model may count it, as
+    label 1, or it is to judge the smoothing, as label 0."""
     size = 1 << BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((2, size), np.int64)
+        held = np.zeros((3, size), np.int64)
         for batch in batches:
             for rows, data, offsets in text_slices(batch):
                 places, row = _features(data, offsets)
-                good = (rows.column(2).fill_null(0).to_numpy(zero_copy_only=False) == 1)[row]
+                label = rows.column(2).fill_null(-1).to_numpy(zero_copy_only=False)[row]
                 held[0] += np.bincount(places, minlength=size)
-                held[1] += np.bincount(places[good], minlength=size)
+                for k in (0, 1):
+                    held[1 + k] += np.bincount(places[label == 1 - k], minlength=size)
         at = np.flatnonzero(held[0])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(at.astype(np.int32)), pa.array(held[0, at]), pa.array(held[1, at])],
-            ["place", "raw", "target"],
+            [pa.array(at.astype(np.int32)), *[pa.array(x[at]) for x in held]],
+            ["place", "raw", "target", "unseen"],
         )
 
     found = (
-        with_labels(docs, sample)
-        .mapInArrow(run, "place int, raw long, target long")
+        with_labels(docs, good)
+        .mapInArrow(run, "place int, raw long, target long, unseen long")
         .groupBy("place")
-        .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+        .agg(*[F.sum(name).alias(name) for name in ("raw", "target", "unseen")])
         .toArrow()
     )
-    counts = np.full((2, size), SMOOTHING)
-    for k, name in enumerate(("raw", "target")):
-        counts[k, found.column("place").to_numpy()] += found.column(name).to_numpy()
-    logs = np.log(counts) - np.log(counts.sum(1, keepdims=True))
-    return logs[1] - logs[0]
+    counts = np.zeros((3, size))
+    for k, name in enumerate(("raw", "target", "unseen")):
+        counts[k, found.column("place").to_numpy()] = found.column(name).to_numpy()
+    raw = (counts[0] + SMOOTHING) / (counts[0] + SMOOTHING).sum()
+    targets = [(counts[1] + m * raw) / (counts[1].sum() + m) for m in PRIORS]
+    likelihood = [float(counts[2] @ np.log(target)) for target in targets]
+    return np.log(targets[int(np.argmax(likelihood))]) - np.log(raw)
 
 
 def weigh(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
@@ -89,8 +99,11 @@ def weigh(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
                     [
                         rows.column(0),
                         pa.array(np.bincount(row, minlength=len(rows)).astype(np.int64)),
+                        # without any feature numpy counts in integers
                         pa.array(
-                            np.bincount(row, weights=sent.value[places], minlength=len(rows))
+                            np.bincount(
+                                row, weights=sent.value[places], minlength=len(rows)
+                            ).astype(np.float64)
                         ),
                     ],
                     ["doc_id", "n_features", "log_weight"],
@@ -120,21 +133,18 @@ def draw(
     seed: int = 17,
     max_labelled: int = MAX_LABELLED,
 ) -> DataFrame:
-    """doc_id, n_features, log_weight, weight (by feature), gumbel_key and kept of every document."""
+    """doc_id, n_features, log_weight, gumbel_key and kept of every document."""
     sample = label_sample(labels, "quality", max_labelled)
-    ratios = log_ratios(docs, sample.where("label = 1"))
-    weight = F.col("log_weight") / F.greatest(F.col("n_features"), F.lit(1))
+    counted = (fold() != UNSEEN).cast("int").alias("label")
+    ratios = log_ratios(docs, sample.where("label = 1").select("doc_id", counted))
     noise = -F.log(-F.log(uniform(seed, "doc_id")))
-    scored = (
-        weigh(docs, ratios)
-        .withColumn("weight", weight)
-        .withColumn("gumbel_key", F.col("weight") / TEMPERATURE + noise)
-    )
+    scored = weigh(docs, ratios).withColumn("gumbel_key", F.col("log_weight") + noise)
     scored = kept_table(scored, "quality")
     if k is None:
-        known = scored.join(F.broadcast(sample), "doc_id").select("weight", "label").toArrow()
-        cut = best_cut(known.column("weight").to_numpy(), known.column("label").to_numpy())
-        k = scored.where(F.col("weight") >= cut).count()
+        judges = sample.where(fold() == UNSEEN)
+        known = scored.join(F.broadcast(judges), "doc_id").select("log_weight", "label").toArrow()
+        cut = best_cut(*[known.column(c).to_numpy() for c in ("log_weight", "label")])
+        k = scored.where(F.col("log_weight") >= cut).count()
     cut = top_k_cut(scored, "gumbel_key", "doc_id", k)
     kept = F.lit(True)
     if cut is not None:

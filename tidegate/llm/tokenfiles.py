@@ -7,9 +7,10 @@ document's end. The shard stores the pairs (its rules), the number of ids behind
 symbols. Any range of ids of any document is decoded from the symbols that cover it alone.
 
 Layout of a shard, little-endian: the mark ``IDRP``, then unsigned 32-bit version, vocabulary,
-documents, rules and symbols; rules as pairs of unsigned 16-bit symbols; ids per rule (32-bit);
-symbols per document (32-bit); ids per document (32-bit); symbols (16-bit). Symbols from
-``vocabulary`` on are rules. Shards are rows of Parquet files, so Spark's committers write them,
+documents, rules and symbols; rules as pairs of unsigned symbols; ids per rule (32-bit);
+symbols per document (32-bit); ids per document (32-bit); symbols. Symbols have 16 bits in version 1 and
+32 in version 2, which vocabularies of more than 65,536 ids take. Symbols from ``vocabulary`` on are
+rules. Shards are rows of Parquet files, so Spark's committers write them,
 also when tasks are repeated.
 
 Distinct stretches of a slice of texts are encoded once. They are cut only where the vocabulary's
@@ -193,7 +194,10 @@ def stretches(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def compress(ids: np.ndarray, lengths: np.ndarray, vocabulary: int, rounds: int = ROUNDS) -> bytes:
     """A shard of the documents whose ids stand one after the other in ``ids``."""
-    most = (1 << 16) - vocabulary
+    if len(ids) and not 0 <= int(ids.min()) <= int(ids.max()) < vocabulary:
+        raise ValueError(f"ids from {ids.min()} to {ids.max()} in a vocabulary of {vocabulary}")
+    version, kind, bits = (1, "<u2", 16) if vocabulary <= 1 << 16 else (2, "<u4", 31)
+    most = min((1 << bits) - vocabulary, 1 << 16)
     symbols, left = ids.astype(np.int64), lengths.astype(np.int64)
     last = np.zeros(len(symbols), bool)
     last[np.cumsum(left)[left > 0] - 1] = True
@@ -203,7 +207,7 @@ def compress(ids: np.ndarray, lengths: np.ndarray, vocabulary: int, rounds: int
         room = (most - made) // (rounds - turn)
         if len(symbols) < 2 or room < 1:
             break
-        keys = (symbols[:-1] << 16) | symbols[1:]
+        keys = (symbols[:-1] << bits) | symbols[1:]
         keys[last[:-1]] = -1
         ordered = np.sort(keys)
         ordered = ordered[np.searchsorted(ordered, 0) :]
@@ -226,7 +230,7 @@ def compress(ids: np.ndarray, lengths: np.ndarray, vocabulary: int, rounds: int
         at = at[(np.arange(len(at)) - run) % 2 == 0]
         used, number = np.unique(chosen[at], return_inverse=True)
         pairs = pairs[used]
-        first, second = pairs >> 16, pairs & 0xFFFF
+        first, second = pairs >> bits, pairs & ((1 << bits) - 1)
         known = np.concatenate(sizes)
         rules.append(np.stack([first, second], 1))
         sizes.append(known[first] + known[second])
@@ -241,12 +245,12 @@ def compress(ids: np.ndarray, lengths: np.ndarray, vocabulary: int, rounds: int
     return b"".join(
         [
             MARK,
-            np.array([1, vocabulary, len(lengths), made, len(symbols)], "<u4").tobytes(),
-            np.concatenate(rules).astype("<u2").tobytes() if rules else b"",
+            np.array([version, vocabulary, len(lengths), made, len(symbols)], "<u4").tobytes(),
+            np.concatenate(rules).astype(kind).tobytes() if rules else b"",
             np.concatenate(sizes)[vocabulary:].astype("<u4").tobytes(),
             per_document.astype("<u4").tobytes(),
             lengths.astype("<u4").tobytes(),
-            symbols.astype("<u2").tobytes(),
+            symbols.astype(kind).tobytes(),
         ]
     )
 
@@ -264,8 +268,9 @@ class Shard:
         if raw[:4] != MARK:
             raise ValueError("not a shard of token ids")
         head = np.frombuffer(raw, "<u4", 5, 4)
-        if head[0] != 1:
+        if head[0] not in (1, 2):
             raise ValueError(f"unknown version {head[0]}")
+        symbol = "<u2" if head[0] == 1 else "<u4"
         self.vocabulary, documents, rules, symbols = (int(x) for x in head[1:])
         at = 24
 
@@ -275,11 +280,11 @@ class Shard:
             at += found.nbytes
             return found
 
-        pairs = take("<u2", 2 * rules).reshape(-1, 2).astype(np.int64)
+        pairs = take(symbol, 2 * rules).reshape(-1, 2).astype(np.int64)
         sizes = take("<u4", rules).astype(np.int64)
         self.bounds = np.r_[0, np.cumsum(take("<u4", documents).astype(np.int64))]
         self.lengths = take("<u4", documents).astype(np.int64)
-        self.symbols = take("<u2", symbols).astype(np.int64)
+        self.symbols = take(symbol, symbols).astype(np.int64)
         # each rule's ids, from rules that stand before it
         self.size = np.r_[np.ones(self.vocabulary, np.int64), sizes]
         self.start = np.r_[np.arange(self.vocabulary), np.zeros(rules, np.int64)]

@@ -1,20 +1,26 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-A toxic and an ordinary word model are estimated from labelled documents, where a word counts once
-for each document that holds it. In each, the discounted share of a word is filled up with the class's share of words that begin alike, and that one with
-continuation counts, which both classes share: in how many ways words precede it anywhere in the
-corpus, labelled or not. A rare word says as much as its beginning does, an unknown beginning says
-nothing.
-
-A text's score comes from the difference of the two log-likelihoods divided by length, of the whole
-text and of its most toxic stretch of ``WINDOW`` words, by a logistic curve fitted on labelled
-documents that the counts have not seen.
-
-Words are hashed into 2^20 places, so the model's size does not grow; predecessors are counted in
-64 hashed classes (exact for few, saturated for frequent words, whose own counts decide). Counts of
-labelled documents come from a sample of at most ``max_labelled``; continuation counts from every
-document. Missing and empty texts score like a text without evidence. Without labelled documents
-of both classes every score is 0. Rows may repeat; other columns are not read.
+From labelled documents a toxic and an ordinary model are estimated, with four orders: a word after
+its predecessor, the word alone, the word's beginning, and continuation counts. In a class of N
+counts, what was counted n times has the share (n - DISCOUNT) / N, and what the discount leaves
+goes to the next lower order. A word or pair counts once for each document that holds it, so with a
+discount of 1 what one document alone says is left to the backoff.
+
+The lowest order is shared by the classes: in how many different ways a word is preceded anywhere in
+the corpus, labelled or not. These are exact counts of distinct pairs, made in Spark from every
+document, for the words that two labelled documents of a class hold; of other words the lowest
+order is the same in both classes and cancels out. Words of unknown beginning say nothing.
+
+A text's score comes from the difference of both log-likelihoods divided by length, of the whole
+text and of its most toxic stretches, by a logistic curve fitted on labelled documents that the
+counts have not seen: the gain of words, the greatest gain of 2 and of 8 words in a row, and what pairs add
+to their words, on the whole and at the most toxic place.
+
+Counts by class come from at most ``max_labelled`` labelled documents, half of them of each class at
+most; continuation counts from all. Pairs are counted under hashes of 64 bits, continuation pairs
+under as many bits as 64 leave beside the number of the word. Missing and empty texts score like a text
+without evidence. Without labelled documents of both classes every score is 0. Rows may repeat;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,148 +33,251 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.frames import kept_table, label_sample, with_labels
-from tidegate.llm.lm import buckets
-from tidegate.llm.textbytes import LOWER, WORD_BYTES, row_of, span_hashes, spans, text_slices
+from tidegate.llm.textbytes import LOWER, WORD_BYTES, mix, row_of, span_hashes, spans, text_slices
 
-BITS = 20
 PREFIX = 5  # bytes
-WINDOW = 8
-MAX_LABELLED = 60_000
-DISCOUNT = 1.0  # what one document alone says is left to the backoff
+STRETCHES = (2, 8)  # words
+MAX_LABELLED = 20_000
+DISCOUNT = 1.0
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 4
-NAMES = ("word", "beginning")
+START = np.uint64(1)  # stands before a text's first word
+KINDS = ("beginning", "word", "pair")
+FLUSH = 2_000_000  # pairs a task holds before it passes them on
+NAMES = ("mean_gain", "top_gain", "long_gain", "mean_pair", "top_pair")
 
 
 def _read(data: np.ndarray, offsets: np.ndarray):
-    """Places of words and of their beginnings, and each row's first word."""
+    """Hashes of words, of their beginnings and of the words before them, and each row's first word."""
     low = LOWER[data]
     starts, ends, firsts = spans(low, offsets, WORD_BYTES)
     words = span_hashes(low, starts, ends)
     heads = span_hashes(low, starts, np.minimum(ends, starts + PREFIX))
-    return buckets(words, BITS), buckets(heads, BITS), firsts
+    before = np.r_[START, words[:-1]]
+    before[firsts[:-1][np.diff(firsts) > 0]] = START
+    return words, heads, before, firsts
+
+
+def pair_hash(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mix(before * np.uint64(0x2545F4914F6CDD1D) + words)
 
 
 def fold() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
 
 
-def counts(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """kind, place, ordinary and toxic documents, and the number of bits the predecessors set."""
-    size = 1 << BITS
+def class_counts(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """kind, key, before and head (hashes), ordinary and toxic: labelled documents that hold each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros((2, size), np.uint64)
-        held = np.zeros((2, 2, size), np.int32)
         for batch in batches:
             for rows, data, offsets in text_slices(batch):
-                words, heads, firsts = _read(data, offsets)
+                words, heads, before, firsts = _read(data, offsets)
                 row = row_of(firsts)
-                label = rows.column(2).fill_null(-1).to_numpy(zero_copy_only=False)[row]
-                before = np.r_[0, words[:-1]]
-                before[firsts[:-1][np.diff(firsts) > 0]] = -1  # a text's start is one more
-                bit = np.uint64(1) << (before & 63).astype(np.uint64)
-                for kind, places in enumerate((words, heads)):
-                    np.bitwise_or.at(seen[kind], places, bit)
-                    for c in (0, 1):
-                        mine = label == c
-                        own = np.unique((row[mine] << BITS) | places[mine]) & (size - 1)
-                        held[kind, c] += np.bincount(own, minlength=size).astype(np.int32)
-        for kind in (0, 1):
-            at = np.flatnonzero(seen[kind])
-            for low in range(0, len(at), 100_000):
-                now = at[low : low + 100_000]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(now), kind, np.int32)),
-                        pa.array(now.astype(np.int32)),
-                        pa.array(held[kind, 0, now].astype(np.int64)),
-                        pa.array(held[kind, 1, now].astype(np.int64)),
-                        pa.array(seen[kind, now].view(np.int64)),
-                    ],
-                    ["kind", "place", "ordinary", "toxic", "before"],
-                )
+                label = rows.column(2).to_numpy(zero_copy_only=False)
+                keys = (heads, words, pair_hash(before, words))
+                for kind, key in enumerate(keys):
+                    # each once for a row; then rows are added up by class
+                    order = np.lexsort((row, key))
+                    key, own = key[order], row[order]
+                    once = np.ones(len(key), bool)
+                    once[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1])
+                    at, toxic = order[once], label[own[once]]
+                    new = np.flatnonzero(np.r_[True, np.diff(key[once]) > 0][: len(at)])
+                    each = [np.add.reduceat((toxic == c).astype(np.int64), new) for c in (0, 1)] if len(
+                        new
+                    ) else [np.zeros(0, np.int64)] * 2
+                    at = at[new]
+                    shown = [keys[kind][at], before[at] if kind == 2 else np.zeros(len(at), np.uint64)]
+                    shown.append((words if kind == 2 else heads)[at])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(at), kind, np.int8)),
+                            *[pa.array(x.view(np.int64)) for x in shown],
+                            *[pa.array(x) for x in each],
+                        ],
+                        ["kind", "key", "before", "of", "ordinary", "toxic"],
+                    )
 
     return (
         with_labels(docs, sample)
-        .mapInArrow(run, "kind int, place int, ordinary long, toxic long, before long")
-        .groupBy("kind", "place")
-        .agg(
-            F.sum("ordinary").alias("ordinary"),
-            F.sum("toxic").alias("toxic"),
-            F.bit_or("before").alias("before"),
-        )
-        .withColumn("before", F.bit_count("before"))
+        .where("label IS NOT NULL")
+        .mapInArrow(run, "kind byte, key long, before long, of long, ordinary long, toxic long")
+        .groupBy("kind", "key", "before", "of")
+        .agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
     )
 
 
+def continuations(docs: DataFrame, known: np.ndarray) -> DataFrame:
+    """at (the place in ``known``, sorted hashes) and n, the number of distinct words before it."""
+    bits = max(int(len(known) - 1).bit_length(), 1)
+    sent = docs.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        keep = np.uint64(64 - bits)
+        for batch in batches:
+            for _, data, offsets in text_slices(batch):
+                words, _, before, _ = _read(data, offsets)
+                at, found = place(sent.value, words)
+                pair = (at[found].astype(np.uint64) << keep) | (mix(before[found]) >> np.uint64(bits))
+                held.append(np.unique(pair))
+                if sum(map(len, held)) > FLUSH:
+                    held = [np.unique(np.concatenate(held))]
+                    if len(held[0]) > FLUSH // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(held.pop().view(np.int64))], ["pair"])
+        if held:
+            last = np.unique(np.concatenate(held)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(last)], ["pair"])
+
+    return (
+        docs.select("text")
+        .mapInArrow(run, "pair long")
+        .distinct()
+        .groupBy(F.shiftrightunsigned("pair", 64 - bits).alias("at"))
+        .agg(F.count("*").alias("n"))
+    )
+
+
+def place(known: np.ndarray, hashes: np.ndarray):
+    """Where the hashes stand in the sorted ``known`` ones, and whether they do."""
+    at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
+    return at, (known[at] == hashes) if len(known) else np.zeros(len(hashes), bool)
+
+
+def class_sample(labels: DataFrame, bound: int) -> DataFrame:
+    """doc_id and label of labelled documents, at most half of ``bound`` of each class."""
+    rows = labels.select("doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL")
+    rows = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    classes = [label_sample(rows.where(F.col("toxic") == c), "toxic", bound // 2) for c in (0, 1)]
+    return classes[0].unionByName(classes[1])
+
+
+def _shares(n: np.ndarray):
+    """Discounted shares, and the share that is left to the backoff."""
+    return np.maximum(n - DISCOUNT, 0) / n.sum(), DISCOUNT * np.count_nonzero(n) / n.sum()
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> dict | None:
-    """Discounted shares and backoff weights, as arrays of fixed size; None without both classes."""
+    """Gains of beginnings, words, predecessors and pairs; None without both classes.
+
+    What comes to the driver is bounded by the labelled sample: pairs, words and beginnings that two
+    of its documents hold, and totals.
+    """
     train = labels.where((fold() != HELD_OUT) & (fold() != CALIBRATION))
-    found = counts(docs, label_sample(train, "toxic", max_labelled)).toArrow()
-    kind, place = (found.column(k).to_numpy() for k in ("kind", "place"))
-    model: dict = {}
-    shares, cont = {}, {}
-    for k, name in enumerate(NAMES):
-        own = kind == k
-        ones = found.column("before").to_numpy()[own]
-        # of 64 classes so many were met by about that many different predecessors
-        cont[name] = np.full(1 << BITS, 0.5)
-        cont[name][place[own]] = -64 * np.log1p(-np.minimum(ones, 63.5) / 64)
-        for c in ("ordinary", "toxic"):
-            n = np.zeros(1 << BITS)
-            n[place[own]] = found.column(c).to_numpy()[own]
-            if not n.sum():
-                return None
-            shares[name, c] = np.maximum(n - DISCOUNT, 0) / n.sum()
-            model["left", name, c] = DISCOUNT * np.count_nonzero(n) / n.sum()
-    base = cont["beginning"] / cont["beginning"].sum()
+    found = kept_table(class_counts(docs, class_sample(train, max_labelled)), "class-counts")
+    often = (F.col("ordinary") > 1) | (F.col("toxic") > 1)
+    totals = found.groupBy("kind").agg(
+        *[F.sum(c).alias(c) for c in ("ordinary", "toxic")],
+        *[F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in ("ordinary", "toxic")],
+    )
+    totals = {r.kind: r for r in totals.collect()}
+    if 1 not in totals or not totals[1].ordinary or not totals[1].toxic:
+        return None
+    words = _columns(found.where((F.col("kind") == 1) & often), "key", "of", "ordinary", "toxic")
+    order = np.argsort(words["key"])
+    words = {k: v[order] for k, v in words.items()}
+    cont = np.ones(len(words["key"]))
+    before = _columns(continuations(docs, words["key"]), "at", "n")
+    cont[before["at"].astype(np.int64)] = before["n"]
+    heads, of = np.unique(words["of"], return_inverse=True)
+    begun = np.bincount(of, weights=cont, minlength=len(heads))
+    seen = _columns(found.where(F.col("kind") == 0), "key", "ordinary", "toxic")
+    at, known = place(heads, seen["key"])
+    # predecessors of whose pairs one at least counts; of others the backoff is the same
+    pairs = found.where(F.col("kind") == 2)
+    context = pairs.groupBy("before").agg(
+        *[F.sum(c).alias(c) for c in ("ordinary", "toxic")],
+        *[F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in ("ordinary", "toxic")],
+        F.max(often).alias("often"),
+    )
+    context = _columns(
+        context.where("often"), "before", "ordinary", "toxic", "ordinary_kinds", "toxic_kinds"
+    )
+    order = np.argsort(context["before"])
+    context = {k: v[order] for k, v in context.items()}
+    pairs = _columns(pairs.where(often), "key", "before", "of", "ordinary", "toxic")
+    order = np.argsort(pairs["key"])
+    pairs = {k: v[order] for k, v in pairs.items()}
+    behind, _ = place(words["key"], pairs["of"])
+    after, _ = place(context["before"], pairs["before"])
+    log: dict[str, list[np.ndarray]] = {k: [] for k in ("head", "new", "word", "context", "pair")}
     for c in ("ordinary", "toxic"):
-        head = shares["beginning", c] + model["left", "beginning", c] * base
-        model["head", c] = head.astype(np.float32)
-        model["word", c] = shares["word", c].astype(np.float32)
-    model["of_word"] = cont["word"].astype(np.float32)
-    model["of_head"] = cont["beginning"].astype(np.float32)
-    return model
+        n = np.zeros(len(heads))
+        n[at[known]] = seen[c][known]
+        size, kinds = float(totals[0][c]), float(totals[0][f"{c}_kinds"])
+        head = np.maximum(n - DISCOUNT, 0) / size + DISCOUNT * kinds / size * begun / begun.sum()
+        size, kinds = float(totals[1][c]), float(totals[1][f"{c}_kinds"])
+        left = DISCOUNT * kinds / size
+        word = np.maximum(words[c] - DISCOUNT, 0) / size + left * head[of] * cont / begun[of]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            held = context[c].astype(float)
+            back = np.where(held > 0, DISCOUNT * context[f"{c}_kinds"] / held, 1.0)
+            share = np.where(held[after] > 0, np.maximum(pairs[c] - DISCOUNT, 0) / held[after], 0.0)
+        log["head"].append(np.log(left * head))  # of a word not counted itself
+        log["word"].append(np.log(word))
+        log["context"].append(np.log(back))
+        log["pair"].append(np.log(share + back[after] * word[behind]))
+    gain = {k: (v[1] - v[0]).astype(np.float32) for k, v in log.items() if v}
+    return {
+        "head": (heads, gain["head"]),
+        "word": (words["key"], gain["word"]),
+        "context": (context["before"], gain["context"]),
+        "pair": (pairs["key"], gain["pair"] - gain["word"][behind]),
+    }
+
+
+def _columns(df: DataFrame, *names: str) -> dict[str, np.ndarray]:
+    """Columns of a bounded frame; hashes as unsigned numbers."""
+    table = df.select(*names).toArrow()
+    out = {k: table.column(k).to_numpy() for k in names}
+    return {k: v.view(np.uint64) if k in ("key", "before", "of") else v for k, v in out.items()}
+
+
+def gains(model: dict, words: np.ndarray, heads: np.ndarray, before: np.ndarray):
+    """The gain of each word, and what its predecessor adds."""
+
+    def look(name: str, hashes: np.ndarray):
+        known, gain = model[name]
+        at, found = place(known, hashes)
+        return (np.where(found, gain[at], 0) if len(known) else np.zeros(len(hashes))), found
+
+    single, counted = look("word", words)
+    single = np.where(counted, single, look("head", heads)[0])
+    added, paired = look("pair", pair_hash(before, words))
+    return single, np.where(paired, added, look("context", before)[0])
 
 
 def features(docs: DataFrame, model: dict) -> DataFrame:
-    """doc_id, n_words, mean_gain and top_gain: the log-likelihood difference for each word, of the
-    whole text and of its most toxic stretch."""
+    """doc_id, n_words and the log-likelihood differences of ``NAMES``."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
         for batch in batches:
             for rows, data, offsets in text_slices(batch):
-                words, heads, firsts = _read(data, offsets)
-                part = np.minimum(m["of_word"][words] / m["of_head"][heads], 1.0)
-                log = [
-                    np.log(
-                        m["word", c][words]
-                        + m["left", "word", c] * m["head", c][heads] * part
-                    )
-                    for c in ("ordinary", "toxic")
-                ]
-                total = np.r_[0.0, np.cumsum((log[1] - log[0]).astype(np.float64))]
-                n = np.diff(firsts)
-                mean = (total[firsts[1:]] - total[firsts[:-1]]) / np.maximum(n, 1)
-                # stretches end at every word; in its first words a text has shorter ones
-                row = row_of(firsts)
-                end = np.arange(1, len(words) + 1)
-                begin = np.maximum(end - WINDOW, firsts[row])
-                gain = (total[end] - total[begin]) / np.minimum(WINDOW, n[row])
-                top = np.zeros(len(rows))
+                words, heads, before, firsts = _read(data, offsets)
+                n, row = np.diff(firsts), row_of(firsts)
                 some = np.flatnonzero(n)
-                if len(some):
-                    top[some] = np.maximum.reduceat(gain, firsts[some])
+                out = []
+                for gain, sizes in zip(
+                    gains(sent.value, words, heads, before), (STRETCHES, (1,)), strict=True
+                ):
+                    total = np.r_[0.0, np.cumsum(gain.astype(np.float64))]
+                    out.append((total[firsts[1:]] - total[firsts[:-1]]) / np.maximum(n, 1))
+                    for size in sizes:
+                        # stretches end at every word; in its first words a text has shorter ones
+                        end = np.arange(1, len(words) + 1)
+                        begin = np.maximum(end - size, firsts[row])
+                        mean = (total[end] - total[begin]) / np.minimum(size, n[row])
+                        top = np.zeros(len(rows))
+                        if len(some):
+                            top[some] = np.maximum.reduceat(mean, firsts[some])
+                        out.append(top)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(n), pa.array(mean), pa.array(top)],
-                    ["doc_id", "n_words", "mean_gain", "top_gain"],
+                    [rows.column(0), pa.array(n), *map(pa.array, out)], ["doc_id", "n_words", *NAMES]
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_words long, mean_gain double, top_gain double"
-    )
+    kinds = ", ".join(f"{name} double" for name in NAMES)
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, n_words long, {kinds}")
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -187,7 +296,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 
 
 def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """doc_id, held_out, score, predicted, n_words, mean_gain and top_gain of every document."""
+    """doc_id, held_out, score, predicted, n_words and the gains of every document."""
     model = fit(docs, labels, max_labelled)
     held = (fold() == HELD_OUT).alias("held_out")
     if model is None:
@@ -197,12 +306,11 @@ def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
             F.lit(0.0).alias("score"),
             F.lit(0).alias("predicted"),
             F.lit(0).cast("long").alias("n_words"),
-            F.lit(0.0).alias("mean_gain"),
-            F.lit(0.0).alias("top_gain"),
+            *[F.lit(0.0).alias(name) for name in NAMES],
         )
     found = kept_table(features(docs, model), "toxicity")
     found = found.withColumn("log_words", F.log1p("n_words"))  # longer texts have higher tops
-    names = ["mean_gain", "top_gain", "log_words"]
+    names = [*NAMES, "log_words"]
     sample = label_sample(labels.where(fold() == CALIBRATION), "toxic", max_labelled)
     rows = found.join(F.broadcast(sample), "doc_id").select(*names, "label").toArrow()
     x = np.stack([rows.column(k).to_numpy() for k in names], 1)
@@ -212,11 +320,11 @@ def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
         w = logistic((x - middle) / scale, y)
         weights, shift = w[:-1] / scale, w[-1] - float((w[:-1] / scale) @ middle)
     else:
-        weights, shift = np.array([0.0, 4.0, 0.0]), -4.0
+        weights, shift = np.array([0.0, 4.0, 0.0, 0.0, 0.0, 0.0]), -4.0
     z = F.lit(float(shift))
     for name, weight in zip(names, weights, strict=True):
         z = z + F.col(name) * float(weight)
     z = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))
     found = found.withColumn("score", 1 / (1 + F.exp(-z)))
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
-    return found.select("doc_id", held, "score", predicted, "n_words", *names[:2])
+    return found.select("doc_id", held, "score", predicted, "n_words", *NAMES)

@@ -15,7 +15,8 @@ compared, each pair of blocks by one task; it gives back counts of links and a s
 them, never the pairs of a group. Equal vectors are one before blocks are made.
 
 Vectors that are missing, empty, zero or hold missing or non-finite numbers link with nothing, and
-vectors of different lengths do not link. Rows that repeat a vec_id count as vectors of their own.
+vectors of different lengths do not link. Rows that repeat a vec_id count as vectors of their own:
+classes of equal vectors have numbers of their own, and ids are looked up in the end.
 """
 
 from __future__ import annotations
@@ -145,9 +146,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     rows = kept_table(prepared(vectors, least), "vectors")
     able = rows.where("size > 0 AND vec_id IS NOT NULL")
     classes = kept_table(
-        able.groupBy("vec", "size", "cell").agg(
-            F.min("vec_id").alias("class"), F.count("*").alias("n")
-        ),
+        able.groupBy("vec", "size", "cell")
+        .agg(F.min("vec_id").alias("first"), F.count("*").alias("n"))
+        .withColumn("class", F.monotonically_increasing_id()),
         "vector-classes",
     )
     # a number for each cell: cells are bounded by the projections' range, not by the rows
@@ -233,15 +234,18 @@ def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
         found.where("NOT link").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("other"))
     )
     joined = components(found.where("link").select("a", "b")).toDF("class", "component")
-    known = (
+    numbered = (
         classes.join(counts, "class", "left")
         .join(joined, "class", "left")
         .select(
-            "vec", "size", "cell",
+            "vec", "size", "cell", "first",
             (F.coalesce("other", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-            F.coalesce("component", "class").alias("component"),
+            F.coalesce("component", "class").alias("number"),
         )
     )
+    # the smallest id of each component
+    least_id = numbered.groupBy("number").agg(F.min("first").alias("component"))
+    known = numbered.drop("first").join(least_id, "number").drop("number")
     linked_rows = (
         able.select("vec_id", "vec", "size", "cell")
         .join(known, ["vec", "size", "cell"])
