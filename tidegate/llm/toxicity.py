@@ -41,8 +41,8 @@ MAX_LABELLED = 20_000
 DISCOUNT = 1.0
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 4
 START = np.uint64(1)  # stands before a text's first word
-KINDS = ("beginning", "word", "pair")
-FLUSH = 2_000_000  # pairs a task holds before it passes them on
+HEAD, WORD, PAIR = 0, 1, 2
+FLUSH = 6_000_000  # pairs a task holds before it passes them on
 NAMES = ("mean_gain", "top_gain", "long_gain", "mean_pair", "top_pair")
 
 
@@ -66,43 +66,46 @@ def fold() -> F.Column:
 
 
 def class_counts(docs: DataFrame, sample: DataFrame) -> DataFrame:
-    """kind, key, before and head (hashes), ordinary and toxic: labelled documents that hold each."""
+    """kind, before and of (hashes), ordinary and toxic: labelled documents that hold each beginning
+    (of), each word (of) with its beginning (before), and each word (of) behind its predecessor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in text_slices(batch):
                 words, heads, before, firsts = _read(data, offsets)
+                if not len(words):
+                    continue
                 row = row_of(firsts)
                 label = rows.column(2).to_numpy(zero_copy_only=False)
-                keys = (heads, words, pair_hash(before, words))
-                for kind, key in enumerate(keys):
+                nothing = np.zeros(len(words), np.uint64)
+                for kind, (one, two, key) in enumerate(
+                    ((nothing, heads, heads), (heads, words, words), (before, words, None))
+                ):
+                    key = pair_hash(before, words) if key is None else key
                     # each once for a row; then rows are added up by class
                     order = np.lexsort((row, key))
                     key, own = key[order], row[order]
-                    once = np.ones(len(key), bool)
-                    once[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1])
-                    at, toxic = order[once], label[own[once]]
-                    new = np.flatnonzero(np.r_[True, np.diff(key[once]) > 0][: len(at)])
-                    each = [np.add.reduceat((toxic == c).astype(np.int64), new) for c in (0, 1)] if len(
-                        new
-                    ) else [np.zeros(0, np.int64)] * 2
-                    at = at[new]
-                    shown = [keys[kind][at], before[at] if kind == 2 else np.zeros(len(at), np.uint64)]
-                    shown.append((words if kind == 2 else heads)[at])
+                    once = np.r_[True, (key[1:] != key[:-1]) | (own[1:] != own[:-1])]
+                    key, toxic, order = key[once], label[own[once]] == 1, order[once]
+                    new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+                    at = order[new]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(len(at), kind, np.int8)),
-                            *[pa.array(x.view(np.int64)) for x in shown],
-                            *[pa.array(x) for x in each],
+                            *[pa.array(x[at].view(np.int64)) for x in (one, two)],
+                            *[
+                                pa.array(np.add.reduceat(x.astype(np.int32), new).astype(np.int32))
+                                for x in (~toxic, toxic)
+                            ],
                         ],
-                        ["kind", "key", "before", "of", "ordinary", "toxic"],
+                        ["kind", "before", "of", "ordinary", "toxic"],
                     )
 
     return (
         with_labels(docs, sample)
         .where("label IS NOT NULL")
-        .mapInArrow(run, "kind byte, key long, before long, of long, ordinary long, toxic long")
-        .groupBy("kind", "key", "before", "of")
+        .mapInArrow(run, "kind byte, before long, of long, ordinary int, toxic int")
+        .groupBy("kind", "before", "of")
         .agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
     )
 
@@ -124,10 +127,9 @@ def continuations(docs: DataFrame, known: np.ndarray) -> DataFrame:
                 if sum(map(len, held)) > FLUSH:
                     held = [np.unique(np.concatenate(held))]
                     if len(held[0]) > FLUSH // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(held.pop().view(np.int64))], ["pair"])
+                        yield from _in_parts(held.pop())
         if held:
-            last = np.unique(np.concatenate(held)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(last)], ["pair"])
+            yield from _in_parts(np.unique(np.concatenate(held)))
 
     return (
         docs.select("text")
@@ -138,6 +140,13 @@ def continuations(docs: DataFrame, known: np.ndarray) -> DataFrame:
     )
 
 
+def _in_parts(pairs: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sorted pairs as batches; in this order they take half the room in a shuffle."""
+    for low in range(0, len(pairs), 100_000):
+        part = pairs[low : low + 100_000].view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(part)], ["pair"])
+
+
 def place(known: np.ndarray, hashes: np.ndarray):
     """Where the hashes stand in the sorted ``known`` ones, and whether they do."""
     at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
@@ -152,11 +161,6 @@ def class_sample(labels: DataFrame, bound: int) -> DataFrame:
     return classes[0].unionByName(classes[1])
 
 
-def _shares(n: np.ndarray):
-    """Discounted shares, and the share that is left to the backoff."""
-    return np.maximum(n - DISCOUNT, 0) / n.sum(), DISCOUNT * np.count_nonzero(n) / n.sum()
-
-
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> dict | None:
     """Gains of beginnings, words, predecessors and pairs; None without both classes.
 
@@ -171,20 +175,19 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
         *[F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in ("ordinary", "toxic")],
     )
     totals = {r.kind: r for r in totals.collect()}
-    if 1 not in totals or not totals[1].ordinary or not totals[1].toxic:
+    if WORD not in totals or not totals[WORD].ordinary or not totals[WORD].toxic:
         return None
-    words = _columns(found.where((F.col("kind") == 1) & often), "key", "of", "ordinary", "toxic")
-    order = np.argsort(words["key"])
-    words = {k: v[order] for k, v in words.items()}
-    cont = np.ones(len(words["key"]))
-    before = _columns(continuations(docs, words["key"]), "at", "n")
-    cont[before["at"].astype(np.int64)] = before["n"]
-    heads, of = np.unique(words["of"], return_inverse=True)
+    words = _columns(found.where((F.col("kind") == WORD) & often), "before", "of", "ordinary", "toxic")
+    words = _sorted(words, "of")
+    cont = np.ones(len(words["of"]))
+    ways = _columns(continuations(docs, words["of"]), "at", "n")
+    cont[ways["at"]] = ways["n"]
+    heads, of = np.unique(words["before"], return_inverse=True)
     begun = np.bincount(of, weights=cont, minlength=len(heads))
-    seen = _columns(found.where(F.col("kind") == 0), "key", "ordinary", "toxic")
-    at, known = place(heads, seen["key"])
+    seen = _columns(found.where(F.col("kind") == HEAD), "of", "ordinary", "toxic")
+    at, known = place(heads, seen["of"])
     # predecessors of whose pairs one at least counts; of others the backoff is the same
-    pairs = found.where(F.col("kind") == 2)
+    pairs = found.where(F.col("kind") == PAIR)
     context = pairs.groupBy("before").agg(
         *[F.sum(c).alias(c) for c in ("ordinary", "toxic")],
         *[F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in ("ordinary", "toxic")],
@@ -193,20 +196,18 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     context = _columns(
         context.where("often"), "before", "ordinary", "toxic", "ordinary_kinds", "toxic_kinds"
     )
-    order = np.argsort(context["before"])
-    context = {k: v[order] for k, v in context.items()}
-    pairs = _columns(pairs.where(often), "key", "before", "of", "ordinary", "toxic")
-    order = np.argsort(pairs["key"])
-    pairs = {k: v[order] for k, v in pairs.items()}
-    behind, _ = place(words["key"], pairs["of"])
+    context = _sorted(context, "before")
+    pairs = _columns(pairs.where(often), "before", "of", "ordinary", "toxic")
+    pairs = _sorted(pairs | {"key": pair_hash(pairs["before"], pairs["of"])}, "key")
+    behind, _ = place(words["of"], pairs["of"])
     after, _ = place(context["before"], pairs["before"])
     log: dict[str, list[np.ndarray]] = {k: [] for k in ("head", "new", "word", "context", "pair")}
     for c in ("ordinary", "toxic"):
         n = np.zeros(len(heads))
         n[at[known]] = seen[c][known]
-        size, kinds = float(totals[0][c]), float(totals[0][f"{c}_kinds"])
+        size, kinds = float(totals[HEAD][c]), float(totals[HEAD][f"{c}_kinds"])
         head = np.maximum(n - DISCOUNT, 0) / size + DISCOUNT * kinds / size * begun / begun.sum()
-        size, kinds = float(totals[1][c]), float(totals[1][f"{c}_kinds"])
+        size, kinds = float(totals[WORD][c]), float(totals[WORD][f"{c}_kinds"])
         left = DISCOUNT * kinds / size
         word = np.maximum(words[c] - DISCOUNT, 0) / size + left * head[of] * cont / begun[of]
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -220,7 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     gain = {k: (v[1] - v[0]).astype(np.float32) for k, v in log.items() if v}
     return {
         "head": (heads, gain["head"]),
-        "word": (words["key"], gain["word"]),
+        "word": (words["of"], gain["word"]),
         "context": (context["before"], gain["context"]),
         "pair": (pairs["key"], gain["pair"] - gain["word"][behind]),
     }
@@ -230,7 +231,12 @@ def _columns(df: DataFrame, *names: str) -> dict[str, np.ndarray]:
     """Columns of a bounded frame; hashes as unsigned numbers."""
     table = df.select(*names).toArrow()
     out = {k: table.column(k).to_numpy() for k in names}
-    return {k: v.view(np.uint64) if k in ("key", "before", "of") else v for k, v in out.items()}
+    return {k: v.view(np.uint64) if k in ("before", "of") else v for k, v in out.items()}
+
+
+def _sorted(columns: dict[str, np.ndarray], key: str) -> dict[str, np.ndarray]:
+    order = np.argsort(columns[key])
+    return {k: v[order] for k, v in columns.items()}
 
 
 def gains(model: dict, words: np.ndarray, heads: np.ndarray, before: np.ndarray):
