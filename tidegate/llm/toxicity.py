@@ -18,7 +18,7 @@ to their words, on the whole and at the most toxic place.
 
 Counts by class come from at most ``max_labelled`` labelled documents, half of them of each class at
 most; continuation counts from all. Pairs are counted under hashes of 64 bits, continuation pairs
-under as many bits as 64 leave beside the number of the word. Missing and empty texts score like a text
+under 40, which confuse fewer than one in 20,000 of as many as 10^8 words before a word. Missing and empty texts score like a text
 without evidence. Without labelled documents of both classes every score is 0. Rows may repeat;
 other columns are not read.
 """
@@ -42,6 +42,7 @@ DISCOUNT = 1.0
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 4
 START = np.uint64(1)  # stands before a text's first word
 HEAD, WORD, PAIR = 0, 1, 2
+PAIR_BITS = 40  # of the word before
 FLUSH = 6_000_000  # pairs a task holds before it passes them on
 NAMES = ("mean_gain", "top_gain", "long_gain", "mean_pair", "top_pair")
 
@@ -112,17 +113,17 @@ def class_counts(docs: DataFrame, sample: DataFrame) -> DataFrame:
 
 def continuations(docs: DataFrame, known: np.ndarray) -> DataFrame:
     """at (the place in ``known``, sorted hashes) and n, the number of distinct words before it."""
-    bits = max(int(len(known) - 1).bit_length(), 1)
+    bits = min(PAIR_BITS, 64 - max(int(len(known) - 1).bit_length(), 1))
     sent = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        keep = np.uint64(64 - bits)
+        own, rest = np.uint64(bits), np.uint64(64 - bits)
         for batch in batches:
             for _, data, offsets in text_slices(batch):
                 words, _, before, _ = _read(data, offsets)
                 at, found = place(sent.value, words)
-                pair = (at[found].astype(np.uint64) << keep) | (mix(before[found]) >> np.uint64(bits))
+                pair = (at[found].astype(np.uint64) << own) | (mix(before[found]) >> rest)
                 held.append(np.unique(pair))
                 if sum(map(len, held)) > FLUSH:
                     held = [np.unique(np.concatenate(held))]
@@ -135,7 +136,7 @@ def continuations(docs: DataFrame, known: np.ndarray) -> DataFrame:
         docs.select("text")
         .mapInArrow(run, "pair long")
         .distinct()
-        .groupBy(F.shiftrightunsigned("pair", 64 - bits).alias("at"))
+        .groupBy(F.shiftrightunsigned("pair", bits).alias("at"))
         .agg(F.count("*").alias("n"))
     )
 
