@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.frames import kept_table, label_sample, with_labels
+from tidegate.llm.frames import Kept, kept_table, label_sample, with_labels
 from tidegate.llm.textbytes import LOWER, WORD_BYTES, mix, row_of, span_hashes, spans, text_slices
 
 PREFIX = 5  # bytes
@@ -169,7 +169,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     of its documents hold, and totals.
     """
     train = labels.where((fold() != HELD_OUT) & (fold() != CALIBRATION))
-    found = kept_table(class_counts(docs, class_sample(train, max_labelled)), "class-counts")
+    kept = Kept(docs.sparkSession)
+    found = kept.table(class_counts(docs, class_sample(train, max_labelled)), "class-counts")
     often = (F.col("ordinary") > 1) | (F.col("toxic") > 1)
     totals = found.groupBy("kind").agg(
         *[F.sum(c).alias(c) for c in ("ordinary", "toxic")],
@@ -177,14 +178,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     )
     totals = {r.kind: r for r in totals.collect()}
     if WORD not in totals or not totals[WORD].ordinary or not totals[WORD].toxic:
+        kept.drop_all_but()
         return None
     words = _columns(found.where((F.col("kind") == WORD) & often), "before", "of", "ordinary", "toxic")
     words = _sorted(words, "of")
-    cont = np.ones(len(words["of"]))
-    ways = _columns(continuations(docs, words["of"]), "at", "n")
-    cont[ways["at"]] = ways["n"]
     heads, of = np.unique(words["before"], return_inverse=True)
-    begun = np.bincount(of, weights=cont, minlength=len(heads))
     seen = _columns(found.where(F.col("kind") == HEAD), "of", "ordinary", "toxic")
     at, known = place(heads, seen["of"])
     # predecessors of whose pairs one at least counts; of others the backoff is the same
@@ -202,6 +200,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     pairs = _sorted(pairs | {"key": pair_hash(pairs["before"], pairs["of"])}, "key")
     behind, _ = place(words["of"], pairs["of"])
     after, _ = place(context["before"], pairs["before"])
+    kept.drop_all_but()
+    cont = np.ones(len(words["of"]))
+    ways = _columns(continuations(docs, words["of"]), "at", "n")
+    cont[ways["at"]] = ways["n"]
+    begun = np.bincount(of, weights=cont, minlength=len(heads))
     log: dict[str, list[np.ndarray]] = {k: [] for k in ("head", "new", "word", "context", "pair")}
     for c in ("ordinary", "toxic"):
         n = np.zeros(len(heads))
