@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from checks.loads import BY_YEAR, _upserted_sql
 from checks.registry import query
 from checks.sources import _COLUMNS, _FREEFORM, _NAMED, CAUGHT_UP, PRIMARY_KEYS_SQL, SRC
 from checks.windows import _MONTHS
+from tidegate.operators import reconcile as R
 from tidegate.plans import flows as runs
 from tidegate.plans.loads import read_target, replace_load
 from tidegate.schemas import CONTROL
@@ -149,7 +151,11 @@ SELECT 'orders' AS table_uid, '1998-06-15 04:05:06' AS loaded_at, *,
     as_text="begin_date end_date",
 )
 def batched_window_status(spark, sf):
-    """The progress rows of a split load, from the measured days."""
+    """The progress rows of a split load's date windows, from the loaded rows."""
+    return _window_rows(spark, sf).where("begin_date IS NOT NULL")
+
+
+def _window_rows(spark, sf):
     run = make_run(
         spark,
         sf,
@@ -160,6 +166,157 @@ def batched_window_status(spark, sf):
     return read_target(spark, run.windows_path)
 
 
+@query(
+    f"""{SRC}, n AS (SELECT count(*) AS c,
+  count(CASE WHEN CAST(last_update_date AS DATE) <= DATE '1998-06-30' THEN 1 END) AS inside FROM src)
+SELECT 'windows' AS part, inside AS row_count FROM n
+UNION ALL SELECT 'undated', 0 FROM n UNION ALL SELECT 'outside', c - inside FROM n"""
+)
+def batched_window_remainder(spark, sf):
+    """Rows in windows, without a date and beyond all windows: together, all rows of the source."""
+    part = F.when(F.col("begin_date").isNotNull(), "windows").otherwise(F.col("window_id"))
+    return _window_rows(spark, sf).groupBy(part.alias("part")).agg(F.sum("row_count").alias("row_count"))
+
+
+@query(
+    f"""{SRC} SELECT kind, CAST(o_orderkey AS VARCHAR) AS value, o_totalprice
+FROM src, (VALUES ('batched'), ('batches')) v(kind)
+UNION ALL SELECT kind, 'Full ' || schedule || ' 1998-06-14 04:00:00 ' || (SELECT count(*) FROM src), NULL
+FROM (VALUES ('batched', 'false'), ('batches', 'Batches')) v(kind, schedule)"""
+)
+def batched_flow_undated(spark, sf):
+    """Sources whose update dates are all missing: targets, stamps and schedules stay as they were."""
+    src = fx.src_orders(spark, sf)
+    undated = src.withColumn("last_update_date", F.lit(None).cast("timestamp_ntz"))
+    items = [
+        {"table_uid": kind, "source_table": kind, "load_type": "Full", **more}
+        for kind, more in (("batched", {"batched": "true"}), ("batches", {"schedule": "Batches"}))
+    ]
+    run = make_run(
+        spark, sf, items, read={k: lambda: undated for k in ("batched", "batches")},
+        window_cost="row_count",
+    )
+    for kind in ("batched", "batches"):
+        replace_load(src, f"{run.target_root}/dw/{kind}")
+    runs.run_batched(run)
+    runs.run_scheduled(run)
+    rows = run.control().selectExpr(
+        "table_uid AS kind",
+        "concat_ws(' ', load_type, schedule, last_update_date, source_row_count) AS value",
+        "CAST(NULL AS DOUBLE) AS o_totalprice",
+    )
+    for kind in ("batched", "batches"):
+        held = read_target(spark, f"{run.target_root}/dw/{kind}")
+        rows = rows.unionByName(
+            held.selectExpr(f"'{kind}' AS kind", "CAST(o_orderkey AS STRING) AS value", "o_totalprice")
+        )
+    return rows
+
+
+@query(
+    f"""{SRC}, holes AS (SELECT o_orderkey FROM src WHERE o_orderkey % 3 = 0)
+SELECT 'rows' AS state, CAST(o_orderkey AS VARCHAR) AS value FROM src
+UNION ALL SELECT 'control', 'CDC ' || count(*) || ' ' || count(*) FROM src
+UNION ALL SELECT 'undated', CAST(count(*) AS VARCHAR) FROM holes"""
+)
+def batched_flow_loads_remainder(spark, sf):
+    """A third of the rows has no date; told to, the run loads them too and the counts agree."""
+    src = fx.src_orders(spark, sf)
+    holes = src.withColumn("last_update_date", F.expr("CASE WHEN o_orderkey % 3 <> 0 THEN last_update_date END"))
+    run = make_run(
+        spark, sf,
+        [{"table_uid": "orders", "source_table": "holes", "load_type": "Full", "batched": "true"}],
+        read={"holes": lambda: holes}, window_cost="row_count", remainder="load",
+    )
+    run = _after_the_data(run)
+    runs.run_batched(run)
+    control = run.control().selectExpr(
+        "'control' AS state", "concat_ws(' ', load_type, source_row_count, target_row_count) AS value"
+    )
+    undated = read_target(spark, run.windows_path).where("window_id = 'undated'")
+    return (
+        read_target(spark, f"{run.target_root}/dw/holes")
+        .selectExpr("'rows' AS state", "CAST(o_orderkey AS STRING) AS value")
+        .unionByName(control)
+        .unionByName(undated.selectExpr("'undated' AS state", "CAST(row_count AS STRING) AS value"))
+    )
+
+
+@query(
+    f"""{SRC} SELECT 'rows' AS state, CAST(o_orderkey AS VARCHAR) AS value FROM src
+UNION ALL SELECT 'control', 'CDC ' || count(*) FROM src
+UNION ALL SELECT 'beyond the limit', '0'"""
+)
+def batched_flow_hot_day(spark, sf):
+    """A third of the rows on one day: the day is cut into time ranges, and no window is beyond the limit."""
+    src = fx.src_orders(spark, sf)
+    hot = src.withColumn(
+        "last_update_date",
+        F.expr(
+            "CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP_NTZ'1998-02-03 00:00:00'"
+            " + make_dt_interval(0, 0, 0, pmod(hash(o_orderkey), 86400)) ELSE last_update_date END"
+        ),
+    )
+    limit = src.count() // 20
+    run = make_run(
+        spark, sf,
+        [{"table_uid": "orders", "source_table": "hot", "load_type": "Full", "batched": "true"}],
+        read={"hot": lambda: hot}, window_cost="row_count", window_limit=limit,
+    )
+    run = _after_the_data(run)
+    runs.run_batched(run)
+    control = run.control().selectExpr("'control' AS state", "concat_ws(' ', load_type, target_row_count) AS value")
+    status = read_target(spark, run.windows_path).where("begin_date IS NOT NULL")
+    beyond = status.where(F.col("row_count") > limit).agg(F.count("*").cast("string").alias("value"))
+    return (
+        read_target(spark, f"{run.target_root}/dw/hot")
+        .selectExpr("'rows' AS state", "CAST(o_orderkey AS STRING) AS value")
+        .unionByName(control)
+        .unionByName(beyond.select(F.lit("beyond the limit").alias("state"), "value"))
+    )
+
+
+@query(
+    """SELECT o_orderkey AS table_uid, 'CDC' AS load_type,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'true' ELSE 'false' END AS schedule,
+  CAST(o_custkey AS BIGINT) AS target_row_count,
+  CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 5 END AS priority FROM orders"""
+)
+def control_fold(spark, sf):
+    """A control row for each order: edits and results added out of order, twice, and an older result last."""
+    orders = fx.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("table_uid"), "o_custkey")
+    key = F.col("table_uid").cast("bigint")
+    fields = CONTROL.fieldNames()
+    defined = orders.select(
+        "table_uid", F.lit("src").alias("source_table"), F.lit("Full").alias("load_type"),
+        F.lit("Batches").alias("schedule"), F.lit(5).alias("priority"),
+    )
+    def result(at, rows, load_type):
+        return orders.select(
+            "table_uid", F.lit(load_type).alias("load_type"), F.lit("loaded").alias("outcome"),
+            rows.cast("bigint").alias("source_count"), rows.cast("bigint").alias("rows_after"),
+            F.lit(0).cast("bigint").alias("rows_before"), F.lit(0).cast("bigint").alias("processed"),
+            F.lit(False).alias("load_error"), F.lit("").alias("load_error_message"),
+            F.lit("").alias("extract_error"), F.lit(True).alias("promote"), F.lit(at).alias("finished_at"),
+            F.lit(None).cast("string").alias("min_update_date"), F.lit(None).cast("string").alias("max_update_date"),
+            F.lit("").alias("prior_update_date"), F.lit(False).alias("count_failed"), F.lit(True).alias("scheduled"),
+        )
+
+    late, early = result("1998-06-15 05:00:00", F.col("o_custkey"), "Full"), result("1998-06-14 05:00:00", key, "CDC")
+    again = orders.where(key % 3 == 0).select("table_uid", F.lit("true").alias("schedule"))
+    first = orders.where(key % 4 == 0).select("table_uid", F.lit(1).alias("priority"))
+    facts = [
+        R.result_facts(late),
+        R.as_facts(again, ["schedule"], F.lit("1998-06-15 06:00:00"), True),
+        R.as_facts(defined, fields, F.lit(""), True),
+        R.result_facts(late),
+        R.as_facts(first, ["priority"], F.lit("1998-06-01 00:00:00"), True),
+        R.result_facts(early),
+    ]
+    folded = R.fold_control(reduce(lambda a, b: a.unionByName(b), facts))
+    return folded.select(key.alias("table_uid"), "load_type", "schedule", "target_row_count", "priority")
+
+
 def _fails_once(frame):
     """A source that cannot be read the first time it is asked for."""
     asked = []
@@ -367,13 +524,13 @@ def metadata_flow(spark, sf):
 
 @query(_FREEFORM)
 def freeform_flow(spark, sf):
-    for name in ("customer", "nation", "region", "orders"):
-        fx.table(spark, sf, name).createOrReplaceTempView(name)
+    names = ("customer", "nation", "region", "orders")
     run = make_run(
         spark,
         sf,
         [{"table_uid": "people", "source_table": "people", "load_type": "FreeForm",
           "created": "false", "freeform_sql": _FREEFORM, "freeform_truncate": "true"}],
+        tables={n: fx.table(spark, sf, n) for n in names},
     )
     runs.run_freeform(run)
     return read_target(spark, f"{run.target_root}/dw/people")

@@ -287,3 +287,19 @@ def daily_change_load(spark, sf):
         F.lit(True).alias("promote"),
     )
     return next_load_type(load_tally(counted)).drop("load_error", "promote")
+
+
+@query(
+    """SELECT o_orderkey, CAST(o_custkey AS DOUBLE) + CASE WHEN o_orderkey % 2 = 1 THEN 0.5 ELSE 0 END
+    AS amount, CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS priority FROM orders""",
+)
+def grown_layout(spark, sf):
+    """A target that gains a column and a wider type; its earlier files are read with them."""
+    target, orders = _target(spark), fx.table(spark, sf, "orders")
+    old = orders.where("o_orderkey % 2 = 0").selectExpr("o_orderkey", "CAST(o_custkey AS INT) AS amount")
+    new = orders.where("o_orderkey % 2 = 1").selectExpr(
+        "o_orderkey", "o_custkey + 0.5D AS amount", "o_orderpriority AS priority"
+    )
+    L.append_load(old, target)
+    L.append_load(new, target)
+    return L.read_target(spark, target)

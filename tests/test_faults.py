@@ -31,7 +31,7 @@ def test_retried_tasks_do_not_change_rows_or_counts(spark, tmp_path):
         target = str(tmp_path / name)
         done = L.replace_load(flaky(spark, first, schema), target, piece_by)
         assert done.rows_after == L.read_target(spark, target).count() == 1000
-        path = L.stage_raw(flaky(spark, changes, schema), str(tmp_path), name, "load")
+        path = L.stage_raw(flaky(spark, changes, schema), str(tmp_path / "raw"), name, "load")
         staged = L.read_staged(spark, path, L.read_target(spark, target).schema)
         done = L.upsert_load(staged, target, ["id"], ["last_update_date"])
         assert (done.rows_before, done.rows_after, done.processed) == (1000, 1100, 200)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from checks import fixtures as fx
 from checks.flows import make_run
 from tidegate.plans import flows
 from tidegate.plans.loads import read_target, replace_load
-from tidegate.plans.snapshots import TargetTable
+from tidegate.plans.tables import Target
 from tidegate.sources.landing import read_landing_csv
 
 
@@ -62,26 +63,29 @@ def test_targets_are_cut_as_declared_whatever_their_size(spark, sf):
     by_month = "date_format(creation_date, 'yyyyMM')"
     run = make_run(spark, sf, items("Full"), pieces={"*": by_month})
     flows.run_regular(run)
-    table = TargetTable(spark, f"{run.target_root}/s0/orders_src")
-    before = set(table.current().folders)
+    def files():
+        found = Path(f"{run.target_root}/s0/orders_src").glob("__piece=*/*.parquet")
+        return {(f.parent.name.split("=")[1], f.name) for f in found}
+
+    before = files()
     months = fx.src_orders(spark, sf).selectExpr("date_format(creation_date, 'yyyyMM')").distinct()
-    assert {f.piece for f in before} == {r[0] for r in months.collect()}
+    assert {f[0] for f in before} == {r[0] for r in months.collect()}
     run.as_of += timedelta(days=1)
     run.clock = lambda: datetime(1998, 6, 16, 1, 0, 0)
     flows.run_regular(run)
-    after = set(table.current().folders)
+    after = files()
     # the day's changes rewrite the months they were created in, and no other
-    assert {f.piece for f in after - before} <= {"199805", "199806"}
-    assert len(before & after) >= len(before) - 2
+    assert {f[0] for f in after - before} <= {"199805", "199806"}
+    assert {f[0] for f in before - after} <= {"199805", "199806"}
     plain = make_run(spark, sf, items("Full"))
     flows.run_regular(plain)
-    assert TargetTable(spark, f"{plain.target_root}/s0/orders_src").current().piece_by is None
+    assert Target(spark, f"{plain.target_root}/s0/orders_src").layout().piece_by is None
     # a table without the column stays whole
     lines = {"table_uid": "l", "source_table": "lineitem", "load_type": "Full",
              "has_update_date": "false"}
     other = make_run(spark, sf, [lines], pieces={"*": by_month})
     flows.run_regular(other)
-    assert TargetTable(spark, f"{other.target_root}/dw/lineitem").current().piece_by is None
+    assert Target(spark, f"{other.target_root}/dw/lineitem").layout().piece_by is None
 
 
 def failing(times, frame):
@@ -154,13 +158,7 @@ def test_a_scheduled_load_without_dates_keeps_its_target(spark, sf):
     assert run.control().first().schedule == "Full"
 
 
-def test_two_runs_beside_each_other_keep_both_results(spark, sf, monkeypatch):
-    run = make_run(spark, sf, items("Full", "Full"))
-    control = run.control().collect()
-    other = run.control().filter("table_uid = 't1'")
-    first, second = ([i] for i in flows.work_list(run, flows.sel.route(run.control()).drop("route")))
-    assert len(control) == 2 and other.count() == 1
-
+def plain_steps(run):
     def steps(item, name):
         return flows.Steps(
             lambda: flows._count(run, item),
@@ -168,32 +166,55 @@ def test_two_runs_beside_each_other_keep_both_results(spark, sf, monkeypatch):
             lambda staged: flows._load(run, item, staged),
         )
 
-    # the second run ends between the first one's read of the control table and its commit
-    real, calls = flows._control_after, []
+    return steps
+
+
+def due(run):
+    return flows.work_list(run, flows.sel.route(run.control()).drop("route"))
+
+
+def test_two_runs_beside_each_other_keep_both_results(spark, sf, monkeypatch):
+    run = make_run(spark, sf, items("Full", "Full"))
+    first, second = ([i] for i in due(run))
+    real, calls = flows._record, []
 
-    def between(now, results):
-        merged = real(now, results)
+    def between(run, result, scheduled):
+        # the second run starts, ends and records while the first one is about to record
         if not calls:
             calls.append(1)
-            flows._run_items(run, second, steps)
-        return merged
+            flows._run_items(run, second, plain_steps(run))
+        real(run, result, scheduled)
 
-    monkeypatch.setattr(flows, "_control_after", between)
-    flows._run_items(run, first, steps)
+    monkeypatch.setattr(flows, "_record", between)
+    flows._run_items(run, first, plain_steps(run))
     rows = uid_rows(run.control())
     assert rows["t0"].load_type == rows["t1"].load_type == "CDC"
     assert run.stats().filter("load_status = 'Success'").count() == 2
 
 
+def test_an_older_result_recorded_late_does_not_win(spark, sf):
+    """Two runs of one table: the one that ended first records last."""
+    run = make_run(spark, sf, items("Full"))
+    (item,) = due(run)
+    blank = flows._blank(item, (10, None, None), None)
+    late = {**blank, "finished_at": "1998-06-15 09:00:00", "rows_after": 10, "file_name": "late"}
+    early = {**blank, "finished_at": "1998-06-15 08:00:00", "rows_after": 3, "file_name": "early"}
+    for result in (late, early, late):
+        flows._record(run, result, False)
+    row = run.control().first()
+    assert (row.target_row_count, row.load_type) == (10, "CDC")
+    assert row.last_update_date == "1998-06-15 09:00:00"
+    assert run.results().count() == 2
+
+
 def test_a_change_of_control_during_a_run_stays(spark, sf):
     run = make_run(spark, sf, items("Full"))
-    table = TargetTable(spark, run.control_path)
     source = run.read
 
     def read(name):
         if not changed:
             changed.append(1)
-            table.merge(lambda now: now.withColumn("priority", F.lit(9)))
+            flows.edit_control(run, run.control().select("table_uid", F.lit(9).alias("priority")))
         return source(name)
 
     changed = []
@@ -203,28 +224,101 @@ def test_a_change_of_control_during_a_run_stays(spark, sf):
     assert (row.priority, row.load_type) == (9, "CDC")
 
 
-def test_results_of_a_run_that_died_are_merged_by_the_next(spark, sf, monkeypatch):
+def test_edits_after_a_result_stay_in_force(spark, sf):
+    """A table is told to load whole again; no later start puts the result back over it."""
+    run = make_run(spark, sf, items("Full"))
+    flows.run_regular(run)
+    assert run.control().first().load_type == "CDC"
+    edit = run.control().select(
+        "table_uid", F.lit("true").alias("schedule"), F.lit("Full").alias("load_type"),
+        F.lit("1998-06-14 00:00:00").alias("last_update_date"),
+    )
+    flows.edit_control(run, edit, at="1998-06-15 07:00:00")
+    assert flows.run_regular(run) == []  # scheduled now
+    row = run.control().first()
+    assert (row.schedule, row.load_type) == ("true", "Full")
+    run.clock = lambda: datetime(1998, 6, 15, 8, 0, 0)
+    (done,) = flows.run_scheduled(run)
+    assert done["outcome"] == "loaded"
+    assert run.control().first().schedule == "false"
+
+
+def test_results_of_a_run_that_died_are_known_to_the_next(spark, sf, monkeypatch):
     run = make_run(spark, sf, items("Full", "Full"))
-    real = flows.merge_results
+    real = flows._record
 
-    def dies(run):
-        if TargetTable(spark, run.journal_path).exists():
-            raise KeyboardInterrupt
-        real(run)
+    def dies(run, result, scheduled):
+        real(run, result, scheduled)
+        raise KeyboardInterrupt
 
-    monkeypatch.setattr(flows, "merge_results", dies)
+    monkeypatch.setattr(flows, "_record", dies)
     with pytest.raises(KeyboardInterrupt):
-        flows._run_items(run, flows.work_list(run, flows.sel.route(run.control()).drop("route")),
-                         lambda item, name: flows.Steps(
-                             lambda: flows._count(run, item),
-                             lambda _: flows._stage(run, item, name, run.read(item.source_table)),
-                             lambda staged: flows._load(run, item, staged)))
-    monkeypatch.setattr(flows, "merge_results", real)
-    assert {r.load_type for r in run.control().collect()} == {"Full"}
-    assert flows.run_regular(run) == []  # both ran today
+        flows._run_items(run, due(run), plain_steps(run))
+    monkeypatch.setattr(flows, "_record", real)
+    assert sorted(r.load_type for r in run.control().collect()) == ["CDC", "Full"]
+    (done,) = flows.run_regular(run)  # the other one ran today
+    assert done["table_uid"] == "t1"
     assert {r.load_type for r in run.control().collect()} == {"CDC"}
 
 
+def test_what_a_flow_writes_does_not_grow_with_its_history(spark, sf):
+    run = make_run(spark, sf, items("Full"))
+    written = []
+    for day in range(3):
+        held = {p for p in Path(run.stats_path).rglob("*.parquet")}
+        run.as_of, run.clock = datetime(1998, 6, 15 + day).date(), lambda d=day: datetime(1998, 6, 15 + d, 4)
+        flows.run_regular(run)
+        new = {p for p in Path(run.stats_path).rglob("*.parquet")} - held
+        assert held <= {p for p in Path(run.stats_path).rglob("*.parquet")}
+        written.append((len(new), sum(p.stat().st_size for p in new)))
+    assert {n for n, _ in written} == {2}
+    assert max(size for _, size in written) < 1.1 * min(size for _, size in written)
+    before, told = sorted(map(tuple, run.stats().collect())), run.control().collect()
+    for day in range(3):
+        flows.tidy(run, datetime(1998, 6, 15 + day).date())
+    assert sorted(map(tuple, run.stats().collect())) == before
+    assert run.control().collect() == told
+
+
+@pytest.mark.parametrize("flow", ["batched", "Batches", "true"])
+def test_a_source_without_any_date_keeps_its_target(spark, sf, flow):
+    src = fx.src_orders(spark, sf)
+    undated = src.withColumn("last_update_date", F.lit(None).cast("timestamp_ntz"))
+    settings = {"batched": "true"} if flow == "batched" else {"schedule": flow}
+    run = make_run(spark, sf, items("Full", **settings), read={"orders_src": lambda: undated},
+                   window_cost="row_count")
+    target = f"{run.target_root}/s0/orders_src"
+    replace_load(src, target)
+    (done,) = (flows.run_batched if flow == "batched" else flows.run_scheduled)(run)
+    assert done["outcome"] == "extract_failed" and "date window" in done["extract_error"]
+    assert read_target(spark, target).count() == src.count()
+    row = run.control().first()
+    assert row.last_update_date == "1998-06-14 04:00:00" and row.load_type == "Full"
+
+
+def test_rules_for_rows_without_a_window(spark, sf):
+    src = fx.src_orders(spark, sf)
+    holes = src.withColumn(
+        "last_update_date", F.when(F.col("o_orderkey") % 5 > 0, F.col("last_update_date"))
+    )
+    for rule, kind, outcome in (
+        ("report", {"batched": "true"}, "loaded"), ("load", {"batched": "true"}, "loaded"),
+        ("fail", {"batched": "true"}, "extract_failed"), ("load", {"schedule": "true"}, "loaded"),
+        ("fail", {"schedule": "true"}, "extract_failed"),
+    ):
+        run = make_run(spark, sf, items("Full", **kind), read={"orders_src": lambda: holes},
+                       window_cost="row_count", remainder=rule)
+        run.as_of = fx.DATA_END
+        (done,) = (flows.run_batched if "batched" in kind else flows.run_scheduled)(run)
+        assert done["outcome"] == outcome, (rule, kind)
+        left = holes.where("last_update_date IS NULL").count()
+        if outcome == "loaded":
+            assert done["left_out"] == (left if rule == "report" else 0)
+            assert done["processed"] == src.count() - done["left_out"]
+            assert run.stats().first().left_out_rows == str(done["left_out"])
+            assert run.control().first().load_type == ("Full" if rule == "report" else "CDC")
+
+
 def test_a_target_without_a_name_is_a_failure_with_a_message(spark, sf):
     run = make_run(
         spark, sf,
@@ -340,8 +434,8 @@ def test_freeform_appends_unless_told_to_truncate(spark, sf, tmp_path):
             [{"table_uid": "n", "source_table": "n", "freeform_truncate": truncate, **free}],
         )
         flows.run_freeform(run)
-        again = run.control().withColumn("last_update_date", F.lit(""))
-        flows.start_control(spark, again, run.control_path)
+        again = run.control().select("table_uid", F.lit("").alias("last_update_date"))
+        flows.edit_control(run, again)
         run.clock = lambda: datetime(1998, 6, 15, 5, 0, 0)
         run.stats_export = str(tmp_path / truncate)
         (done,) = flows.run_freeform(run)

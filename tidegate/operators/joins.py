@@ -103,19 +103,33 @@ def assign_window(
     windows: DataFrame,
     updated: str = "last_update_date",
     span: tuple[date, date] | None = None,
+    remainder: bool = False,
 ) -> DataFrame:
     """Attaches ``window_id`` to each row in one pass; rows outside all windows drop out.
 
     Windows become their days, so the match is an equality on the day and not a range join. The
-    number of days is bounded by the calendar span, not by the rows. ``span``, the first and last
-    day of all windows where they are known, is pushed to the scan.
+    number of days is bounded by the calendar span, not by the rows. Where windows have a
+    ``begin_at`` (``split_days``), a day's windows come as one list, and the last one that has
+    begun takes the row. ``span``, the first and last day of all windows where they are known, is
+    pushed to the scan. With ``remainder`` no row drops out: those without a date are in the
+    window ``undated``, other ones beyond all windows in ``outside``.
     """
-    if span is not None:
+    if span is not None and not remainder:
         df = date_range(df, *span, updated)
-    days = windows.select(
-        "window_id", F.explode(F.sequence("begin_date", "end_date")).alias("_day")
-    )
-    return df.join(days, trunc_day(updated) == F.col("_day")).drop("_day")
+    days = windows.withColumn("_day", F.explode(F.sequence("begin_date", "end_date")))
+    if "begin_at" in windows.columns:
+        parts = F.struct(F.col("begin_at").alias("at"), F.col("window_id").alias("id"))
+        days = days.groupBy("_day").agg(F.array_sort(F.collect_list(parts)).alias("_parts"))
+        at = F.col(updated).cast("timestamp_ntz")
+        begun = F.filter("_parts", lambda p: p["at"].isNull() | (p["at"] <= at))
+        own = F.get(begun, F.size(begun) - 1)["id"]
+    else:
+        days, own = days.select(F.col("window_id").alias("_id"), "_day"), F.col("_id")
+    joined = df.join(days, trunc_day(updated) == F.col("_day"), "left" if remainder else "inner")
+    if remainder:
+        rest = F.when(F.col(updated).isNull(), "undated").otherwise("outside")
+        own = F.coalesce(own, rest)
+    return joined.select(*df.columns, own.alias("window_id"))
 
 
 def union_windows(*extracts: DataFrame) -> DataFrame:

@@ -7,8 +7,9 @@ far smaller than the data they describe.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from tidegate.operators.selection import (
     order_work,
     select_snapshot,
 )
+from tidegate.schemas import CONTROL
 from tidegate.sources.landing import CSV_OPTIONS
 
 # Statuses of a file, and the moves from full to change loading.
@@ -27,8 +29,10 @@ IN_PROGRESS, SUCCESS, FAILED, NO_ROWS = (
     "Failed",
     "Success - No rows returned",
 )
+UNDATED, OUTSIDE = "undated", "outside"  # windows of the rows that no date window covers
 PROMOTIONS = {"Full": "CDC", "Special_Full": "Special_CDC"}
 
+ZERO_ROW_FIELDS = ("last_update_date", "zero_rows")
 RESULT_FIELDS = (
     "last_update_date",
     "source_row_count",
@@ -152,20 +156,22 @@ def apply_success(control: DataFrame, settled: DataFrame) -> DataFrame:
     return merge_by_key(control, _written(settled), "table_uid", RESULT_FIELDS)
 
 
-def apply_zero_rows(control: DataFrame, results: DataFrame) -> DataFrame:
-    """An empty extract moves the stamp and sets the flag; nothing else changes."""
-    done = results.select(
+def _zero_rows(results: DataFrame) -> DataFrame:
+    return results.select(
         "table_uid",
         F.col("finished_at").alias("last_update_date"),
         F.lit(True).alias("zero_rows"),
     )
-    return merge_by_key(control, done, "table_uid", ("last_update_date", "zero_rows"))
 
 
-def apply_extract_failure(control: DataFrame, results: DataFrame) -> DataFrame:
-    """Counts and message of a failed extract; the stamp stays, so the table runs again."""
+def apply_zero_rows(control: DataFrame, results: DataFrame) -> DataFrame:
+    """An empty extract moves the stamp and sets the flag; nothing else changes."""
+    return merge_by_key(control, _zero_rows(results), "table_uid", ZERO_ROW_FIELDS)
+
+
+def _extract_failure(results: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("bigint")
-    failed = results.select(
+    return results.select(
         "table_uid",
         F.col("source_count").alias("source_row_count"),
         zero.alias("target_row_count"),
@@ -181,17 +187,15 @@ def apply_extract_failure(control: DataFrame, results: DataFrame) -> DataFrame:
         zero.alias("inserted_rows"),
         zero.alias("updated_rows"),
     )
-    return merge_by_key(control, failed, "table_uid", RESULT_FIELDS[1:])
 
 
-def apply_schedule_done(control: DataFrame, settled: DataFrame) -> DataFrame:
-    """Results of a scheduled load: the schedule is off, error and tally fields are blank.
+def apply_extract_failure(control: DataFrame, results: DataFrame) -> DataFrame:
+    """Counts and message of a failed extract; the stamp stays, so the table runs again."""
+    return merge_by_key(control, _extract_failure(results), "table_uid", RESULT_FIELDS[1:])
 
-    A failed load keeps its schedule and stamp and records the error.
-    """
-    failed = F.coalesce(F.col("load_error"), F.lit(False))
-    good, bad = settled.filter(~failed), settled.filter(failed)
-    done = _written(good).withColumns(
+
+def _schedule_done(settled: DataFrame) -> DataFrame:
+    return _written(settled).withColumns(
         {
             "load_error": F.lit(False),
             "load_error_message": F.lit(""),
@@ -200,10 +204,79 @@ def apply_schedule_done(control: DataFrame, settled: DataFrame) -> DataFrame:
             "schedule": F.lit("false"),
         }
     )
+
+
+def apply_schedule_done(control: DataFrame, settled: DataFrame) -> DataFrame:
+    """Results of a scheduled load: the schedule is off, error and tally fields are blank.
+
+    A failed load keeps its schedule and stamp and records the error.
+    """
+    failed = F.coalesce(F.col("load_error"), F.lit(False))
+    good, bad = settled.filter(~failed), settled.filter(failed)
+    done = _schedule_done(good)
     control = merge_by_key(control, done, "table_uid", (*RESULT_FIELDS, "schedule"))
     return apply_success(control, bad)
 
 
+# control as a fold of facts ------------------------------------------------------------------
+
+
+def as_facts(updates: DataFrame, fields: Sequence[str], at: Column, edited: bool) -> DataFrame:
+    """``updates`` as facts: what each of ``fields`` is from ``at`` on."""
+    shown = [
+        (F.col(f.name) if f.name in updates.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in CONTROL.fields
+    ]
+    names = F.array(*[F.lit(name) for name in fields])
+    return updates.select(*shown, names.alias("fields"), at.alias("at"), F.lit(edited).alias("edited"))
+
+
+def result_facts(results: DataFrame) -> DataFrame:
+    """What runs have found out, from their results as they were recorded."""
+    loaded, scheduled = F.col("outcome") == "loaded", F.coalesce(F.col("scheduled"), F.lit(False))
+    failed = F.coalesce(F.col("load_error"), F.lit(False))
+    settled = settle(results.filter(loaded))
+    empty = results.filter(F.col("outcome") == "empty")
+    unread = results.filter(F.col("outcome") == "extract_failed")
+    off = scheduled & ~failed
+    kinds = [
+        (settled.filter(~off), _written, RESULT_FIELDS),
+        (settled.filter(off), _schedule_done, (*RESULT_FIELDS, "schedule")),
+        (empty, _zero_rows, ZERO_ROW_FIELDS),
+        (unread, _extract_failure, RESULT_FIELDS[1:]),
+    ]
+    facts = []
+    for rows, updates, fields in kinds:
+        stamped = updates(rows.withColumn("table_uid", F.struct("table_uid", "finished_at")))
+        found = stamped.withColumns(
+            {"table_uid": F.col("table_uid.table_uid"), "_at": F.col("table_uid.finished_at")}
+        )
+        facts.append(as_facts(found, fields, F.col("_at"), False))
+    return reduce(DataFrame.unionByName, facts)
+
+
+def fold_control(facts: DataFrame) -> DataFrame:
+    """The control table: for each table and field the latest fact, of equally late ones an edit.
+
+    The order in which facts arrive, and facts that arrive twice, make no difference. Tables that were
+    never defined (no edit of their source) are left out.
+    """
+    whole = F.struct("at", "edited", F.hash(*CONTROL.fieldNames()).alias("any"))
+
+    def latest(name: str) -> Column:
+        when = F.when(F.array_contains("fields", name), whole)
+        return F.max_by(F.col(name), when).alias(name)
+
+    fields = [n for n in CONTROL.fieldNames() if n != "table_uid"]
+    defined = F.max(F.col("edited") & F.array_contains("fields", "source_table"))
+    return (
+        facts.groupBy("table_uid")
+        .agg(*[latest(n) for n in fields], defined.alias("_defined"))
+        .where("_defined")
+        .select(*CONTROL.fieldNames())
+    )
+
+
 def apply_batch_progress(control: DataFrame, settled: DataFrame) -> DataFrame:
     """The ten fields a windowed load writes; error and tally fields are left alone."""
     return merge_by_key(control, _written(settled), "table_uid", RESULT_FIELDS[:10])
@@ -232,6 +305,29 @@ def window_progress(assigned: DataFrame, windows: DataFrame, rows: str = "1") ->
     )
 
 
+def remainder(days: DataFrame, windows: DataFrame) -> DataFrame:
+    """Rows of a measured source that no window covers: ``undated`` and ``outside``.
+
+    ``days`` has a row per day (missing for rows without a date) with its row_count; with the rows
+    of the windows they add up to the source's count.
+    """
+    covered = windows.select(F.explode(F.sequence("begin_date", "end_date")).alias("_day"))
+    left = days.join(covered.distinct(), F.col("day") == F.col("_day"), "left_anti")
+    undated = F.col("day").isNull()
+    found = left.agg(
+        *[
+            F.coalesce(F.sum(F.when(hit, F.col("row_count"))), F.lit(0)).cast("bigint").alias(name)
+            for name, hit in ((UNDATED, undated), (OUTSIDE, ~undated))
+        ]
+    )
+    return found.select(
+        F.explode(F.array(*[
+            F.struct(F.lit(name).alias("window_id"), F.col(name).alias("row_count"))
+            for name in (UNDATED, OUTSIDE)
+        ])).alias("x")
+    ).select("x.*")
+
+
 def stats_put_if_absent(stats: DataFrame, new: DataFrame) -> DataFrame:
     """Adds items whose file name is new, the earliest of several; existing items win."""
     columns = stats.columns

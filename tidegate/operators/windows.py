@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidegate.functions.dates import month_start, week_start
+from tidegate.functions.dates import month_start, trunc_day, week_start
 
+ACCURACY = 10_000  # of quantiles of a day's update times
 DEFAULT_START = date(2022, 9, 1)  # fixed value: first month when a table has no earliest update
 
 
@@ -136,3 +137,59 @@ def adaptive_windows(
         "cost",
         (F.col("cost") > limit).alias("oversize"),
     )
+
+
+def split_days(
+    df: DataFrame, windows: DataFrame, limit: int, updated: str = "last_update_date"
+) -> DataFrame:
+    """The windows, with single days beyond the limit cut into time ranges of about equal rows.
+
+    Ranges begin at quantiles of the day's update times, twice as many as the limit asks for since
+    quantiles are approximate. One pass over the oversize days gathers them, in summaries that merge.
+    A range ends where the next one of its day begins; ``begin_at`` is NULL where a window begins
+    with its day. Rows of one moment cannot be parted: their range may stay beyond the limit. Costs of
+    ranges are the day's, divided.
+    """
+    large = windows.where(F.col("oversize") & (F.col("begin_date") == F.col("end_date"))).select(
+        F.col("window_id").alias("_id"), F.col("begin_date").alias("_day"),
+        (F.ceil(F.col("cost") / limit) * 2).alias("_n"),
+    )
+    most = large.agg(F.max("_n")).first()[0]  # one row per oversize day is looked at
+    none = F.lit(None).cast("timestamp_ntz")
+    if most is None:
+        return windows.withColumn("begin_at", none)
+    marks = F.array(*[F.lit(k / most) for k in range(1, most)])
+    times = df.select(trunc_day(updated).alias("_day"), F.col(updated).cast("timestamp_ntz").alias("_at"))
+    ranked = (
+        times.join(large, "_day")
+        .groupBy("_id", "_n")
+        .agg(
+            F.percentile_approx("_at", marks, ACCURACY).alias("_marks"), F.min("_at").alias("_first")
+        )
+    )
+    # every most/n-th quantile; those at the day's first time would leave its first range empty
+    chosen = F.filter(
+        F.array_distinct(
+            F.transform(
+                F.sequence(F.lit(1), F.col("_n") - 1),
+                lambda k: F.get("_marks", (F.floor(k * most / F.col("_n")) - 1).cast("int")),
+            )
+        ),
+        lambda m: m > F.col("_first"),
+    )
+    begins = ranked.select(
+        "_id", F.size(chosen).alias("_more"),
+        F.posexplode(F.concat(F.array(none), chosen)).alias("_k", "begin_at"),
+    )
+    cut = windows.join(begins, F.col("window_id") == F.col("_id"), "left")
+    cost = F.ceil(F.col("cost") / (F.coalesce("_more", F.lit(0)) + 1)).cast("bigint")
+    part = F.concat_ws("-", "window_id", F.lpad(F.col("_k").cast("string"), 4, "0"))
+    changed = {
+        "window_id": F.when(F.col("_more") > 0, part).otherwise(F.col("window_id")),
+        "grain": F.when(F.col("_more") > 0, "time").otherwise(F.col("grain")),
+        "cost": cost,
+        "oversize": cost > limit,
+    }
+    return cut.select(
+        *[changed[c].alias(c) if c in changed else F.col(c) for c in windows.columns], "begin_at"
+    )

@@ -1,18 +1,21 @@
 """The five flows of a run: regular, batched, scheduled, metadata and free-form loads.
 
 Only the work list (one row per table to load) and one result per table come to the driver; rows
-of source and target tables stay in Spark jobs. Each table's result is appended to a journal;
-control and statistics are merged from it once at the end of a flow, and at the start of the next
-one if a run died. Merges are committed against the version they read and made again when another
-run has committed in between, so runs beside each other do not undo their results.
+of source and target tables stay in Spark jobs.
+
+State is a set of facts that are only ever added: edits of the control table, files entered when a flow
+starts, and one result per table and load, recorded as it is done. Control and statistics are
+folds of these: each control field has the value of its latest fact. So runs beside each other, a
+run that died, or a result recorded twice cannot undo anything, and what a flow writes does not
+depend on how much there is already.
 
 A source that could not be counted is not an empty one: loads that are split or empty their table
-by date end as failed extracts, others go on but are never promoted.
+by date end as failed extracts, others go on but are never promoted. Nor is a source empty of whose
+counted rows none is staged.
 """
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
@@ -29,12 +32,12 @@ from tidegate.operators import reconcile as R
 from tidegate.operators import selection as sel
 from tidegate.operators import windows as win
 from tidegate.operators.joins import assign_window, keep_latest, parse_keys, primary_keys
+from tidegate.functions.dates import trunc_day
 from tidegate.functions.clean import NA_TOKENS
 from tidegate.operators.slices import CREATED, UPDATED, cdc_day_slice, owner_filter
 from tidegate.plans import loads
-from tidegate.plans.snapshots import TargetTable
-from tidegate.schemas import CONTROL, LOAD_STATS, RUN_JOURNAL, WINDOW_STATUS
-from tidegate.session import drop_path, small_frame, work_path
+from tidegate.schemas import CONTROL, CONTROL_FACTS, LOAD_STATS, RUN_JOURNAL, WINDOW_STATUS
+from tidegate.session import drop_path, path_exists, small_frame, work_path
 from tidegate.sources.tables import scan_freeform, scan_projected
 
 # Rows of one window, and its staged bytes (fixed value).
@@ -86,33 +89,53 @@ class IngestRun:
     # spellings of a missing value, and whether the letters null are deleted inside values
     na_tokens: tuple[str, ...] = NA_TOKENS
     strip_null: bool = False
-    # versions of control, statistics and journal that stay readable; of targets, None keeps all
-    keep_versions: int = 5
-    keep_target_versions: int | None = None
+    # rows of a split or scheduled load that no date window covers: reported, loaded beside the
+    # windows, or a failure of the load
+    remainder: str = "report"
     # tables loaded at the same time; those of one target always follow each other
     parallel: int = 1
+    # frames that free-form queries may name beside the session's tables
+    tables: dict[str, DataFrame] | None = None
     # folder for the exported statistics items of free-form loads
     stats_export: str | None = None
 
     # tables of the run ---------------------------------------------------------------------
 
     def control(self) -> DataFrame:
-        return loads.read_target(self.spark, self.control_path)
+        """The control table: of each field, the latest of edits and results."""
+        edits = _facts(self.spark, f"{self.control_path}/edits", CONTROL_FACTS)
+        return R.fold_control(edits.unionByName(R.result_facts(self.results())))
+
+    def results(self) -> DataFrame:
+        """What loads have recorded, each once."""
+        return _facts(self.spark, self.results_path, RUN_JOURNAL).dropDuplicates(["file_name", "table_uid"])
 
     def stats(self) -> DataFrame:
-        loads.create_if_missing(self.spark, self.stats_path, LOAD_STATS)
-        return loads.read_target(self.spark, self.stats_path)
+        """The statistics: files as they were entered, moved on by what happened to them."""
+        entered = _facts(self.spark, self.entered_path, LOAD_STATS)
+        first = R.stats_put_if_absent(entered.limit(0), entered)
+        ended = keep_latest(self.results(), ["file_name"], ["finished_at"])
+        left = ended.select(
+            F.col("file_name").alias("_ended"), F.col("left_out").cast("string").alias("left_out_rows")
+        )
+        moved = R.stats_transition(first, _happened(ended))
+        return moved.join(left, F.col("file_name") == F.col("_ended"), "left").drop("_ended")
+
+    @property
+    def entered_path(self) -> str:
+        """Files as flows enter them, by day."""
+        return f"{self.stats_path}/entered"
+
+    @property
+    def results_path(self) -> str:
+        """Results as loads record them, by day."""
+        return f"{self.stats_path}/results"
 
     @property
     def windows_path(self) -> str:
         """Progress rows of loads split by date."""
         return f"{self.stats_path}_windows"
 
-    @property
-    def journal_path(self) -> str:
-        """Results that are not merged into control and statistics yet."""
-        return f"{self.control_path}_journal"
-
     def target_path(self, item: Row) -> str:
         if not item.target_schema or not item.target_table:
             raise ValueError(f"{item.table_uid}: no target schema or table name")
@@ -134,9 +157,50 @@ class IngestRun:
         return self.clock().strftime(STAMP)
 
 
+def _facts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Facts that were added below a path; none where nothing was."""
+    if not path_exists(spark, path):
+        return small_frame(spark, [], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
+def _add(df: DataFrame, path: str, *days: str) -> None:
+    df.write.mode("append").partitionBy(*days).parquet(path)
+
+
 def start_control(spark: SparkSession, control: DataFrame, path: str) -> None:
-    """Writes control rows (as ``read_control`` gives them) as the run's control table."""
-    loads.replace_load(control.select(CONTROL.fieldNames()), path)
+    """Defines the control table by these rows (as ``read_control`` gives them), earlier than any result."""
+    facts = R.as_facts(control, CONTROL.fieldNames(), F.lit(""), True)
+    facts.write.mode("overwrite").parquet(f"{path}/edits")
+
+
+def edit_control(run: IngestRun, changes: DataFrame, at: str | None = None) -> None:
+    """Sets the columns of ``changes`` for its tables, from ``at`` on; a later result may set them again.
+
+    A row with all control fields defines a new table.
+    """
+    fields = [c for c in changes.columns if c != "table_uid"]
+    facts = R.as_facts(changes, fields, F.lit(at or run.now()), True)
+    facts.write.mode("append").parquet(f"{run.control_path}/edits")
+
+
+def tidy(run: IngestRun, day: date) -> None:
+    """Puts the results and entered files of a day together in few files; what they say stays the same."""
+    for path, schema, days in (
+        (run.results_path, RUN_JOURNAL, ["day"]),
+        (run.entered_path, LOAD_STATS, ["year", "month", "day"]),
+    ):
+        facts = _facts(run.spark, path, schema)
+        values = {"year": f"{day:%Y}", "month": f"{day:%m}", "day": f"{day:%d}"}
+        if days == ["day"]:
+            values = {"day": f"{day:%Y-%m-%d}"}
+        for name, value in values.items():
+            facts = facts.where(F.col(name) == value)
+        (
+            facts.dropDuplicates().hint("rebalance")
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*days).parquet(path)
+        )
 
 
 def work_list(run: IngestRun, selected: DataFrame) -> list[Row]:
@@ -257,9 +321,7 @@ def _announce(run: IngestRun, items: list[Row]) -> dict[str, str]:
         }
         for item in items
     ]
-    run.stats()  # creates the table
-    entered = small_frame(run.spark, new, LOAD_STATS)
-    TargetTable(run.spark, run.stats_path).merge(lambda now: R.stats_put_if_absent(now, entered))
+    _add(small_frame(run.spark, new, LOAD_STATS), run.entered_path, "year", "month", "day")
     return names
 
 
@@ -292,6 +354,8 @@ def _load_one(run: IngestRun, item: Row, steps: Steps, empty_is_loaded: bool) ->
         if steps.needs_count and count_error is not None:
             raise RuntimeError(f"the source could not be counted: {count_error}")
         staged = steps.extract(counted)
+        if steps.needs_count and counted[0] and staged.isEmpty():
+            raise ValueError(f"none of {counted[0]} source rows is in a date window")
     except Exception as error:
         result.update(outcome="extract_failed", extract_error=_first_line(error))
     result["extract_end"] = run.now()
@@ -306,8 +370,6 @@ def _load_one(run: IngestRun, item: Row, steps: Steps, empty_is_loaded: bool) ->
                 result["left_out"] = max(result["source_count"] - done.processed, 0)
             if not done.processed and not empty_is_loaded:
                 result["outcome"] = "empty"
-            if run.keep_target_versions is not None:
-                TargetTable(run.spark, done.path).expire(run.keep_target_versions)
         except Exception as error:
             result.update(load_error=True, load_error_message=_first_line(error))
             result.update(source_count=0, rows_before=0, rows_after=0, processed=0)
@@ -316,41 +378,10 @@ def _load_one(run: IngestRun, item: Row, steps: Steps, empty_is_loaded: bool) ->
 
 
 def _record(run: IngestRun, result: dict, scheduled: bool) -> None:
-    """Appends one table's result to the journal."""
-    row = {f: result.get(f) for f in RUN_JOURNAL.fieldNames()} | {"scheduled": scheduled}
-    loads.append_load(small_frame(run.spark, [row], RUN_JOURNAL), run.journal_path)
-
-
-def merge_results(run: IngestRun) -> None:
-    """Merges the journal into control and statistics, one commit each, and empties it.
-
-    Repeating it after a failure half-way writes the same values again.
-    """
-    loads.create_if_missing(run.spark, run.journal_path, RUN_JOURNAL)
-    run.stats()
-    journal = TargetTable(run.spark, run.journal_path)
-    held = journal.current().folders
-    if not held:
-        return
-    results = journal.read_folders(journal.current(), list(held))
-    latest = keep_latest(results, ["table_uid"], ["finished_at"])
-    ended = keep_latest(results, ["file_name"], ["finished_at"])
-    TargetTable(run.spark, run.control_path).merge(lambda now: _control_after(now, latest))
-    TargetTable(run.spark, run.stats_path).merge(
-        lambda now: R.stats_transition(now, _happened(ended))
-    )
-    merged = set(held)
-    journal.change_folders(lambda now: tuple(f for f in now if f not in merged))
-    for path in (run.control_path, run.stats_path, run.journal_path):
-        TargetTable(run.spark, path).expire(run.keep_versions)
-
-
-def _control_after(control: DataFrame, results: DataFrame) -> DataFrame:
-    loaded, scheduled = F.col("outcome") == "loaded", F.col("scheduled")
-    control = R.apply_success(control, R.settle(results.filter(loaded & ~scheduled)))
-    control = R.apply_schedule_done(control, R.settle(results.filter(loaded & scheduled)))
-    control = R.apply_zero_rows(control, results.filter(F.col("outcome") == "empty"))
-    return R.apply_extract_failure(control, results.filter(F.col("outcome") == "extract_failed"))
+    """Adds one table's result to the facts."""
+    row = {f: result.get(f) for f in RUN_JOURNAL.fieldNames()}
+    row |= {"scheduled": scheduled, "day": f"{run.as_of:%Y-%m-%d}"}
+    _add(small_frame(run.spark, [row], RUN_JOURNAL), run.results_path, "day")
 
 
 def _happened(results: DataFrame) -> DataFrame:
@@ -380,7 +411,7 @@ def _run_items(
 ) -> list[dict]:
     """Loads the listed tables in order, ``run.parallel`` at a time.
 
-    Results are journaled here, by one thread, as each table is done, and merged at the end.
+    Results are recorded here, by one thread, as each table is done.
     """
     if not items:
         return []
@@ -408,22 +439,15 @@ def _run_items(
                 for result in ended.result():
                     done.append(result)
                     _record(run, result, scheduled)
-    merge_results(run)
     return done
 
 
-def _control(run: IngestRun) -> DataFrame:
-    """The control table, with what an earlier run may have left in the journal."""
-    merge_results(run)
-    return run.control()
-
-
 # the flows ---------------------------------------------------------------------------------
 
 
 def run_regular(run: IngestRun) -> list[dict]:
     """Change, full, projected, validation and metadata loads that are not split by date."""
-    routed = sel.route(sel.select_regular(_control(run)))
+    routed = sel.route(sel.select_regular(run.control()))
 
     def steps(item: Row, name: str) -> Steps:
         def extract(_) -> DataFrame:
@@ -441,41 +465,74 @@ def _written_once(run: IngestRun, df: DataFrame, path: str) -> DataFrame:
     return run.spark.read.schema(df.schema).parquet(path)
 
 
-def plan_windows(run: IngestRun, sizes: DataFrame, min_update_date) -> DataFrame:
-    """The window set of a full load, decided from measured sizes before any extract."""
+def plan_windows(
+    run: IngestRun, sizes: DataFrame, min_update_date, source: DataFrame | None = None
+) -> DataFrame:
+    """The window set of a full load, decided from measured sizes before any extract.
+
+    With the ``source``, days beyond the limit are cut into time ranges.
+    """
     span = T.StructType([T.StructField("min_update_date", T.TimestampNTZType())])
     first = small_frame(run.spark, [{"min_update_date": min_update_date}], span)
     months = win.month_windows(first, run.as_of)
     dated = sizes.filter(F.col("day").isNotNull())
     limit = run.window_limit or WINDOW_LIMITS[run.window_cost]
-    return win.adaptive_windows(dated, months, limit, run.window_cost)
+    windows = win.adaptive_windows(dated, months, limit, run.window_cost)
+    return windows if source is None else win.split_days(source, windows, limit)
 
 
 def _windowed(
-    run: IngestRun, item: Row, name: str, windows: DataFrame, source_rows: int
+    run: IngestRun, item: Row, name: str, windows: DataFrame, source_rows: int, whole: bool = True
 ) -> DataFrame:
     """Stages the rows of all windows in one pass over the days the windows span.
 
-    No window for a source that has rows is a failure, never an empty extract.
+    No window for a source that has rows is a failure, never an empty extract. ``whole`` loads are
+    to take every row: what no window covers is loaded or a failure where the run says so.
     """
     source = run.read(item.source_table)
     span = windows.agg(F.min("begin_date"), F.max("end_date")).first()
     if span[0] is None and source_rows:
         raise ValueError(f"no date window covers any of {source_rows} source rows")
     span = tuple(span) if span[0] is not None else None
-    dated = assign_window(source, windows, UPDATED, span)
+    rest = run.remainder if whole else "report"
+    if rest == "fail":
+        left = R.remainder(C.measure_days(source, UPDATED), windows).agg(F.sum("row_count")).first()[0]
+        if left:
+            raise ValueError(f"no date window covers {left} of {source_rows} source rows")
+    dated = assign_window(source, windows, UPDATED, span, remainder=rest == "load")
     if item.load_type == "Special_Full":
         dated = scan_projected(dated, f"{item.return_fields}, window_id")
     return _stage(run, item, name, dated, "window_id")
 
 
+def _progress(run: IngestRun, item: Row, days: DataFrame, windows: DataFrame, name: str) -> DataFrame:
+    """Progress of each window, from what was loaded, and of the rows that no window covers.
+
+    The loaded rows' dates are read from the target's files, one column; where the select list left the
+    date out, or days are cut into ranges, the staged files are counted.
+    """
+    loaded = loads.read_target(run.spark, run.target_path(item))
+    if UPDATED in [c.lower() for c in loaded.columns] and "begin_at" not in windows.columns:
+        sizes = loaded.groupBy(trunc_day(UPDATED).alias("day")).agg(F.count("*").alias("row_count"))
+        spread = windows.select("window_id", F.explode(F.sequence("begin_date", "end_date")).alias("day"))
+        sizes = sizes.join(spread, "day")
+    else:
+        path = f"{run.raw_root}/{item.raw_prefix.strip('/')}/{name}"
+        sizes = loads.staged_per_window(run.spark, path, [*loaded.columns], "window_id")
+    progress = R.window_progress(sizes, windows, rows="row_count")
+    left = R.remainder(days, windows).withColumn("zero_rows", F.col("row_count") == 0)
+    return progress.unionByName(left, allowMissingColumns=True).withColumns(
+        {"table_uid": F.lit(item.table_uid), "loaded_at": F.lit(run.now())}
+    )
+
+
 def run_batched(run: IngestRun) -> list[dict]:
     """Full loads split into date windows; the table is emptied once, windows load in one pass.
 
     One scan of the source measures its days, for the counts and for the windows; a second one
     extracts.
     """
-    routed = sel.route(sel.select_batched(_control(run)))
+    routed = sel.route(sel.select_batched(run.control()))
 
     def steps(item: Row, name: str) -> Steps:
         work = work_path(run.spark, "windows")
@@ -495,29 +552,22 @@ def run_batched(run: IngestRun) -> list[dict]:
 
         def extract(counted: tuple) -> DataFrame:
             chosen = plan_windows(run, measure(), counted[1])
-            frames["windows"] = _written_once(run, chosen, f"{work}/windows")
-            staged = _windowed(run, item, name, frames["windows"], counted[0])
-            loaded = loads.staged_per_window(
-                run.spark, f"{run.raw_root}/{item.raw_prefix.strip('/')}/{name}",
-                staged.columns, "window_id",
-            )
-            frames["progress"] = _written_once(run, loaded, f"{work}/progress")
-            return staged
+            if chosen.where("oversize").isEmpty():
+                frames["windows"] = _written_once(run, chosen, f"{work}/windows")
+            else:
+                source = run.read(item.source_table)
+                cut = plan_windows(run, measure(), counted[1], source)
+                frames["windows"] = _written_once(run, cut, f"{work}/windows")
+            return _windowed(run, item, name, frames["windows"], counted[0])
 
         def load(staged: DataFrame) -> loads.LoadResult:
             target = run.target_path(item)
             done = loads.replace_load(
                 staged, target, run.piece_by(item, staged), clear_when_empty=True
             )
-            progress = R.window_progress(frames["progress"], frames["windows"], rows="row_count")
-            named = progress.withColumns(
-                {"table_uid": F.lit(item.table_uid), "loaded_at": F.lit(run.now())}
-            )
-            try:
-                loads.create_if_missing(run.spark, run.windows_path, WINDOW_STATUS)
-                loads.append_load(named, run.windows_path)
-            except Exception as error:  # the table is loaded all the same
-                logging.getLogger(__name__).warning("no window progress: %s", _first_line(error))
+            progress = _progress(run, item, measure(), frames["windows"], name)
+            shown = progress.select(*WINDOW_STATUS.fieldNames())
+            loads.append_load(shown, run.windows_path)
             return done
 
         return Steps(
@@ -542,7 +592,8 @@ def run_scheduled(run: IngestRun) -> list[dict]:
                 run.spark, [{f: asked[f] for f in _SCHEDULED.fieldNames()}], _SCHEDULED
             )
             windows = win.schedule_windows(frame, run.as_of).drop("table_uid")
-            return _windowed(run, item, name, windows, counted[0])
+            whole = item.schedule != "Manual"
+            return _windowed(run, item, name, windows, counted[0], whole)
 
         def load(staged: DataFrame) -> loads.LoadResult:
             target, piece_by = run.target_path(item), run.piece_by(item, staged)
@@ -552,7 +603,7 @@ def run_scheduled(run: IngestRun) -> list[dict]:
 
         return Steps(lambda: _count(run, item), extract, load, needs_count=True)
 
-    items = work_list(run, sel.select_scheduled(_control(run)))
+    items = work_list(run, sel.select_scheduled(run.control()))
     return _run_items(run, items, steps, scheduled=True, empty_is_loaded=True)
 
 
@@ -579,7 +630,7 @@ def run_metadata(
 
         return Steps(lambda: (0, None, None) if keys else _count(run, item), extract, load)
 
-    items = work_list(run, sel.select_metadata(_control(run)))
+    items = work_list(run, sel.select_metadata(run.control()))
     return _run_items(run, items, steps, empty_is_loaded=True)
 
 
@@ -589,11 +640,11 @@ def run_freeform(run: IngestRun) -> list[dict]:
     def steps(item: Row, name: str) -> Steps:
         return Steps(
             lambda: (0, None, None),
-            lambda _: _stage(run, item, name, scan_freeform(run.spark, item.freeform_sql)),
+            lambda _: _stage(run, item, name, scan_freeform(run.spark, item.freeform_sql, run.tables)),
             lambda staged: _load(run, item, staged),
         )
 
-    done = _run_items(run, work_list(run, sel.select_freeform(_control(run))), steps)
+    done = _run_items(run, work_list(run, sel.select_freeform(run.control())), steps)
     if run.stats_export:
         stats = run.stats()
         for result in done:

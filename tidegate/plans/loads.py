@@ -1,7 +1,8 @@
 """Staging extracts and loading them: replace, append, upsert, and their windowed forms.
 
-``staged`` frames are lazy; each load runs them once, into the target's new folders (an upsert
-first writes the reduced stage, whose size then decides how the joins run).
+``staged`` frames are lazy; each load runs them once, into the target's pieces (an upsert
+first writes the reduced stage, whose size then decides how the joins run). Rows are counted from
+the footers of written files.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from tidegate.operators.joins import (
     rows_without_match,
 )
 from tidegate.operators.slices import catalog_slice
-from tidegate.plans.snapshots import PIECE, Snapshot, TargetTable, piece_column
+from tidegate.plans.tables import PIECE, Layout, Target, piece_column
 from tidegate.schemas import CATALOG_COLUMNS, PRIMARY_KEYS
 from tidegate.session import drop_path, work_path
 from tidegate.sources.landing import CSV_OPTIONS, read_landing_csv
@@ -41,7 +42,6 @@ ROWS_PER_FILE = 250_000  # a file with line breaks inside fields is read by one
 
 class LoadResult(NamedTuple):
     path: str
-    version: int
     rows_before: int
     rows_after: int
     processed: int
@@ -119,7 +119,10 @@ def read_staged(
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns by name, in the target's order and types; a column the target lacks is an error."""
+    """Columns by name, in the target's order and types; a column the target lacks is an error.
+
+    Loads let the target grow first, so that it lacks none.
+    """
     have = {c.lower(): c for c in df.columns}
     extra = set(have) - {f.name.lower() for f in schema.fields}
     if extra:
@@ -136,20 +139,16 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 # creating ----------------------------------------------------------------------------------
 
 
-def _nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-
-
 def create_if_missing(
     spark: SparkSession, target: str, schema: T.StructType, piece_by: str | None = None
 ) -> tuple[bool, int]:
-    """Whether the table was there, and its rows before; an absent one is created empty."""
-    table = TargetTable(spark, target)
-    snapshot = table.current()
-    if snapshot is None:
-        table.create(_nullable(schema), piece_by)
-        return False, 0
-    return True, snapshot.rows
+    """Whether the table was there, and its rows before; an absent one is created empty.
+
+    A table that is there takes in the schema's columns and wider types.
+    """
+    table = Target(spark, target)
+    _, there = table.ensure(schema, piece_by)
+    return there, sum(table.sizes().values()) if there else 0
 
 
 def metadata_layout(kind: str, found: T.StructType | None = None) -> T.StructType:
@@ -168,46 +167,47 @@ def create_if_missing_metadata(
     return create_if_missing(spark, target, metadata_layout(kind, found), piece_by)
 
 
-def _open(df: DataFrame, target: str, piece_by: str | None) -> tuple[TargetTable, Snapshot]:
-    create_if_missing(df.sparkSession, target, df.schema, piece_by)
-    table = TargetTable(df.sparkSession, target)
-    return table, table.current()
+def _open(df: DataFrame, target: str, piece_by: str | None) -> tuple[Target, Layout, dict[str, int]]:
+    """The table with the frame's columns, and the rows of its pieces."""
+    table = Target(df.sparkSession, target)
+    layout, there = table.ensure(df.schema, piece_by)
+    return table, layout, table.sizes() if there else {}
 
 
-def read_target(spark: SparkSession, target: str, version: int | None = None) -> DataFrame:
-    return TargetTable(spark, target).read(version)
+def read_target(spark: SparkSession, target: str) -> DataFrame:
+    return Target(spark, target).read()
 
 
 # loading -----------------------------------------------------------------------------------
 
 
-def _result(before: Snapshot, after: Snapshot, processed: int, target: str) -> LoadResult:
-    return LoadResult(target, after.version, before.rows, after.rows, processed)
-
-
-def _rows(folders) -> int:
-    return sum(f.rows for f in folders)
+def _rows(sizes: dict[str, int]) -> int:
+    return sum(sizes.values())
 
 
 def replace_load(
     staged: DataFrame, target: str, piece_by: str | None = None, clear_when_empty: bool = False
 ) -> LoadResult:
-    """The staged rows become the table. Without any row the table stays as it was."""
-    table, base = _open(staged, target, piece_by)
-    folders = table.write_folders(conform(staged, base.struct), base)
-    if not folders and not clear_when_empty:
-        return _result(base, base, 0, target)
-    return _result(base, table.commit(base, folders), _rows(folders), target)
+    """The staged rows become the table. Without any row the table stays as it was.
+
+    Pieces are replaced when the job commits; those the stage has no row of are removed after it.
+    """
+    table, layout, before = _open(staged, target, piece_by)
+    rows = conform(staged, layout.struct)
+    written = table.overwrite(rows, layout, set())
+    if written or clear_when_empty:
+        for piece in sorted(set(before) - written):
+            table.remove(piece)
+    after = _rows(table.sizes())
+    return LoadResult(target, _rows(before), after, after if written else 0)
 
 
 def append_load(staged: DataFrame, target: str, piece_by: str | None = None) -> LoadResult:
     """Adds the staged rows; what is there is neither read nor written again."""
-    table, base = _open(staged, target, piece_by)
-    folders = table.write_folders(conform(staged, base.struct), base)
-    if not folders:
-        return _result(base, base, 0, target)
-    after = table.change_folders(lambda now: now + folders)
-    return _result(base, after, _rows(folders), target)
+    table, layout, before = _open(staged, target, piece_by)
+    table.append(conform(staged, layout.struct), layout)
+    after = _rows(table.sizes())
+    return LoadResult(target, _rows(before), after, after - _rows(before))
 
 
 def windowed_replace_load(
@@ -235,36 +235,36 @@ def upsert_load(
     order_by: Sequence[str | Column] = (),
     piece_by: str | None = None,
     order_only: Sequence[str] = (),
-    applied: dict[str, int] | None = None,
     newer_by: Sequence[str] = (),
 ) -> LoadResult:
     """Rows whose key is staged are replaced, others are kept, new ones are added.
 
     The stage is reduced to one row per key (the greatest by ``order_by``; columns in
-    ``order_only`` serve that and are not loaded) and written once. The target's key columns are
-    read to find the pieces that hold a staged key; only those are read whole and written again.
-    With ``newer_by``, a staged row older than the target's by these columns is not loaded.
+    ``order_only`` serve that and are not loaded) and written once. Only pieces that hold a staged
+    key, or get a staged row, are read whole and written again, in one job: its commit puts all of
+    them in place. With ``newer_by``, a staged row older than the target's by these columns is
+    not loaded. Loading the same stage again changes nothing.
     """
     spark = staged.sparkSession
-    table, base = _open(staged.drop(*order_only), target, piece_by)
+    table, layout, before = _open(staged.drop(*order_only), target, piece_by)
     reduced = work_path(spark, "stage")
     latest = keep_latest(staged, keys, order_by).drop(*order_only)
     try:
-        conform(latest, base.struct).write.parquet(reduced)
-        stage = spark.read.schema(base.struct).parquet(reduced)
+        conform(latest, layout.struct).write.parquet(reduced)
+        stage = spark.read.schema(layout.struct).parquet(reduced)
         processed = stage.count()
         if not processed:
-            after = table.commit(base, base.folders, applied) if applied else base
-            return _result(base, after, 0, target)
-        touched = _touched_pieces(table, base, stage, keys)
-        old = table.read_folders(base, [f for f in base.folders if f.piece in touched])
+            return LoadResult(target, _rows(before), _rows(before), 0)
+        touched = _touched_pieces(table, layout, set(before), stage, keys)
+        old = table.read(layout, touched)
         if newer_by:
             stage = rows_without_match(stage, _older(stage, old, keys, newer_by), keys)
         fresh = rows_without_match(old, stage, keys).unionByName(stage)
-        folders = base.without(touched) + table.write_folders(fresh, base)
+        # a piece whose rows have all moved to others is removed
+        table.overwrite(fresh, layout, touched)
     finally:
         drop_path(spark, reduced)
-    return _result(base, table.commit(base, folders, applied), processed, target)
+    return LoadResult(target, _rows(before), _rows(table.sizes()), processed)
 
 
 def _older(
@@ -284,23 +284,28 @@ def _older(
 
 
 def _touched_pieces(
-    table: TargetTable, base: Snapshot, stage: DataFrame, keys: Sequence[str]
+    table: Target, layout: Layout, present: set[str], stage: DataFrame, keys: Sequence[str]
 ) -> set[str]:
-    """Pieces that hold a staged key.
+    """Pieces that hold a staged key or get a staged row; at most one row per piece comes back.
 
-    Where the piece names no column beside the key, the stage alone tells; otherwise the target's
-    key and piece columns are read. The answer has at most one row per piece.
+    Where the piece names no column beside the key, the stage alone tells and the target is not
+    read. Otherwise its key columns are, where they lie within the staged keys' range, which files
+    sorted or cut along the key are skipped by.
     """
-    present = {f.piece for f in base.folders}
-    if base.piece_by is None or not present:
+    if layout.piece_by is None or not present:
         return present
+    held = stage.select(piece_column(layout.piece_by).alias(PIECE))
     others = {c.lower() for c in stage.columns} - {k.lower() for k in keys}
-    held = stage
-    if any(_names(base.piece_by, c) for c in others):
+    if any(_names(layout.piece_by, c) for c in others):
+        rows = table.read(layout)
+        low, high = stage.agg(F.min(f"`{keys[0]}`"), F.max(f"`{keys[0]}`")).first()
+        if low is not None:
+            key = F.col(f"`{keys[0]}`")
+            rows = rows.where(key.between(F.lit(low), F.lit(high)) | key.isNull())
         # the match comes first: the piece is worked out for matched rows only
-        held = rows_with_match(table.read_folders(base, list(base.folders)), stage, keys)
-    pieces = held.select(piece_column(base.piece_by).alias(PIECE)).distinct()
-    return present & {r[0] for r in pieces.collect()}
+        matched = rows_with_match(rows, stage, keys)
+        held = held.unionByName(matched.select(piece_column(layout.piece_by).alias(PIECE)))
+    return present & {r[0] for r in held.distinct().collect()}
 
 
 def _names(sql: str, column: str) -> bool:
@@ -309,12 +314,10 @@ def _names(sql: str, column: str) -> bool:
 
 def overwrite_pieces(staged: DataFrame, target: str, piece_by: str) -> LoadResult:
     """Replaces the pieces that occur in the stage and keeps the others."""
-    table, base = _open(staged, target, piece_by)
-    folders = table.write_folders(conform(staged, base.struct), base)
-    if not folders:
-        return _result(base, base, 0, target)
-    kept = base.without({f.piece for f in folders})
-    return _result(base, table.commit(base, kept + folders), _rows(folders), target)
+    table, layout, before = _open(staged, target, piece_by)
+    written = table.overwrite(conform(staged, layout.struct), layout, set())
+    after = table.sizes()
+    return LoadResult(target, _rows(before), _rows(after), sum(after.get(p, 0) for p in written))
 
 
 def freeform_load(staged: DataFrame, target: str, truncate: bool) -> LoadResult:

@@ -114,10 +114,21 @@ RUN_RESULT = _struct(
     count_failed=_B,  # the source count is unknown, not 0
 )
 
-# Results of a run until they are merged into control and statistics, one row per table and load.
+# Results as runs record them, one row per table and load; control and statistics are read from them.
 RUN_JOURNAL = T.StructType(
     [
         *RUN_RESULT.fields,
-        *_struct(file_name=_S, scheduled=_B, extract_start=_S, extract_end=_S).fields,
+        *_struct(
+            file_name=_S, scheduled=_B, extract_start=_S, extract_end=_S, left_out=_L, day=_S
+        ).fields,
+    ]
+)
+
+# A fact about control rows: what the named fields are from a time on.
+CONTROL_FACTS = T.StructType(
+    [
+        *CONTROL.fields,
+        T.StructField("fields", T.ArrayType(_S, False)),
+        *_struct(at=_S, edited=_B).fields,
     ]
 )

@@ -65,6 +65,11 @@ def work_path(spark: SparkSession, purpose: str) -> str:
     return f"{work_root(spark)}/tidegate/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Removes a work folder this job has made and no longer reads."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -38,7 +38,19 @@ def scan_projected(df: DataFrame, return_fields: str) -> DataFrame:
 def scan_freeform(
     spark: SparkSession, sql: str, tables: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
-    """A stored SQL query over the session's tables and the given ones."""
-    for name, df in (tables or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql)
+    """A stored SQL query over the session's tables and the given ones.
+
+    Given tables are put before the query as named subqueries, so no view is left behind and queries
+    beside each other do not see each other's tables.
+    """
+    frames = {f"given_{k}": df for k, df in enumerate((tables or {}).values())}
+    if not frames:
+        return spark.sql(sql)
+    named = ", ".join(
+        f"`{name}` AS (SELECT * FROM {{{key}}})" for name, key in zip(tables, frames, strict=True)
+    )
+    text = sql.replace("{", "{{").replace("}", "}}").strip()
+    begins = text.split(None, 1)
+    if begins and begins[0].upper() == "WITH":  # the query has named subqueries of its own
+        return spark.sql(f"WITH {named}, {begins[1]}", **frames)
+    return spark.sql(f"WITH {named} {text}", **frames)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.functions.clean import NA_TOKENS, na_tokens_to_null, strip_null_text
 from tidegate.plans.loads import conform, create_if_missing, upsert_load
-from tidegate.plans.snapshots import TargetTable
+from tidegate.plans.tables import Target
 from tidegate.sources.landing import READ_OPTIONS, text_schema
 
 # Day of a drop, from its folder .../<yyyy>/<mm>/<dd>/...
@@ -37,17 +36,6 @@ def landing_stream(
     return text.select("*", day.alias(DROP_DAY))
 
 
-def query_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id of the query that a checkpoint belongs to; a new checkpoint is a new query."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/metadata")
-    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
-    try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return json.loads(text)["id"]
-
-
 def landing_upsert_stream(
     spark: SparkSession,
     path: str,
@@ -66,31 +54,27 @@ def landing_upsert_stream(
     The later drop wins a key, then ``order_by``, in whatever order drops arrive: a target made
     here keeps the drop day of each row in the column ``_drop_day``, and older drops do not replace
     newer rows. Targets without that column are compared by ``order_by`` alone. ``max_files`` bounds
-    a batch. The table's pointer records the last batch of the query, so a batch repeated after a
-    failure is not applied twice; a new checkpoint is a new query, which reads everything again.
-    A file whose header differs from ``schema`` stops the stream.
+    a batch. A batch repeated after a failure finds its own rows in the target and writes them again
+    as they are; a new checkpoint is a new query, which reads everything again. A file whose header
+    differs from ``schema`` stops the stream.
     """
     dated = T.StructType([*schema.fields, T.StructField(DROP_DAY, T.StringType())])
-    create_if_missing(spark, target, dated, piece_by)
+    if Target(spark, target).layout() is None:
+        create_if_missing(spark, target, dated, piece_by)
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        stream_id = f"landing:{query_id(batch.sparkSession, checkpoint)}"
-        table = TargetTable(batch.sparkSession, target)
-        now = table.current()
-        if now.applied.get(stream_id, -1) >= batch_id:
-            return
+    def apply(batch: DataFrame, _: int) -> None:
+        layout = Target(batch.sparkSession, target).layout()
         held = {k.lower() for k in keys}
         text = strip_null_text(batch, schema.fieldNames()) if strip else batch
         cleaned = [c for c in schema.fieldNames() if c.lower() not in held]
         rows = conform(na_tokens_to_null(text, cleaned, tokens), dated)
-        keeps_day = DROP_DAY in now.struct.fieldNames()
+        keeps_day = DROP_DAY in layout.struct.fieldNames()
         upsert_load(
             rows,
             target,
             keys,
             [DROP_DAY, *order_by],
             order_only=[] if keeps_day else [DROP_DAY],
-            applied={stream_id: batch_id},
             newer_by=[DROP_DAY, *order_by] if keeps_day else list(order_by),
         )
 
