@@ -6,6 +6,7 @@ from checks.registry import ORACLES, QUERIES
 
 from checks import (  # noqa: F401  (each module registers its queries)
     cleaning,
+    content,
     control,
     flows,
     loads,

@@ -74,13 +74,16 @@ def next_load_type(
 ) -> DataFrame:
     """Full loads whose counts agree move on to change loading.
 
-    A failed load never does, nor one whose source could not be counted: its 0 agrees with nothing.
+    A failed load never does, nor one whose source could not be counted: its 0 agrees with nothing, nor
+    one whose rows were compared and differ.
     """
     agree = (F.col("source_count") == F.col("rows_after")) & ~F.coalesce(
         F.col("load_error"), F.lit(False)
     )
     if "count_failed" in results.columns:
         agree = agree & ~F.coalesce("count_failed", F.lit(False))
+    if "content_differs" in results.columns:
+        agree = agree & ~F.coalesce("content_differs", F.lit(False))
     if not ignore_flag:
         agree = agree & F.col("promote")
     moved = F.col("load_type")

@@ -27,15 +27,17 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegate.operators import content
 from tidegate.operators import counts as C
 from tidegate.operators import reconcile as R
 from tidegate.operators import selection as sel
 from tidegate.operators import windows as win
 from tidegate.operators.joins import assign_window, keep_latest, parse_keys, primary_keys
 from tidegate.functions.dates import trunc_day
-from tidegate.functions.clean import NA_TOKENS
+from tidegate.functions.clean import NA_TOKENS, all_text, na_tokens_to_null, strip_null_text
 from tidegate.operators.slices import CREATED, UPDATED, cdc_day_slice, owner_filter
 from tidegate.plans import loads
+from tidegate.plans.tables import Target, grown
 from tidegate.schemas import CONTROL, CONTROL_FACTS, LOAD_STATS, RUN_JOURNAL, WINDOW_STATUS
 from tidegate.session import drop_path, path_exists, small_frame, work_path
 from tidegate.sources.tables import scan_freeform, scan_projected
@@ -94,6 +96,10 @@ class IngestRun:
     remainder: str = "report"
     # tables loaded at the same time; those of one target always follow each other
     parallel: int = 1
+    # folder for rows that do not fit their target; without one they fail the load
+    aside_root: str | None = None
+    # compare full loads with their source row by row, by digests; where they differ there is no promotion
+    compare_content: bool = False
     # frames that free-form queries may name beside the session's tables
     tables: dict[str, DataFrame] | None = None
     # folder for the exported statistics items of free-form loads
@@ -302,6 +308,34 @@ def _stage(
     return loads.read_staged(run.spark, path, schema, window, tokens=("",), keys=keys)
 
 
+def _fitting(run: IngestRun, item: Row, staged: DataFrame) -> tuple[DataFrame, int]:
+    """The staged rows that fit the target there is, and how many were set aside."""
+    layout = Target(run.spark, run.target_path(item)).layout()
+    if layout is None:
+        return staged, 0
+    fields = [f for f in grown(layout.struct, staged.schema).fields if f.name.lower() in
+              {c.lower() for c in staged.columns}]
+    keys = parse_keys(item.primary_key) if item.load_type in sel.CHANGE_TYPES else []
+    aside = f"{run.aside_root.rstrip('/')}/{item.table_uid}/{run.clock():%Y%m%d%H%M%S%f}"
+    return loads.set_aside(staged, T.StructType(fields), aside, keys)
+
+
+def _compared(run: IngestRun, item: Row, staged: DataFrame) -> dict:
+    """Whether the target holds the source's rows as they are to be loaded, by digests of each month."""
+    target = loads.read_target(run.spark, run.target_path(item))
+    keys = parse_keys(item.primary_key) if (item.primary_key or "").strip(" ,") else []
+    text = all_text(_extract(run, item, run.read(item.source_table)))
+    text = strip_null_text(text) if run.strip_null else text
+    cleaned = [c for c in text.columns if c.lower() not in {k.lower() for k in keys}]
+    text = na_tokens_to_null(text, cleaned, ("", *run.na_tokens))
+    source = loads.conform(text, target.schema)
+    dated = UPDATED in [c.lower() for c in target.columns]
+    month = F.date_format(F.col(UPDATED), "yyyy-MM") if dated else F.lit("all")
+    odd = content.differing_groups(*[content.digests(df, month) for df in (source, target)])
+    groups = sorted(r["group"] or "undated" for r in odd.collect())  # one row per month
+    return {"content_differs": bool(groups), "differing": ", ".join(groups)}
+
+
 def _announce(run: IngestRun, items: list[Row]) -> dict[str, str]:
     """Enters the files of a work list in the statistics, in progress; gives their names."""
     stamp = f"{run.clock():%Y%m%d%H%M%S%f}"
@@ -361,7 +395,11 @@ def _load_one(run: IngestRun, item: Row, steps: Steps, empty_is_loaded: bool) ->
     result["extract_end"] = run.now()
     if result["outcome"] == "loaded":
         try:
+            if run.aside_root:
+                staged, result["set_aside"] = _fitting(run, item, staged)
             done = steps.load(staged)
+            if run.compare_content and item.load_type in R.PROMOTIONS:
+                result.update(_compared(run, item, staged))
             result.update(
                 rows_before=done.rows_before, rows_after=done.rows_after, processed=done.processed
             )

@@ -34,9 +34,10 @@ from tidegate.operators.slices import catalog_slice
 from tidegate.plans.tables import PIECE, Layout, Target, piece_column
 from tidegate.schemas import CATALOG_COLUMNS, PRIMARY_KEYS
 from tidegate.session import drop_path, work_path
-from tidegate.sources.landing import CSV_OPTIONS, read_landing_csv
+from tidegate.sources.landing import BROKEN, CSV_OPTIONS, FILE, read_landing_csv
 from tidegate.sources.tables import scan_projected
 
+ASIDE = T.StructType([T.StructField(c, T.StringType()) for c in ("reason", "row", "file")])
 ROWS_PER_FILE = 250_000  # a file with line breaks inside fields is read by one task
 
 
@@ -118,6 +119,39 @@ def read_staged(
     return conform(text.drop(window) if window else text, schema)
 
 
+def set_aside(
+    df: DataFrame, schema: T.StructType, aside: str, keys: Sequence[str] = ()
+) -> tuple[DataFrame, int]:
+    """The rows that fit ``schema``, cast to it, and how many others were written below ``aside``.
+
+    Others are rows that reading marked as broken, rows with a value that does not fit its type, and rows
+    without one of the ``keys``. They are kept as JSON with the reason and, where it is known,
+    their file. Rows are read twice: once for what is set aside, once for the load.
+    """
+    have = {c.lower(): c for c in df.columns}
+    reasons = []
+    if BROKEN in df.columns:
+        reasons.append(F.when(F.col(BROKEN).isNotNull(), "broken row"))
+    for f in schema.fields:
+        if f.name.lower() in have:
+            value = F.col(f"`{have[f.name.lower()]}`")
+            unfit = value.isNotNull() & value.try_cast(f.dataType).isNull()
+            reasons.append(F.when(unfit, f"{f.name} is not {f.dataType.simpleString()}"))
+    for key in keys:
+        reasons.append(F.when(F.col(f"`{have[key.lower()]}`").isNull(), f"no {key}"))
+    marked = df.withColumn("_reason", F.coalesce(*reasons, F.lit(None).cast("string")))
+    bad = marked.where(F.col("_reason").isNotNull())
+    text = [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns if c not in (BROKEN, FILE)]
+    raw = F.coalesce(F.col(BROKEN), F.to_json(F.struct(*text))) if BROKEN in df.columns else F.to_json(F.struct(*text))
+    file = F.col(FILE) if FILE in df.columns else F.lit(None).cast("string")
+    bad.select("_reason", raw.alias("row"), file.alias("file")).toDF(*ASIDE.fieldNames()).write.mode(
+        "append"
+    ).json(aside)
+    n = df.sparkSession.read.schema(ASIDE).json(aside).count()
+    good = marked.where(F.col("_reason").isNull()).drop("_reason", BROKEN, FILE)
+    return conform(good, schema), n
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns by name, in the target's order and types; a column the target lacks is an error.
 

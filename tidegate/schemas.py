@@ -119,7 +119,11 @@ RUN_JOURNAL = T.StructType(
     [
         *RUN_RESULT.fields,
         *_struct(
-            file_name=_S, scheduled=_B, extract_start=_S, extract_end=_S, left_out=_L, day=_S
+            file_name=_S, scheduled=_B, extract_start=_S, extract_end=_S, left_out=_L,
+            set_aside=_L,  # rows that did not fit the target
+            content_differs=_B,  # source and target were compared row by row, and differ
+            differing=_S,  # in these months or, without a date, somewhere
+            day=_S,
         ).fields,
     ]
 )
