@@ -115,7 +115,11 @@ def weigh(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
 
 
 def best_cut(weight: np.ndarray, label: np.ndarray) -> float:
-    """The cut that loses least, in the middle of its gap; minus infinity without both labels."""
+    """The cut that loses least; minus infinity without both labels.
+
+    Of the gap between the labelled weights that it may lie in, it is the place nearest to 0, where
+    a document is as likely by the target as by the raw text.
+    """
     good, bad = np.sort(weight[label == 1]), np.sort(weight[label == 0])
     if not len(good) or not len(bad):
         return float("-inf")
@@ -123,7 +127,10 @@ def best_cut(weight: np.ndarray, label: np.ndarray) -> float:
     lost = np.searchsorted(good, cuts) / len(good)
     kept = 1 - np.searchsorted(bad, cuts) / len(bad)
     k = int(np.argmin(KEEP * lost + kept))
-    return float((cuts[k] + cuts[max(k - 1, 0)]) / 2)
+    low, high = cuts[max(k - 1, 0)], cuts[k]
+    if low < 0 < high:
+        return 0.0
+    return float(high if high <= 0 else (low + high) / 2)
 
 
 def draw(
