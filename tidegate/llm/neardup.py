@@ -8,9 +8,11 @@ share more than ``SKETCH - RAREST`` retained values meet in a list, whatever the
 similarity of 0.8, fewer are shared with a chance below one in a million. Texts of at most
 ``RAREST`` shingles enter all their lists.
 
-Pairs are made in two steps that never write all pairs of a list of alike documents. First each
-document of a list is paired with the list's smallest one. The links found join documents to
-components. Then only pairs of a list that lie in different components are open, and those are paired.
+Pairs are made in three steps that never write all pairs of a list of alike documents. First each
+document is paired with one of its lists' smallest documents, the heads: the one it shares most lists
+with. The links found join documents to components, and only pairs of a list that lie in different
+components are open. Second, documents are paired with the other heads as far as these pairs are open.
+Then the open pairs of the lists that still hold several components are made.
 Pairs whose sizes cannot reach the threshold are left out. Copies of one text that are each too far
 from the others would still be tried pair by pair, so open lists longer than ``LONG`` make no pairs:
 their documents, the crowd, put all their shingles in order, those rare in the crowd first, and two
@@ -234,6 +236,28 @@ def lists(reps: DataFrame) -> DataFrame:
     )
 
 
+def _labelled(entries: DataFrame, joined: DataFrame) -> DataFrame:
+    """The entries of lists with their documents' components (doc_id, component)."""
+    return entries.join(joined, "doc_id", "left").withColumn(
+        "component", F.coalesce("component", "doc_id")
+    )
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """v, number of entries and the head's component of the lists that hold several components."""
+    return (
+        members.groupBy("v")
+        .agg(
+            F.min(F.struct("doc_id", "component")).alias("head"),
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.count("*").alias("entries"),
+        )
+        .where("low < high")
+        .select("v", "entries", F.col("head.component").alias("head_component"))
+    )
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     found = kept_table(retained(docs, width), "retained")
@@ -253,37 +277,43 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     sketches = reps.select("doc_id", "kept")
     listed = kept_table(lists(reps), "lists")
     fits = f"100 * least(n, {{0}}) >= {percent} * greatest(n, {{0}})"
-    first = (
+    # a document has at most RAREST rows here
+    best = kept_table(
         listed.where("doc_id <> head AND " + fits.format("head_n"))
-        .select(F.col("head").alias("a"), F.col("doc_id").alias("b"))
-        .distinct()
+        .repartition("doc_id")
+        .groupBy("doc_id", "head")
+        .agg((-F.count("*")).alias("shared"))
+        .groupBy("doc_id")
+        .agg(F.min(F.struct("shared", "head")).alias("best"))
+        .select(F.col("best.head").alias("a"), F.col("doc_id").alias("b")),
+        "best-heads",
     )
-    links = kept_table(_linked(docs, first, sketches, width, percent), "links")
+    links = kept_table(_linked(docs, best, sketches, width, percent), "links")
     joined = components(links).toDF("doc_id", "component")
-    members = kept_table(
-        listed.join(joined, "doc_id", "left").select(
-            "v", "doc_id", "n", "head", F.coalesce("component", "doc_id").alias("component")
-        ),
-        "members",
-    )
-    mixed = (
-        members.groupBy("v")
-        .agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.count("*").alias("entries"),
-        )
-        .where("low < high")
-        .select("v", "entries")
+    members = kept_table(_labelled(listed, joined), "members")
+    open_lists = kept_table(_mixed(members), "open-lists")
+    others = (
+        members.join(open_lists, "v")
+        .where("component <> head_component AND " + fits.format("head_n"))
+        .select(F.col("head").alias("a"), F.col("doc_id").alias("b"))
+        .distinct()
+        .join(best, ["a", "b"], "left_anti")
     )
+    headed = kept_table(_linked(docs, others, sketches, width, percent), "links")
+    if not headed.isEmpty():
+        links = links.unionByName(headed)
+        joined = components(links).toDF("doc_id", "component")
+        still = members.drop("component").join(open_lists, "v", "left_semi")
+        members = kept_table(_labelled(still, joined), "members")
+        open_lists = kept_table(_mixed(members), "open-lists")
     crowd = kept_table(
-        members.join(mixed.where(F.col("entries") > LONG), "v", "left_semi")
+        members.join(open_lists.where(F.col("entries") > LONG), "v", "left_semi")
         .select("doc_id", "n", "component")
         .distinct(),
         "crowd-members",
     )
     # pairs with the head have been tried; each of the others is tried from its smaller document
-    short = members.join(mixed.where(F.col("entries") <= LONG), "v", "left_semi")
+    short = members.join(open_lists.where(F.col("entries") <= LONG), "v", "left_semi")
     other = short.select(
         "v", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb")
     )
