@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.frames import kept_table
+from tidegate.llm.frames import Kept
 from tidegate.llm.graph import components
 from tidegate.llm.textbytes import LOWER, NOT_SPACE, mix, span_hashes, spans, text_slices
 
@@ -123,7 +123,9 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(wanted.hint("shuffle_hash"), "doc_id", "left_semi")
 
 
-def crowd_pairs(docs: DataFrame, crowd: DataFrame, width: int, percent: int) -> DataFrame:
+def crowd_pairs(
+    docs: DataFrame, crowd: DataFrame, width: int, percent: int, keep: Kept
+) -> DataFrame:
     """Pairs (a, b) of different components of the crowd (doc_id, n, component) that may be links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +137,7 @@ def crowd_pairs(docs: DataFrame, crowd: DataFrame, width: int, percent: int) ->
                 )
 
     texts = _texts_of(docs, crowd.select("doc_id"))
-    held = kept_table(texts.mapInArrow(run, "doc_id long, v long").distinct(), "crowd")
+    held = keep.table(texts.mapInArrow(run, "doc_id long, v long").distinct(), "crowd")
     holders = held.groupBy("v").agg(F.count("*").alias("holders"))
     ordered = (
         held.join(holders, "v")
@@ -144,7 +146,7 @@ def crowd_pairs(docs: DataFrame, crowd: DataFrame, width: int, percent: int) ->
         .join(crowd, "doc_id")
     )
     first = F.expr(f"CAST(n - ({percent} * n + 99) DIV 100 + 1 AS INT)")
-    entries = kept_table(
+    entries = keep.table(
         ordered.select(
             "doc_id", "n", "component", F.posexplode(F.slice("ordered", F.lit(1), first)).alias("k", "e")
         )
@@ -260,25 +262,26 @@ def _mixed(members: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
-    found = kept_table(retained(docs, width), "retained")
+    keep = Kept(docs.sparkSession)
+    found = keep.table(retained(docs, width), "retained")
     full = found.where("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["d1", "d2", "n_shingles"]
     equal = full.groupBy(*same).agg(F.min("doc_id").alias("class"))
-    classes = kept_table(
+    classes = keep.table(
         full.select("doc_id", *same).join(equal, same).select("doc_id", "class").distinct(), "classes"
     )
     alone = classes.where("doc_id = class").select("doc_id")
-    reps = kept_table(
+    reps = keep.table(
         full.join(alone, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(
             "doc_id", "n_shingles", "kept"
         ),
         "sketches",
     )
     sketches = reps.select("doc_id", "kept")
-    listed = kept_table(lists(reps), "lists")
+    listed = keep.table(lists(reps), "lists")
     fits = f"100 * least(n, {{0}}) >= {percent} * greatest(n, {{0}})"
     # a document has at most RAREST rows here
-    best = kept_table(
+    best = keep.table(
         listed.where("doc_id <> head AND " + fits.format("head_n"))
         .repartition("doc_id")
         .groupBy("doc_id", "head")
@@ -288,10 +291,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .select(F.col("best.head").alias("a"), F.col("doc_id").alias("b")),
         "best-heads",
     )
-    links = kept_table(_linked(docs, best, sketches, width, percent), "links")
+    links = keep.table(_linked(docs, best, sketches, width, percent, keep), "links")
     joined = components(links).toDF("doc_id", "component")
-    members = kept_table(_labelled(listed, joined), "members")
-    open_lists = kept_table(_mixed(members), "open-lists")
+    members = keep.table(_labelled(listed, joined), "members")
+    open_lists = keep.table(_mixed(members), "open-lists")
     others = (
         members.join(open_lists, "v")
         .where("component <> head_component AND " + fits.format("head_n"))
@@ -299,14 +302,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .distinct()
         .join(best, ["a", "b"], "left_anti")
     )
-    headed = kept_table(_linked(docs, others, sketches, width, percent), "links")
+    headed = keep.table(_linked(docs, others, sketches, width, percent, keep), "links")
     if not headed.isEmpty():
         links = links.unionByName(headed)
         joined = components(links).toDF("doc_id", "component")
         still = members.drop("component").join(open_lists, "v", "left_semi")
-        members = kept_table(_labelled(still, joined), "members")
-        open_lists = kept_table(_mixed(members), "open-lists")
-    crowd = kept_table(
+        members = keep.table(_labelled(still, joined), "members")
+        open_lists = keep.table(_mixed(members), "open-lists")
+    crowd = keep.table(
         members.join(open_lists.where(F.col("entries") > LONG), "v", "left_semi")
         .select("doc_id", "n", "component")
         .distinct(),
@@ -322,12 +325,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .join(other, "v")
         .where("doc_id < b AND component <> cb AND " + fits.format("nb"))
         .select(F.col("doc_id").alias("a"), "b")
-        .unionByName(crowd_pairs(docs, crowd, width, percent))
+        .unionByName(crowd_pairs(docs, crowd, width, percent, keep))
         .distinct()
     )
-    more = kept_table(_linked(docs, second, sketches, width, percent), "links")
+    more = keep.table(_linked(docs, second, sketches, width, percent, keep), "links")
     if not more.isEmpty():
         joined = components(links.unionByName(more)).toDF("doc_id", "component")
+    keep.drop_all_but("retained", "classes")
     ids = classes.join(joined.toDF("class", "component"), "class", "left").select(
         "doc_id", F.coalesce("component", "class").alias("component")
     )
@@ -344,14 +348,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def _linked(
-    docs: DataFrame, pairs: DataFrame, sketches: DataFrame, width: int, percent: int
+    docs: DataFrame, pairs: DataFrame, sketches: DataFrame, width: int, percent: int, keep: Kept
 ) -> DataFrame:
     """The pairs that are links: estimated first, then confirmed on the sets of what is left."""
-    left = kept_table(likely(pairs, sketches, percent), "pairs")
+    left = keep.table(likely(pairs, sketches, percent), "pairs")
     if left.isEmpty():
         return left
     wanted = left.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    return confirmed(left, kept_table(full_sets(docs, wanted, width), "sets"), percent)
+    return confirmed(left, keep.table(full_sets(docs, wanted, width), "sets"), percent)
 
 
 def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
