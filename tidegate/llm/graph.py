@@ -28,12 +28,15 @@ def components(links: DataFrame) -> DataFrame:
     state = _flat(state)
     while True:
         left = links.join(state.toDF("a", "ca"), "a").join(state.toDF("b", "cb"), "b")
-        hung = kept_table(
+        # links between components take the place of those between nodes: fewer in each round
+        links = kept_table(
             left.where("ca <> cb")
-            .select(F.greatest("ca", "cb").alias("node"), F.least("ca", "cb").alias("near"))
-            .groupBy("node")
-            .agg(F.min("near").alias("component")),
-            "hung",
+            .select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"))
+            .distinct(),
+            "open-links",
+        )
+        hung = kept_table(
+            links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component")), "hung"
         )
         if hung.isEmpty():
             return state
