@@ -17,7 +17,9 @@ Pairs whose sizes cannot reach the threshold are left out. Copies of one text th
 from the others would still be tried pair by pair, so open lists longer than ``LONG`` make no pairs:
 their documents, the crowd, put all their shingles in order, those rare in the crowd first, and two
 of them are paired where a shingle among the first n - ceil(t n) + 1 of each is shared and enough
-shingles can follow it. Every link has such a shingle, so this loses none.
+shingles can follow it. Every link has such a shingle, so this loses none. A pair is left to an
+earlier shingle if one of the ``EARLIER`` before the shared one, in this order, is shared too: more can
+follow that one, so the pair is made there or earlier still, and most pairs are made once.
 
 The smallest hashes of the union of both sets estimate the similarity; pairs that fall ``MARGIN`` short
 are given up, which a pair at the threshold does with a chance below one in a million. The others
@@ -45,6 +47,7 @@ SKETCH = 32
 RAREST = 20
 MARGIN = 0.4
 LONG = 24
+EARLIER = 4
 ROTATE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -145,11 +148,14 @@ def crowd_pairs(
         .agg(F.array_sort(F.collect_list(F.struct("holders", "v"))).alias("ordered"))
         .join(crowd, "doc_id")
     )
-    first = F.expr(f"CAST(n - ({percent} * n + 99) DIV 100 + 1 AS INT)")
+    first = f"CAST(n - ({percent} * n + 99) DIV 100 + 1 AS INT)"
+    before = ", ".join(f"get(ordered, i - {back}).v" for back in range(1, EARLIER + 1))
+    leading = F.expr(
+        f"transform(slice(ordered, 1, {first}), (e, i) -> "
+        f"named_struct('holders', e.holders, 'v', e.v, 'before', array({before})))"
+    )
     entries = keep.table(
-        ordered.select(
-            "doc_id", "n", "component", F.posexplode(F.slice("ordered", F.lit(1), first)).alias("k", "e")
-        )
+        ordered.select("doc_id", "n", "component", F.posexplode(leading).alias("k", "e"))
         .where("e.holders > 1")
         .select(
             "doc_id",
@@ -157,6 +163,7 @@ def crowd_pairs(
             "n",
             (F.col("n") - F.col("k")).alias("rest"),
             F.col("e.v").alias("v"),
+            F.col("e.before").alias("before"),
         ),
         "crowd-lists",
     )
@@ -166,12 +173,14 @@ def crowd_pairs(
         F.col("component").alias("cb"),
         F.col("n").alias("nb"),
         F.col("rest").alias("rest_b"),
+        F.col("before").alias("before_b"),
     )
     return (
         entries.join(other, "v")
         .where(
             "doc_id < b AND component <> cb AND "
-            f"100 * least(rest, rest_b) >= {percent} * (n + nb - least(rest, rest_b))"
+            f"100 * least(rest, rest_b) >= {percent} * (n + nb - least(rest, rest_b)) AND "
+            "NOT coalesce(arrays_overlap(before, before_b), false)"
         )
         .select(F.col("doc_id").alias("a"), "b")
         .distinct()
